@@ -24,9 +24,23 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
+SNAP_DIGITS = 9
+
+
+def sround(col, digits: int) -> Column:
+    """``round(col, digits)`` HALF_UP, applied to the value snapped to 1e-9.
+
+    Means of low-precision data often sit exactly on a half (4.75); the last
+    bits of a floating sum depend on the order partitions are combined in, so
+    the raw value may be 4.7499999999 or 4.7500000001.  Snapping first makes
+    the tie round the same way every run (and the same way as the oracle).
+    """
+    return F.round(F.round(_c(col), SNAP_DIGITS), digits)
+
+
 def pct(made, attempts, digits: int = 2) -> Column:
     """round(made / attempts * 100, digits) with a zero denominator giving NULL."""
-    return F.round(safe_div(made, attempts) * F.lit(100), digits)
+    return sround(safe_div(made, attempts) * F.lit(100), digits)
 
 
 def in_range(col, lo: float, hi: float) -> Column:
@@ -71,7 +85,7 @@ def utc_wallclock(ts_ltz) -> Column:
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every floating column for presentation (HALF_UP, like ``F.round``)."""
     cols = [
-        F.round(F.col(f.name), digits).alias(f.name)
+        sround(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ]

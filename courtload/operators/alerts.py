@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtload import config
-from courtload.functions.exprs import utc_wallclock
+from courtload.functions.exprs import utc_wallclock, sround
 
 KEYS = ("player_id", "team_id", "game_id")
 
@@ -25,10 +25,10 @@ def windowed_exertion(telemetry: DataFrame, size: str = config.WINDOW, delay: st
     """
     src = telemetry.withWatermark(time_col, delay) if delay else telemetry
     agg = src.groupBy(F.window(F.col(time_col), size), *keys).agg(
-        F.round(F.avg("heart_rate_bpm"), 1).alias("avg_heart_rate"),
-        F.round(F.max("heart_rate_bpm"), 1).alias("max_heart_rate"),
-        F.round(F.sum("cumulative_distance"), 1).alias("total_distance_ft"),
-        F.round(F.avg("speed_mph"), 2).alias("avg_speed_mph"),
+        sround(F.avg("heart_rate_bpm"), 1).alias("avg_heart_rate"),
+        sround(F.max("heart_rate_bpm"), 1).alias("max_heart_rate"),
+        sround(F.sum("cumulative_distance"), 1).alias("total_distance_ft"),
+        sround(F.avg("speed_mph"), 2).alias("avg_speed_mph"),
         F.count(F.lit(1)).alias("tracking_frames"),
     )
     return agg.select(
@@ -51,7 +51,7 @@ def apply_alerts(exertion: DataFrame, thresholds: DataFrame, hr_default: float =
 
 
 def _miles(col: str) -> F.Column:
-    return F.round(F.col(col) / config.FEET_PER_MILE, 2)
+    return sround(F.col(col) / config.FEET_PER_MILE, 2)
 
 
 def live_exertion_ranking(alerts: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def team_alert_summary(alerts: DataFrame) -> DataFrame:
         flag("fatigue_alert").alias("total_alerts"),
         flag("heart_rate_alert").alias("hr_alerts"),
         flag("distance_alert").alias("distance_alerts"),
-        F.round(F.avg("avg_heart_rate"), 1).alias("team_avg_hr"),
+        sround(F.avg("avg_heart_rate"), 1).alias("team_avg_hr"),
     )
 
 

@@ -14,8 +14,8 @@ from __future__ import annotations
 
 
 def hu(expr: str, digits: int) -> str:
-    """round(expr, digits) HALF_UP on the shortest decimal representation (Spark's rule)."""
-    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,17)), {digits}) AS DOUBLE)"
+    """round(expr, digits) HALF_UP on the shortest decimal form, snapped to 1e-9 first (``sround``)."""
+    return f"CAST(round(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,17)), 9), {digits}) AS DOUBLE)"
 
 
 def div(num: str, den: str) -> str:
@@ -129,3 +129,338 @@ q("player_game_workload", "SELECT * FROM pgw", PGW_DOUBLES)
 
 q("rolling_workload", "SELECT * FROM rolling",
   PGW_DOUBLES + ["rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"])
+
+# ---- literal reference CTEs used by several queries ---------------------------------------
+def _pct(made: str, att: str, d: int = 2) -> str:
+    return hu(div(made, att) + " * 100", d)
+
+
+BTB = f"""
+btb AS (
+  SELECT player_id, team_id, back_to_back, count(game_id) AS games_played, avg(plus_minus) AS avg_plus_minus,
+         avg(minutes_played) AS avg_minutes, avg(distance_covered_ft) AS avg_distance_ft,
+         avg(heart_rate_bpm) AS avg_heart_rate, {_pct('sum(shot_made)', 'sum(shot_attempts)')} AS shooting_pct
+  FROM tss GROUP BY player_id, team_id, back_to_back),
+btb_pivot AS (
+  SELECT player_id,
+         arg_min(avg_plus_minus, team_id) FILTER (WHERE back_to_back = false) AS normal_rest_pm,
+         arg_min(avg_plus_minus, team_id) FILTER (WHERE back_to_back = true) AS btb_pm
+  FROM btb GROUP BY player_id),
+res AS (
+  SELECT *, CASE WHEN btb_impact >= 0 THEN 'Resilient' ELSE 'Declines' END AS resilient
+  FROM (SELECT *, {hu('btb_pm - normal_rest_pm', 3)} AS btb_impact FROM btb_pivot) AS p_)"""
+
+PROFILE = """
+season AS (
+  SELECT player_id, sum(total_distance_ft) AS season_total_distance, avg(total_minutes) AS season_avg_minutes
+  FROM pgw GROUP BY player_id),
+cuts AS (
+  SELECT quantile_disc(season_total_distance, 0.33) AS p33, quantile_disc(season_total_distance, 0.66) AS p66
+  FROM season),
+profile AS (
+  SELECT s.*, CASE WHEN s.season_total_distance > c.p66 THEN 'High Usage'
+                   WHEN s.season_total_distance > c.p33 THEN 'Mid Usage' ELSE 'Low Usage' END AS workload_profile
+  FROM season s, cuts c)"""
+
+TRAINING = f"""
+bridge AS (SELECT DISTINCT player_id, team_id FROM tracking),
+tteam AS (SELECT t.*, b.team_id FROM training t LEFT JOIN bridge b USING (player_id)),
+tsched AS (
+  SELECT tt.*, s.game_id, s.home_team, s.away_team, s.back_to_back, s.travel_distance_miles,
+         s.rest_days_since_last_game
+  FROM tteam tt LEFT JOIN schedule s
+    ON tt."date" = s."date" AND (tt.team_id = s.home_team OR tt.team_id = s.away_team)),
+tload AS (
+  SELECT player_id, session_type, count(session_type) AS session_count, avg(intensity_score) AS avg_intensity,
+         avg(sleep_hours_prev_night) AS avg_sleep_hours, avg(duration_min) AS avg_duration_min,
+         avg(heart_rate_avg) AS avg_heart_rate
+  FROM tsched GROUP BY player_id, session_type),
+weekly0 AS (
+  SELECT player_id, CAST(date_trunc('week', "date") AS DATE) AS week,
+         CAST(sum(CASE WHEN session_type = 'practice' THEN 1 ELSE 0 END) AS BIGINT) AS practice_count,
+         CAST(sum(CASE WHEN session_type = 'recovery' THEN 1 ELSE 0 END) AS BIGINT) AS recovery_count,
+         CAST(sum(CASE WHEN session_type = 'gym' THEN 1 ELSE 0 END) AS BIGINT) AS gym_count,
+         CAST(sum(CASE WHEN session_type = 'film' THEN 1 ELSE 0 END) AS BIGINT) AS film_count,
+         avg(intensity_score) AS avg_weekly_intensity, avg(sleep_hours_prev_night) AS avg_weekly_sleep
+  FROM training GROUP BY ALL),
+weekly AS (
+  SELECT *, {hu('practice_count / CASE WHEN recovery_count = 0 THEN 1 ELSE recovery_count END', 2)}
+              AS practice_recovery_ratio,
+         CASE WHEN avg_weekly_intensity > 6.5 THEN 1 ELSE 0 END AS high_intensity_week
+  FROM weekly0),
+wperf AS (
+  SELECT w.*, g.avg_plus_minus, g.shooting_pct, g.total_minutes
+  FROM weekly w JOIN (SELECT player_id, CAST(date_trunc('week', "date") AS DATE) AS week, avg_plus_minus,
+                             shooting_pct, total_minutes FROM pgw) g USING (player_id, week)),
+tsummary AS (
+  SELECT player_id, avg(intensity_score) AS avg_training_intensity, avg(sleep_hours_prev_night) AS avg_sleep_hours,
+         avg(travel_distance_miles) AS avg_travel_miles
+  FROM tsched GROUP BY player_id)"""
+
+SNAP_COLS = ("player_id, \"date\", game_id, rolling_5g_distance, rolling_5g_avg_hr, rolling_5g_minutes, "
+             "total_distance_ft, avg_heart_rate, total_minutes")
+RISK = f"""
+snap AS (
+  SELECT {SNAP_COLS} FROM (
+    SELECT {SNAP_COLS}, row_number() OVER (PARTITION BY player_id, game_id
+           ORDER BY "date" NULLS FIRST, rolling_5g_distance NULLS FIRST, rolling_5g_avg_hr NULLS FIRST) AS rn_
+    FROM rolling) AS r_ WHERE rn_ = 1),
+labeled AS (
+  SELECT s.player_id, s."date", s.game_id, s.rolling_5g_distance, s.rolling_5g_avg_hr, s.rolling_5g_minutes,
+         s.total_distance_ft, s.avg_heart_rate, s.total_minutes,
+         max(CASE WHEN datediff('day', s."date", i.injury_date) BETWEEN 0 AND 7 THEN 1 ELSE 0 END)
+           AS injury_within_7_days
+  FROM snap s LEFT JOIN incidents i ON s.player_id = i.player_id
+  GROUP BY ALL),
+features AS (SELECT * FROM labeled LEFT JOIN tsummary USING (player_id))"""
+
+BTB_D = ["avg_plus_minus", "avg_minutes", "avg_distance_ft", "avg_heart_rate", "shooting_pct"]
+ROLL_D = PGW_DOUBLES + ["rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"]
+SNAP_D = ["rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes", "total_distance_ft",
+          "avg_heart_rate", "total_minutes"]
+TRACK_D = ["x_court_ft", "y_court_ft", "speed_mph", "acceleration", "distance_covered_ft", "heart_rate_bpm"]
+TRAIN_D = ["intensity_score", "sleep_hours_prev_night", "duration_min", "heart_rate_avg", "heart_rate_max"]
+
+# ---- cleaning and profiles ------------------------------------------------------------------
+q("clean_heart_rate", "SELECT * FROM tracking WHERE heart_rate_bpm BETWEEN 60 AND 220", TRACK_D)
+
+q("out_of_range_counts", """
+SELECT 'player_tracking' AS "table", 'heart_rate_bpm' AS "column", 60.0::DOUBLE AS lo, 220.0::DOUBLE AS hi,
+       count(*) FILTER (WHERE heart_rate_bpm < 60 OR heart_rate_bpm > 220) AS out_of_range,
+       count(heart_rate_bpm) AS checked FROM tracking
+UNION ALL
+SELECT 'training_sessions', 'heart_rate_avg', 60.0, 220.0,
+       count(*) FILTER (WHERE heart_rate_avg < 60 OR heart_rate_avg > 220), count(heart_rate_avg) FROM training_raw
+UNION ALL
+SELECT 'training_sessions', 'heart_rate_max', 60.0, 220.0,
+       count(*) FILTER (WHERE heart_rate_max < 60 OR heart_rate_max > 220), count(heart_rate_max) FROM training_raw
+""")
+
+q("clean_dates", "SELECT * FROM training", TRAIN_D)
+q("clean_incidents", "SELECT * FROM incidents")
+
+RAW_COLS = {
+    "player_tracking": ("tracking", ["game_id", "player_id", "team_id", "timestamp", "x_court_ft", "y_court_ft",
+                                     "speed_mph", "acceleration", "distance_covered_ft", "heart_rate_bpm"]),
+    "game_stats": ("stats", ["game_id", "player_id", "minutes_played", "points", "plus_minus", "shot_attempts",
+                             "shot_made"]),
+    "injury_reports": ("incidents_raw", ["player_id", "date", "games_missed", "treatment", "severity"]),
+    "training_sessions": ("training_raw", ["player_id", "date", "session_type", "intensity_score",
+                                           "sleep_hours_prev_night", "duration_min", "heart_rate_avg",
+                                           "heart_rate_max"]),
+    "team_schedules": ("schedule", ["game_id", "date", "home_team", "away_team", "back_to_back",
+                                    "travel_distance_miles", "rest_days_since_last_game"]),
+}
+q("null_profile", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM {v}"
+    for t, (v, cols) in RAW_COLS.items() for c in cols))
+
+DESCRIBE_COLS = {
+    "player_tracking": ("tracking", ["heart_rate_bpm", "x_court_ft", "y_court_ft"]),
+    "training_sessions": ("training_raw", ["heart_rate_avg", "heart_rate_max", "intensity_score",
+                                           "sleep_hours_prev_night"]),
+    "team_schedules": ("schedule", ["travel_distance_miles", "rest_days_since_last_game"]),
+}
+q("describe_profile", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS \"count\", avg(CAST({c} AS DOUBLE)) AS mean, "
+    f"stddev_samp(CAST({c} AS DOUBLE)) AS stddev, min(CAST({c} AS DOUBLE)) AS \"min\", "
+    f"max(CAST({c} AS DOUBLE)) AS \"max\", '{t}' AS \"table\" FROM {v}"
+    for t, (v, cols) in DESCRIBE_COLS.items() for c in cols), ["mean", "stddev", "min", "max"])
+
+q("table_census", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", {len(cols)} AS \"columns\" FROM {v}"
+    for t, (v, cols) in RAW_COLS.items()))
+
+q("player_team_map", "SELECT DISTINCT player_id, team_id FROM tracking")
+q("dedupe_snapshot", "SELECT * FROM snap", SNAP_D, extra=TRAINING + "," + RISK)
+
+# ---- joins ------------------------------------------------------------------------------------
+q("join_training_by_date", """
+SELECT s."date", s.sessions, coalesce(g.games, 0) AS games,
+       s.sessions * greatest(coalesce(g.games, 0), 1) AS joined_rows
+FROM (SELECT "date", count(*) AS sessions FROM training GROUP BY "date") s
+LEFT JOIN (SELECT "date", count(*) AS games FROM schedule WHERE "date" IS NOT NULL GROUP BY "date") g
+  ON s."date" = g."date"
+""")
+q("join_training_team", "SELECT * FROM tteam", TRAIN_D, extra=TRAINING)
+q("join_training_schedule", "SELECT * FROM tsched", TRAIN_D + ["travel_distance_miles"], extra=TRAINING)
+q("join_schedule_context", """
+SELECT game_id, player_id, team_id, count(*) AS pair_rows, "date", back_to_back, travel_distance_miles,
+       rest_days_since_last_game
+FROM tss GROUP BY game_id, player_id, team_id, "date", back_to_back, travel_distance_miles, rest_days_since_last_game
+""", ["travel_distance_miles"])
+q("join_week_performance", "SELECT * FROM wperf",
+  ["avg_weekly_intensity", "avg_weekly_sleep", "practice_recovery_ratio", "avg_plus_minus", "shooting_pct",
+   "total_minutes"], extra=TRAINING)
+q("horizon_label", "SELECT * FROM labeled", SNAP_D, extra=TRAINING + "," + RISK)
+q("coverage_gaps", """
+SELECT s.game_id, s.player_id, count(*) AS expected_rows FROM stats s
+WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id AND t.player_id = s.player_id)
+GROUP BY s.game_id, s.player_id
+""")
+
+# ---- workload / impact ----------------------------------------------------------------------
+q("workload_tiers", f"""
+SELECT workload_tier, {hu('avg(shooting_pct)', 2)} AS avg_shooting_pct, {hu('avg(avg_plus_minus)', 3)} AS avg_plus_minus,
+       {hu('avg(rolling_5g_distance)', 1)} AS avg_rolling_distance, {hu('avg(rolling_5g_minutes)', 1)} AS avg_rolling_minutes
+FROM (SELECT *, ntile(4) OVER (ORDER BY rolling_5g_distance NULLS FIRST, player_id NULLS FIRST, game_id NULLS FIRST,
+                               team_id NULLS FIRST, "date" NULLS FIRST) AS workload_tier FROM rolling) AS t_
+GROUP BY workload_tier
+""", ["avg_shooting_pct", "avg_plus_minus", "avg_rolling_distance", "avg_rolling_minutes"])
+
+q("back_to_back_analysis", "SELECT * FROM btb", BTB_D, extra=BTB)
+q("back_to_back_summary", f"""
+SELECT back_to_back, {hu('avg(avg_plus_minus)', 3)} AS league_avg_plus_minus,
+       {hu('avg(shooting_pct)', 2)} AS league_avg_shooting_pct, {hu('avg(avg_heart_rate)', 2)} AS league_avg_heart_rate,
+       {hu('avg(avg_distance_ft)', 2)} AS league_avg_distance_ft
+FROM btb GROUP BY back_to_back
+""", ["league_avg_plus_minus", "league_avg_shooting_pct", "league_avg_heart_rate", "league_avg_distance_ft"], extra=BTB)
+q("back_to_back_readout", f"""
+SELECT back_to_back, count(player_id) AS total_records, {hu('avg(avg_plus_minus)', 2)} AS avg_plus_minus,
+       {hu('avg(avg_minutes)', 1)} AS avg_minutes, {hu('avg(avg_distance_ft)', 1)} AS avg_distance_ft,
+       {hu('avg(avg_heart_rate)', 1)} AS avg_heart_rate, {hu('avg(shooting_pct)', 1)} AS shooting_pct
+FROM btb GROUP BY back_to_back
+""", BTB_D, extra=BTB)
+q("back_to_back_pivot", "SELECT * FROM btb_pivot", ["normal_rest_pm", "btb_pm"], extra=BTB)
+q("resilience_split", "SELECT resilient, count(*) AS \"count\" FROM res GROUP BY resilient", extra=BTB)
+q("resilience_extremes", """
+(SELECT *, 'most_affected' AS direction FROM res ORDER BY btb_impact ASC NULLS LAST, player_id LIMIT 5)
+UNION ALL
+(SELECT *, 'most_resilient' AS direction FROM res ORDER BY btb_impact DESC NULLS LAST, player_id LIMIT 5)
+""", ["normal_rest_pm", "btb_pm", "btb_impact"], extra=BTB)
+q("resilience_stats", f"""
+SELECT count(player_id) AS total_players,
+       CAST(sum(CASE WHEN resilient = 'Resilient' THEN 1 ELSE 0 END) AS BIGINT) AS resilient_count,
+       CAST(sum(CASE WHEN resilient = 'Declines' THEN 1 ELSE 0 END) AS BIGINT) AS decline_count,
+       {hu('avg(btb_impact)', 3)} AS avg_btb_impact, {hu('stddev_samp(btb_impact)', 3)} AS stddev_btb_impact,
+       {hu('min(btb_impact)', 3)} AS worst_impact, {hu('max(btb_impact)', 3)} AS best_impact
+FROM res
+""", ["avg_btb_impact", "stddev_btb_impact", "worst_impact", "best_impact"], extra=BTB)
+q("season_profile", "SELECT * FROM profile", ["season_total_distance", "season_avg_minutes"], extra=PROFILE)
+q("btb_by_profile", f"""
+SELECT p.workload_profile, b.back_to_back, {hu('avg(b.avg_plus_minus)', 3)} AS avg_plus_minus,
+       {hu('avg(b.shooting_pct)', 2)} AS avg_shooting_pct, {hu('avg(b.avg_distance_ft)', 1)} AS avg_distance_ft,
+       count(b.player_id) AS player_count
+FROM btb b LEFT JOIN profile p USING (player_id) GROUP BY p.workload_profile, b.back_to_back
+""", ["avg_plus_minus", "avg_shooting_pct", "avg_distance_ft"], extra=BTB + "," + PROFILE)
+
+TRAVEL_REST = f"""
+travel_rest AS (
+  SELECT rest_days_since_last_game, back_to_back, count(game_id) AS total_records,
+         avg(heart_rate_bpm) AS avg_heart_rate, avg(distance_covered_ft) AS avg_distance_ft,
+         avg(plus_minus) AS avg_plus_minus, avg(travel_distance_miles) AS avg_travel_miles,
+         {_pct('sum(shot_made)', 'sum(shot_attempts)')} AS shooting_pct
+  FROM tss GROUP BY rest_days_since_last_game, back_to_back)"""
+q("travel_rest_analysis", "SELECT * FROM travel_rest",
+  ["avg_heart_rate", "avg_distance_ft", "avg_plus_minus", "avg_travel_miles", "shooting_pct"], extra=TRAVEL_REST)
+q("travel_bucket_analysis", f"""
+SELECT travel_bucket, rest_days_since_last_game, {hu('avg(plus_minus)', 3)} AS avg_plus_minus,
+       {hu('avg(heart_rate_bpm)', 2)} AS avg_heart_rate, {_pct('sum(shot_made)', 'sum(shot_attempts)')} AS shooting_pct,
+       count(game_id) AS total_records
+FROM (SELECT *, CASE WHEN travel_distance_miles < 500 THEN 'Short (<500mi)'
+                     WHEN travel_distance_miles < 1500 THEN 'Medium (500-1500mi)' ELSE 'Long (>1500mi)' END
+                  AS travel_bucket FROM tss) AS t_
+GROUP BY travel_bucket, rest_days_since_last_game
+""", ["avg_plus_minus", "avg_heart_rate", "shooting_pct"])
+q("travel_correlations", """
+SELECT corr(travel_distance_miles, plus_minus) AS travel_vs_plusminus,
+       corr(travel_distance_miles, heart_rate_bpm) AS travel_vs_heartrate,
+       corr(rest_days_since_last_game, plus_minus) AS rest_vs_plusminus
+FROM tss
+""", ["travel_vs_plusminus", "travel_vs_heartrate", "rest_vs_plusminus"])
+q("player_thresholds", f"""
+SELECT player_id, {hu('max(avg_heart_rate) * 0.95', 1)} AS hr_alert_threshold,
+       {hu('avg(total_distance_ft) * 1.10', 1)} AS distance_alert_threshold
+FROM rolling GROUP BY player_id
+""", ["hr_alert_threshold", "distance_alert_threshold"])
+q("top_workload", f"""
+SELECT player_id, {hu('avg(rolling_5g_distance)', 1)} AS avg_rolling_distance_ft,
+       {hu('avg(rolling_5g_avg_hr)', 1)} AS avg_rolling_hr, {hu('avg(rolling_5g_minutes)', 1)} AS avg_rolling_minutes,
+       count(game_id) AS games_played
+FROM rolling GROUP BY player_id ORDER BY avg_rolling_distance_ft DESC NULLS LAST, player_id LIMIT 10
+""", ["avg_rolling_distance_ft", "avg_rolling_hr", "avg_rolling_minutes"])
+q("readout_back_to_back", f"""
+SELECT back_to_back, games_played, {hu('avg_plus_minus', 2)} AS avg_plus_minus, {hu('avg_minutes', 1)} AS avg_minutes,
+       {hu('avg_distance_ft', 1)} AS avg_distance_ft, {hu('avg_heart_rate', 1)} AS avg_heart_rate,
+       {hu('shooting_pct', 1)} AS shooting_pct
+FROM btb
+""", BTB_D, extra=BTB)
+q("readout_travel_rest", f"""
+SELECT rest_days_since_last_game, back_to_back, total_records, {hu('avg_heart_rate', 1)} AS avg_heart_rate,
+       {hu('avg_distance_ft', 1)} AS avg_distance_ft, {hu('avg_plus_minus', 2)} AS avg_plus_minus,
+       {hu('avg_travel_miles', 1)} AS avg_travel_miles, {hu('shooting_pct', 1)} AS shooting_pct
+FROM travel_rest
+""", ["avg_heart_rate", "avg_distance_ft", "avg_plus_minus", "avg_travel_miles", "shooting_pct"], extra=TRAVEL_REST)
+
+# ---- training -------------------------------------------------------------------------------
+q("training_load_analysis", "SELECT * FROM tload",
+  ["avg_intensity", "avg_sleep_hours", "avg_duration_min", "avg_heart_rate"], extra=TRAINING)
+q("training_load_by_type", f"""
+SELECT session_type, {hu('avg(avg_intensity)', 2)} AS avg_intensity, {hu('avg(avg_sleep_hours)', 1)} AS avg_sleep_hours,
+       {hu('avg(avg_duration_min)', 1)} AS avg_duration_min, {hu('avg(avg_heart_rate)', 1)} AS avg_heart_rate,
+       CAST(sum(session_count) AS BIGINT) AS total_sessions
+FROM tload GROUP BY session_type
+""", ["avg_intensity", "avg_sleep_hours", "avg_duration_min", "avg_heart_rate"], extra=TRAINING)
+q("weekly_training", "SELECT * FROM weekly", ["avg_weekly_intensity", "avg_weekly_sleep", "practice_recovery_ratio"],
+  extra=TRAINING)
+q("intensity_performance", f"""
+SELECT high_intensity_week, {hu('avg(avg_plus_minus)', 3)} AS avg_plus_minus, {hu('avg(shooting_pct)', 2)} AS avg_shooting_pct,
+       {hu('avg(total_minutes)', 1)} AS avg_minutes, {hu('avg(practice_recovery_ratio)', 2)} AS avg_practice_recovery_ratio,
+       {hu('avg(avg_weekly_intensity)', 2)} AS avg_intensity, count(player_id) AS total_records
+FROM wperf GROUP BY high_intensity_week
+""", ["avg_plus_minus", "avg_shooting_pct", "avg_minutes", "avg_practice_recovery_ratio", "avg_intensity"],
+  extra=TRAINING)
+q("ratio_performance", f"""
+SELECT ratio_tier, {hu('avg(avg_plus_minus)', 3)} AS avg_plus_minus, {hu('avg(shooting_pct)', 2)} AS avg_shooting_pct,
+       {hu('avg(total_minutes)', 1)} AS avg_minutes, count(player_id) AS total_records
+FROM (SELECT *, CASE WHEN practice_recovery_ratio <= 1 THEN 'Balanced (≤1:1)'
+                     WHEN practice_recovery_ratio <= 2 THEN 'Moderate (1-2:1)' ELSE 'High (>2:1)' END AS ratio_tier
+      FROM wperf) AS t_
+GROUP BY ratio_tier
+""", ["avg_plus_minus", "avg_shooting_pct", "avg_minutes"], extra=TRAINING)
+
+# ---- risk -----------------------------------------------------------------------------------
+FEAT_D = SNAP_D + ["avg_training_intensity", "avg_sleep_hours", "avg_travel_miles"]
+q("injury_risk_features", "SELECT * FROM features", FEAT_D, extra=TRAINING + "," + RISK)
+q("training_summary", "SELECT * FROM tsummary", ["avg_training_intensity", "avg_sleep_hours", "avg_travel_miles"],
+  extra=TRAINING)
+q("incident_dates", """
+SELECT player_id, injury_date, count(*) AS incidents FROM incidents WHERE injury_date IS NOT NULL
+GROUP BY player_id, injury_date
+""")
+q("risk_feature_correlations", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, CASE WHEN isnan(corr({c}, injury_within_7_days)) THEN NULL "
+    f"ELSE corr({c}, injury_within_7_days) END AS correlation FROM features"
+    for c in ("rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes", "avg_training_intensity",
+              "avg_sleep_hours", "avg_travel_miles")), ["correlation"], extra=TRAINING + "," + RISK)
+q("risk_label_balance", "SELECT injury_within_7_days, count(*) AS \"count\" FROM features GROUP BY 1",
+  extra=TRAINING + "," + RISK)
+q("incident_frequency_by_tier", f"""
+SELECT workload_profile, count(player_id) AS players, CAST(sum(coalesce(incidents, 0)) AS BIGINT) AS incidents,
+       CAST(sum(CASE WHEN incidents > 0 THEN 1 ELSE 0 END) AS BIGINT) AS injured_players,
+       {hu(div('sum(CASE WHEN incidents > 0 THEN 1 ELSE 0 END)', 'count(player_id)'), 4)} AS injury_rate,
+       {hu(div('sum(coalesce(incidents, 0))', 'count(player_id)'), 4)} AS incidents_per_player
+FROM (SELECT p.player_id, p.workload_profile, i.incidents FROM profile p
+      LEFT JOIN (SELECT player_id, count(*) AS incidents FROM incidents GROUP BY player_id) i USING (player_id)) AS t_
+GROUP BY workload_profile
+""", ["injury_rate", "incidents_per_player"], extra=PROFILE)
+
+# ---- gates ------------------------------------------------------------------------------------
+q("gate_inputs", "\nUNION ALL\n".join(
+    f"SELECT 'inputs_present' AS \"check\", '{t}' AS subject, count(*) AS \"rows\", "
+    f"CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, count(*) > 0 AS passed FROM {v}"
+    for t, (v, _) in RAW_COLS.items()))
+q("gate_impossible_values", """
+SELECT 'impossible_values' AS "check", 'heart_rate_bpm' AS subject, count(heart_rate_bpm) AS "rows",
+       count(*) FILTER (WHERE heart_rate_bpm < 40 OR heart_rate_bpm > 220) AS failures,
+       count(*) FILTER (WHERE heart_rate_bpm < 40 OR heart_rate_bpm > 220) = 0 AS passed FROM tracking
+UNION ALL
+SELECT 'impossible_values', 'speed_mph', count(speed_mph),
+       count(*) FILTER (WHERE speed_mph < 0 OR speed_mph > 30),
+       count(*) FILTER (WHERE speed_mph < 0 OR speed_mph > 30) = 0 FROM tracking
+""")
+q("gate_completeness", """
+SELECT 'tracking_completeness' AS "check", 'game_stats' AS subject, count(*) AS failures, count(*) = 0 AS passed
+FROM (SELECT DISTINCT game_id, player_id FROM stats) s
+WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id AND t.player_id = s.player_id)
+""")

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.functions.exprs import round_doubles
-from courtload.operators import joins
+from courtload import config, schemas
+from courtload.functions.exprs import round_doubles, sround
+from courtload.operators import clean, impact, joins, quality, risk, training, workload
 from courtload.plans.graph import Graph
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -59,4 +60,304 @@ def _rolling(spark, sf):
     return _g(spark, sf).rolling
 
 
-__all__ = ["QUERIES", "joins"]
+
+# ---- cleaning and profiles (C3-C11) -----------------------------------------------------
+@query("clean_heart_rate")
+def _clean_hr(spark, sf):
+    """Tracking rows with heart rate in [60, 220]."""
+    return clean.keep_in_range(_g(spark, sf).d.tracking, "heart_rate_bpm", *config.HR_KEEP)
+
+
+@query("out_of_range_counts")
+def _oor(spark, sf):
+    """C4: heart-rate values outside [60, 220] in tracking and training."""
+    d = _g(spark, sf).d
+    a = clean.out_of_range_counts(d.tracking, {"heart_rate_bpm": config.HR_KEEP})
+    b = clean.out_of_range_counts(d.training, {"heart_rate_avg": config.HR_KEEP, "heart_rate_max": config.HR_KEEP})
+    return (a.withColumn("table", F.lit("player_tracking"))
+             .unionByName(b.withColumn("table", F.lit("training_sessions"))))
+
+
+@query("clean_dates")
+def _clean_dates(spark, sf):
+    """Training sessions with the date string parsed (malformed -> NULL)."""
+    return _g(spark, sf).training_clean
+
+
+@query("clean_incidents")
+def _clean_incidents(spark, sf):
+    """C6 + C5: incidents with defaults filled and the date parsed."""
+    return _g(spark, sf).incidents
+
+
+def _profile_tables(g: Graph) -> dict:
+    return {"player_tracking": g.d.tracking, "game_stats": g.d.stats, "injury_reports": g.d.incidents,
+            "training_sessions": g.d.training, "team_schedules": g.d.schedule}
+
+
+@query("null_profile")
+def _null_profile(spark, sf):
+    """NULL count of every column of the five raw tables, long form."""
+    parts = []
+    for name, df in _profile_tables(_g(spark, sf)).items():
+        wide = clean.null_profile(df)
+        rows = [F.struct(F.lit(c).alias("column"), F.col(c).alias("null_count")) for c in df.columns]
+        parts.append(wide.select(F.explode(F.array(*rows)).alias("r"))
+                         .select(F.lit(name).alias("table"), "r.*"))
+    return quality._union(parts)
+
+
+DESCRIBE = {
+    "player_tracking": ("heart_rate_bpm", "x_court_ft", "y_court_ft"),
+    "training_sessions": ("heart_rate_avg", "heart_rate_max", "intensity_score", "sleep_hours_prev_night"),
+    "team_schedules": ("travel_distance_miles", "rest_days_since_last_game"),
+}
+
+
+@query("describe_profile")
+def _describe(spark, sf):
+    """Count / mean / stddev / min / max of chosen numeric columns."""
+    tables = _profile_tables(_g(spark, sf))
+    return quality._union([clean.describe_profile(tables[t], cols).withColumn("table", F.lit(t))
+                           for t, cols in DESCRIBE.items()])
+
+
+@query("table_census")
+def _census(spark, sf):
+    """C11: rows and columns of the five raw tables."""
+    return clean.table_census(_profile_tables(_g(spark, sf)))
+
+
+@query("player_team_map")
+def _ptm(spark, sf):
+    """D1."""
+    return clean.player_team_map(_g(spark, sf).d.tracking)
+
+
+@query("dedupe_snapshot")
+def _snap(spark, sf):
+    """One workload row per (player, game)."""
+    return risk.workload_snapshot(_g(spark, sf).rolling)
+
+
+# ---- joins (J2-J11) -----------------------------------------------------------------------
+@query("join_training_by_date")
+def _j2(spark, sf):
+    """J2 fan-out diagnostic per date."""
+    g = _g(spark, sf)
+    return joins.join_training_by_date(g.training_clean, g.d.schedule)
+
+
+@query("join_training_team")
+def _j3(spark, sf):
+    """J3."""
+    return _g(spark, sf).training_team
+
+
+@query("join_training_schedule")
+def _j4(spark, sf):
+    """J4 (training_with_schedule)."""
+    return _g(spark, sf).training_sched
+
+
+@query("join_schedule_context")
+def _j5(spark, sf):
+    """J5 at key grain."""
+    return _g(spark, sf).keyed_sched.select(
+        "game_id", "player_id", "team_id", "pair_rows", "date", "back_to_back",
+        "travel_distance_miles", "rest_days_since_last_game")
+
+
+@query("join_week_performance")
+def _j7(spark, sf):
+    """J7."""
+    return _g(spark, sf).week_perf
+
+
+@query("horizon_label")
+def _j8(spark, sf):
+    """Snapshot rows with the 7-day injury label."""
+    g = _g(spark, sf)
+    return joins.horizon_label(risk.workload_snapshot(g.rolling), g.incidents, label=risk.LABEL)
+
+
+@query("coverage_gaps")
+def _j11(spark, sf):
+    """Box-score keys without tracking."""
+    d = _g(spark, sf).d
+    return joins.coverage_gaps(d.stats, d.tracking, ["game_id", "player_id"])
+
+
+# ---- workload and impact (A2-A11, A18, A19) -----------------------------------------------
+@query("workload_tiers")
+def _a2(spark, sf):
+    return workload.workload_tiers(_g(spark, sf).rolling)
+
+
+@query("back_to_back_analysis")
+def _a3(spark, sf):
+    return _g(spark, sf).btb
+
+
+@query("back_to_back_summary")
+def _a4(spark, sf):
+    return impact.back_to_back_summary(_g(spark, sf).btb)
+
+
+@query("back_to_back_readout")
+def _a4b(spark, sf):
+    return impact.back_to_back_readout(_g(spark, sf).btb)
+
+
+@query("back_to_back_pivot")
+def _a5(spark, sf):
+    return impact.back_to_back_pivot(_g(spark, sf).btb)
+
+
+@query("resilience_split")
+def _a6(spark, sf):
+    return impact.resilience_split(_g(spark, sf).resilience)
+
+
+@query("resilience_extremes")
+def _a6b(spark, sf):
+    return impact.resilience_extremes(_g(spark, sf).resilience)
+
+
+@query("resilience_stats")
+def _a7(spark, sf):
+    return impact.resilience_stats(_g(spark, sf).resilience)
+
+
+@query("season_profile")
+def _a8(spark, sf):
+    return _g(spark, sf).profile
+
+
+@query("btb_by_profile")
+def _a8b(spark, sf):
+    g = _g(spark, sf)
+    return impact.btb_by_profile(g.btb, g.profile)
+
+
+@query("travel_rest_analysis")
+def _a9(spark, sf):
+    return impact.travel_rest_analysis(_g(spark, sf).keyed_sched)
+
+
+@query("travel_bucket_analysis")
+def _a10(spark, sf):
+    return impact.travel_bucket_analysis(_g(spark, sf).keyed_sched)
+
+
+@query("travel_correlations")
+def _a11(spark, sf):
+    return impact.travel_correlations(_g(spark, sf).keyed_sched)
+
+
+@query("player_thresholds")
+def _a18(spark, sf):
+    return _g(spark, sf).thresholds
+
+
+@query("top_workload")
+def _a19(spark, sf):
+    return workload.top_workload(_g(spark, sf).rolling)
+
+
+@query("readout_back_to_back")
+def _r1(spark, sf):
+    """R1."""
+    b = _g(spark, sf).btb
+    return b.select("back_to_back", "games_played", sround("avg_plus_minus", 2).alias("avg_plus_minus"),
+                    sround("avg_minutes", 1).alias("avg_minutes"),
+                    sround("avg_distance_ft", 1).alias("avg_distance_ft"),
+                    sround("avg_heart_rate", 1).alias("avg_heart_rate"),
+                    sround("shooting_pct", 1).alias("shooting_pct")).orderBy("back_to_back")
+
+
+@query("readout_travel_rest")
+def _r2(spark, sf):
+    """R2."""
+    t = impact.travel_rest_analysis(_g(spark, sf).keyed_sched)
+    return t.select("rest_days_since_last_game", "back_to_back", "total_records",
+                    sround("avg_heart_rate", 1).alias("avg_heart_rate"),
+                    sround("avg_distance_ft", 1).alias("avg_distance_ft"),
+                    sround("avg_plus_minus", 2).alias("avg_plus_minus"),
+                    sround("avg_travel_miles", 1).alias("avg_travel_miles"),
+                    sround("shooting_pct", 1).alias("shooting_pct")).orderBy("rest_days_since_last_game")
+
+
+# ---- training (A12-A14b) -----------------------------------------------------------------
+@query("training_load_analysis")
+def _a12(spark, sf):
+    return _g(spark, sf).load
+
+
+@query("training_load_by_type")
+def _a12b(spark, sf):
+    return training.training_load_by_type(_g(spark, sf).load)
+
+
+@query("weekly_training")
+def _a13(spark, sf):
+    return _g(spark, sf).weekly
+
+
+@query("intensity_performance")
+def _a14(spark, sf):
+    return training.intensity_performance(_g(spark, sf).week_perf)
+
+
+@query("ratio_performance")
+def _a14b(spark, sf):
+    return training.ratio_performance(_g(spark, sf).week_perf)
+
+
+# ---- risk (A15-A17, A22) -----------------------------------------------------------------
+@query("injury_risk_features")
+def _a15(spark, sf):
+    return _g(spark, sf).features
+
+
+@query("training_summary")
+def _a15a(spark, sf):
+    return risk.training_summary(_g(spark, sf).training_sched)
+
+
+@query("incident_dates")
+def _a15b(spark, sf):
+    return risk.incident_dates(_g(spark, sf).incidents)
+
+
+@query("risk_feature_correlations")
+def _a16(spark, sf):
+    return risk.label_correlations(_g(spark, sf).features)
+
+
+@query("risk_label_balance")
+def _a17(spark, sf):
+    return risk.label_balance(_g(spark, sf).features)
+
+
+@query("incident_frequency_by_tier")
+def _a22(spark, sf):
+    g = _g(spark, sf)
+    return risk.incident_frequency_by_tier(g.profile, g.incidents)
+
+
+# ---- gates (G1-G3) -----------------------------------------------------------------------
+@query("gate_inputs")
+def _g1(spark, sf):
+    return quality.gate_inputs(_profile_tables(_g(spark, sf)))
+
+
+@query("gate_impossible_values")
+def _g2(spark, sf):
+    return quality.gate_impossible_values(_g(spark, sf).d.tracking)
+
+
+@query("gate_completeness")
+def _g3(spark, sf):
+    d = _g(spark, sf).d
+    return quality.gate_completeness(d.stats, d.tracking)
