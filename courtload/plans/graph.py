@@ -25,6 +25,13 @@ class Graph:
     def of(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
         return cls(load_domain(spark, sf_dir), **kw)
 
+    def pin(self, name: str, df: DataFrame) -> DataFrame:
+        """Replace node ``name`` (e.g. by its written copy); later nodes build on it."""
+        if not isinstance(getattr(type(self), name, None), cached_property):
+            raise AttributeError(name)
+        self.__dict__[name] = df
+        return df
+
     # --- joins -------------------------------------------------------------------
     @cached_property
     def keyed(self) -> DataFrame:

@@ -464,3 +464,127 @@ SELECT 'tracking_completeness' AS "check", 'game_stats' AS subject, count(*) AS
 FROM (SELECT DISTINCT game_id, player_id FROM stats) s
 WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id AND t.player_id = s.player_id)
 """)
+
+# ---- telemetry ---------------------------------------------------------------------------------
+TELE = f"""
+tdec AS (
+  SELECT *, make_timestamp(CAST(floor(event_time) AS BIGINT) * 1000000) AS event_timestamp
+  FROM telemetry WHERE heart_rate_bpm BETWEEN 60 AND 220),
+texe AS (
+  SELECT make_timestamp(w_ * 60000000) AS window_start, make_timestamp((w_ + 1) * 60000000) AS window_end,
+         player_id, team_id, game_id, {hu('avg(heart_rate_bpm)', 1)} AS avg_heart_rate,
+         {hu('max(heart_rate_bpm)', 1)} AS max_heart_rate, {hu('sum(cumulative_distance)', 1)} AS total_distance_ft,
+         {hu('avg(speed_mph)', 2)} AS avg_speed_mph, count(*) AS tracking_frames
+  FROM (SELECT *, CAST(floor(floor(event_time) / 60) AS BIGINT) AS w_ FROM tdec) AS d_
+  GROUP BY w_, player_id, team_id, game_id),
+thr AS (
+  SELECT CAST(player_id AS VARCHAR) AS player_id, {hu('max(avg_heart_rate) * 0.95', 1)} AS hr_alert_threshold,
+         {hu('avg(total_distance_ft) * 1.10', 1)} AS distance_alert_threshold
+  FROM rolling GROUP BY player_id),
+talerts AS (
+  SELECT *, heart_rate_alert OR distance_alert AS fatigue_alert FROM (
+    SELECT *, avg_heart_rate >= hr_alert_threshold AS heart_rate_alert,
+           total_distance_ft >= distance_alert_threshold AS distance_alert
+    FROM (SELECT e.*, CAST(coalesce(t.hr_alert_threshold, 209.0) AS DOUBLE) AS hr_alert_threshold,
+                 CAST(coalesce(t.distance_alert_threshold, 14520.0) AS DOUBLE) AS distance_alert_threshold
+          FROM texe e LEFT JOIN thr t USING (player_id)) AS j_) AS f_)"""
+
+EXE_D = ["avg_heart_rate", "max_heart_rate", "total_distance_ft", "avg_speed_mph"]
+ALERT_D = EXE_D + ["hr_alert_threshold", "distance_alert_threshold"]
+TEL_D = ["event_time", "x_court_ft", "y_court_ft", "speed_mph", "acceleration", "cumulative_distance",
+         "heart_rate_bpm"]
+
+q("telemetry_encode", """
+SELECT CAST(player_id AS VARCHAR) AS key, CAST(game_id AS VARCHAR) AS game_id, CAST(player_id AS VARCHAR) AS player_id,
+       CAST(team_id AS VARCHAR) AS team_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS game_timestamp,
+       epoch_us("timestamp") / 1e6 AS event_time, x_court_ft, y_court_ft, speed_mph, acceleration,
+       distance_covered_ft AS cumulative_distance, heart_rate_bpm
+FROM tracking WHERE "timestamp" IS NOT NULL
+""", TEL_D)
+q("telemetry_decode", "SELECT * FROM tdec", TEL_D, extra=TELE)
+q("windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
+q("stream_windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
+q("stream_alerts", "SELECT * FROM talerts", ALERT_D, extra=TELE)
+q("stream_live_exertion", "SELECT * FROM talerts", ALERT_D, extra=TELE)
+q("stream_alert_sink", """
+SELECT * FROM talerts
+WHERE fatigue_alert AND window_end <= (SELECT max(event_timestamp) FROM tdec) - INTERVAL 10 SECOND
+""", ALERT_D, extra=TELE)
+q("live_exertion_ranking", f"""
+SELECT player_id, team_id, game_id, window_start, window_end, avg_heart_rate, max_heart_rate, hr_alert_threshold,
+       {hu('total_distance_ft / 5280', 2)} AS distance_miles, {hu('distance_alert_threshold / 5280', 2)} AS threshold_miles,
+       tracking_frames, heart_rate_alert, distance_alert, fatigue_alert
+FROM talerts
+""", ["avg_heart_rate", "max_heart_rate", "hr_alert_threshold", "distance_miles", "threshold_miles"], extra=TELE)
+q("heart_rate_alerts", """
+SELECT player_id, team_id, game_id, avg_heart_rate, hr_alert_threshold, heart_rate_alert
+FROM talerts WHERE heart_rate_alert
+""", ["avg_heart_rate", "hr_alert_threshold"], extra=TELE)
+q("distance_alerts", f"""
+SELECT player_id, team_id, game_id, {hu('total_distance_ft / 5280', 2)} AS distance_miles,
+       {hu('distance_alert_threshold / 5280', 2)} AS threshold_miles, distance_alert
+FROM talerts WHERE distance_alert
+""", ["distance_miles", "threshold_miles"], extra=TELE)
+q("substitution_candidates", f"""
+SELECT player_id, team_id, game_id, avg_heart_rate, hr_alert_threshold,
+       {hu('total_distance_ft / 5280', 2)} AS distance_miles, {hu('distance_alert_threshold / 5280', 2)} AS threshold_miles,
+       heart_rate_alert, distance_alert
+FROM talerts WHERE fatigue_alert
+""", ["avg_heart_rate", "hr_alert_threshold", "distance_miles", "threshold_miles"], extra=TELE)
+q("team_alert_summary", f"""
+SELECT team_id, count(DISTINCT player_id) AS players_monitored,
+       CAST(sum(CASE WHEN fatigue_alert = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS total_alerts,
+       CAST(sum(CASE WHEN heart_rate_alert = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS hr_alerts,
+       CAST(sum(CASE WHEN distance_alert = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS distance_alerts,
+       {hu('avg(avg_heart_rate)', 1)} AS team_avg_hr
+FROM talerts GROUP BY team_id
+""", ["team_avg_hr"], extra=TELE)
+q("top_alerts", """
+SELECT * FROM talerts WHERE fatigue_alert
+ORDER BY avg_heart_rate DESC, player_id, window_start, game_id, team_id LIMIT 5
+""", ALERT_D, extra=TELE)
+q("stream_freshness", """
+SELECT team_id, max(window_end) AS latest_window_end, min(window_start) AS first_window_start, count(*) AS windows,
+       count(*) FILTER (WHERE fatigue_alert) AS alert_windows
+FROM talerts GROUP BY team_id
+""", extra=TELE)
+
+# ---- sources and sinks --------------------------------------------------------------------------
+q("scan_csv", "SELECT * FROM tracking", TRACK_D)
+q("scan_json", "SELECT * FROM stats", ["minutes_played", "plus_minus"])
+q("publish_roundtrip", "SELECT * FROM btb", BTB_D, extra=BTB)
+q("publish_partitioned", """
+SELECT team_id, count(*) AS "rows", sum(rolling_5g_distance) AS rolling_distance FROM rolling GROUP BY team_id
+""", ["rolling_distance"])
+q("read_optional", "SELECT count(*) AS \"rows\" FROM events")
+q("gate_alert_output", """
+SELECT 'alert_output' AS "check", 'streaming_alerts' AS subject, count(*) AS "rows",
+       CASE WHEN count(*) > 0 THEN 'present' ELSE 'warn: no alerts written' END AS status, TRUE AS passed
+FROM talerts
+WHERE fatigue_alert AND window_end <= (SELECT max(event_timestamp) FROM tdec) - INTERVAL 10 SECOND
+""", extra=TELE)
+q("published_census", """
+SELECT 'processed' AS zone, 'tracking_with_stats' AS dataset, count(*) AS "rows"
+  FROM (SELECT DISTINCT game_id, player_id, team_id FROM tws) AS a_
+UNION ALL SELECT 'processed', 'tracking_stats_schedule', count(*)
+  FROM (SELECT DISTINCT game_id, player_id, team_id, "date", back_to_back, travel_distance_miles,
+               rest_days_since_last_game FROM tss) AS b_
+UNION ALL SELECT 'processed', 'training_with_schedule', count(*) FROM tsched
+UNION ALL SELECT 'processed', 'player_game_workload', count(*) FROM pgw
+UNION ALL SELECT 'analytics', 'rolling_workload', count(*) FROM rolling
+UNION ALL SELECT 'analytics', 'workload_tiers', count(DISTINCT t_) FROM (SELECT ntile(4) OVER () AS t_ FROM rolling) AS c_
+UNION ALL SELECT 'analytics', 'back_to_back_analysis', count(*) FROM btb
+UNION ALL SELECT 'analytics', 'btb_by_profile', count(*)
+  FROM (SELECT DISTINCT p.workload_profile, b.back_to_back FROM btb b LEFT JOIN profile p USING (player_id)) AS d_
+UNION ALL SELECT 'analytics', 'travel_rest_analysis', count(*)
+  FROM (SELECT DISTINCT rest_days_since_last_game, back_to_back FROM tss) AS e_
+UNION ALL SELECT 'analytics', 'travel_bucket_analysis', count(*)
+  FROM (SELECT DISTINCT CASE WHEN travel_distance_miles < 500 THEN 1 WHEN travel_distance_miles < 1500 THEN 2 ELSE 3 END,
+               rest_days_since_last_game FROM tss) AS f_
+UNION ALL SELECT 'analytics', 'training_load_analysis', count(*) FROM tload
+UNION ALL SELECT 'analytics', 'weekly_training', count(*) FROM weekly
+UNION ALL SELECT 'analytics', 'intensity_performance', count(DISTINCT high_intensity_week) FROM wperf
+UNION ALL SELECT 'analytics', 'ratio_performance', count(DISTINCT CASE WHEN practice_recovery_ratio <= 1 THEN 1
+                                                  WHEN practice_recovery_ratio <= 2 THEN 2 ELSE 3 END) FROM wperf
+UNION ALL SELECT 'analytics', 'injury_risk_features', count(*) FROM features
+""", extra=BTB + "," + PROFILE + "," + TRAINING + "," + RISK)

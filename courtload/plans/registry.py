@@ -361,3 +361,209 @@ def _g2(spark, sf):
 def _g3(spark, sf):
     d = _g(spark, sf).d
     return quality.gate_completeness(d.stats, d.tracking)
+
+
+# ---- telemetry in batch form (S11, T1, T3, T4, L1-L4, A20, R5, G6) -----------------------
+from courtload import schemas as _schemas  # noqa: E402
+from courtload.functions.exprs import utc_wallclock  # noqa: E402
+from courtload.operators import alerts as _alerts  # noqa: E402
+from courtload.sources import telemetry as _tel  # noqa: E402
+from courtload.sources.adapters import telemetry_events  # noqa: E402
+
+
+def _decoded(g: Graph) -> DataFrame:
+    return _tel.telemetry_decode(_tel.telemetry_encode(telemetry_events(g.d.events)))
+
+
+def _batch_alerts(g: Graph) -> DataFrame:
+    return _alerts.apply_alerts(_alerts.windowed_exertion(_decoded(g), delay=None), g.thresholds)
+
+
+@query("telemetry_encode")
+def _s11(spark, sf):
+    """Tracking rows as (key, JSON) messages, fields parsed back."""
+    enc = _tel.telemetry_encode(_tel.tracking_messages(_g(spark, sf).d.tracking))
+    return enc.select("key", F.from_json("value", _schemas.TELEMETRY).alias("m")).select("key", "m.*")
+
+
+@query("telemetry_decode")
+def _t1(spark, sf):
+    """Decoded telemetry, heart rate kept in [60, 220], event time in whole seconds."""
+    dec = _decoded(_g(spark, sf))
+    return dec.withColumn("event_timestamp", utc_wallclock("event_timestamp"))
+
+
+@query("windowed_exertion")
+def _t3(spark, sf):
+    """T3 over the whole feed as a batch."""
+    return _alerts.windowed_exertion(_decoded(_g(spark, sf)), delay=None)
+
+
+@query("stream_alerts")
+def _t4(spark, sf):
+    """Windows with personal thresholds and alert flags (batch form)."""
+    return _batch_alerts(_g(spark, sf))
+
+
+@query("live_exertion_ranking")
+def _l1(spark, sf):
+    return _alerts.live_exertion_ranking(_batch_alerts(_g(spark, sf)))
+
+
+@query("heart_rate_alerts")
+def _l2(spark, sf):
+    return _alerts.heart_rate_alerts(_batch_alerts(_g(spark, sf)))
+
+
+@query("distance_alerts")
+def _l3(spark, sf):
+    return _alerts.distance_alerts(_batch_alerts(_g(spark, sf)))
+
+
+@query("substitution_candidates")
+def _l4(spark, sf):
+    return _alerts.substitution_candidates(_batch_alerts(_g(spark, sf)))
+
+
+@query("team_alert_summary")
+def _a20(spark, sf):
+    return _alerts.team_alert_summary(_batch_alerts(_g(spark, sf)))
+
+
+@query("top_alerts")
+def _r5(spark, sf):
+    return _alerts.top_alerts(_batch_alerts(_g(spark, sf)))
+
+
+@query("stream_freshness")
+def _g6(spark, sf):
+    return _alerts.stream_freshness(_batch_alerts(_g(spark, sf)))
+
+
+# ---- Structured Streaming (T5-T8, S7, S8) --------------------------------------------------
+from courtload.session import scratch_path  # noqa: E402
+from courtload.streaming import telemetry as _st  # noqa: E402
+
+
+def _run_live(spark, sf, with_alerts: bool) -> tuple[DataFrame, object]:
+    g = _g(spark, sf)
+    tel = _st.telemetry_stream(spark, sf)
+    df = _st.alert_stream(tel, g.thresholds) if with_alerts else _alerts.windowed_exertion(tel)
+    name = "player_exertion" if with_alerts else "windowed_exertion_live"
+    path, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
+    q = _st.start_live(df, name, ckpt, path)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return _st.live_table(spark, name, path), q
+
+
+@query("stream_windowed_exertion")
+def _t5a(spark, sf):
+    """T3 on the stream (complete mode, all windows)."""
+    return _run_live(spark, sf, with_alerts=False)[0]
+
+
+@query("stream_live_exertion")
+def _t5(spark, sf):
+    """The live alert table after the stream has drained."""
+    return _run_live(spark, sf, with_alerts=True)[0]
+
+
+def _run_alert_log(spark, sf):
+    g = _g(spark, sf)
+    alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), g.thresholds)
+    path, ckpt = scratch_path(spark, "streaming_alerts"), scratch_path(spark, "streaming_alerts-checkpoint")
+    q = _st.start_alert_log(alerts, path, ckpt)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(path), q
+
+
+@query("stream_alert_sink")
+def _t6(spark, sf):
+    """Append-mode alert log; windows closed by the watermark."""
+    return _run_alert_log(spark, sf)[0]
+
+
+@query("stream_progress")
+def _t8(spark, sf):
+    """Progress rows of the alert-log query (rows only)."""
+    _, q = _run_alert_log(spark, sf)
+    return _st.progress_frame(spark, q).select("batch_id", "num_input_rows", "watermark")
+
+
+@query("gate_alert_output")
+def _g5(spark, sf):
+    """G5 on the alert log written by the stream."""
+    return quality.gate_alert_output(_run_alert_log(spark, sf)[0])
+
+
+# ---- sources and sinks (S1, S2, S5, S6, S9, S12, R4, G4) -----------------------------------
+from courtload.plans import batch as _batch  # noqa: E402
+from courtload.sources import files as _files  # noqa: E402
+
+
+@query("scan_csv")
+def _s1(spark, sf):
+    """Tracking written as gzip CSV and read back with its declared schema."""
+    path = scratch_path(spark, "player-tracking.csv")
+    _g(spark, sf).d.tracking.write.option("header", "true").option("compression", "gzip").csv(path)
+    return _files.read_csv(spark, path, _schemas.PLAYER_TRACKING)
+
+
+@query("scan_json")
+def _s2(spark, sf):
+    """Box scores written as gzip JSON lines and read back with their declared schema."""
+    path = scratch_path(spark, "game-stats.json")
+    _g(spark, sf).d.stats.write.option("compression", "gzip").json(path)
+    return _files.read_json(spark, path, _schemas.GAME_STATS)
+
+
+@query("publish_roundtrip")
+def _s5(spark, sf):
+    """Back-to-back analysis published (overwrite, twice) and read back."""
+    path = scratch_path(spark, "back_to_back_analysis.parquet")
+    btb = _g(spark, sf).btb
+    _files.publish(btb, path)
+    _files.publish(btb, path)
+    return spark.read.parquet(path)
+
+
+@query("publish_partitioned")
+def _s6(spark, sf):
+    """Rolling workload published partitioned by team; per-team census of the read-back."""
+    path = scratch_path(spark, "rolling_workload.parquet")
+    _files.publish(_g(spark, sf).rolling, path, partition_by=["team_id"])
+    back = spark.read.parquet(path)
+    return back.groupBy("team_id").agg(F.count(F.lit(1)).alias("rows"),
+                                       F.sum("rolling_5g_distance").alias("rolling_distance"))
+
+
+@query("read_optional")
+def _s9(spark, sf):
+    """A present dataset reads normally; a missing one yields an empty typed frame."""
+    present = _files.read_optional(spark, f"{sf}/events.parquet",
+                                   spark.read.parquet(f"{sf}/events.parquet").schema)
+    missing = _files.read_optional(spark, scratch_path(spark, "absent.parquet"), present.schema)
+    return present.unionByName(missing).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("published_census")
+def _r4(spark, sf):
+    """Row counts of the published datasets, read from the files the batch job wrote."""
+    paths = _batch.run_batch(spark, sf)
+    return _batch.manifest(spark, paths).select("zone", "dataset", "rows")
+
+
+@query("dataset_manifest")
+def _s12(spark, sf):
+    """S12 (rows only: paths are run-specific)."""
+    return _batch.manifest(spark, _batch.run_batch(spark, sf))
+
+
+@query("gate_outputs")
+def _g4(spark, sf):
+    """G4."""
+    return _batch.gate_outputs(spark, _batch.run_batch(spark, sf))
