@@ -94,16 +94,21 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
     cols = df.columns
     ranked = global_position(df, [F.col(part).asc_nulls_first(), *order], partitions)
     measures = sorted({c for _, c in aggs.values()})
+    own = [c for c in cols if c != part]
     copies = ranked.select(
-        F.col(part), F.col("_g"), *[F.col(m) for m in measures], F.struct(*cols).alias("_row"),
+        F.col(part), F.col("_g"), *[F.col(m).alias(f"_m_{m}") for m in measures], *[F.col(c) for c in own],
         F.explode(F.sequence(F.col("_g"), F.col("_g") + F.lit(n - 1))).alias("_t"),
-    ).select(
-        F.col(part), F.col("_t"), *[F.col(m) for m in measures],
-        F.when(F.col("_t") == F.col("_g"), F.col("_row")).alias("_row"),
     )
+    is_self = F.col("_t") == F.col("_g")
+    copies = copies.select(
+        F.col(part), F.col("_t"), is_self.alias("_self"), *[F.col(f"_m_{m}") for m in measures],
+        *[F.when(is_self, F.col(c)).alias(c) for c in own],
+    )
+    # One value per column from the row itself (max over a single non-NULL); typed
+    # column maxima keep the aggregate in the hash-based operator.
     framed = copies.groupBy(part, "_t").agg(
-        F.max("_row").alias("_row"),
-        *[fns[fn](c).alias(name) for name, (fn, c) in aggs.items()],
+        F.max("_self").alias("_self"),
+        *[F.max(c).alias(c) for c in own],
+        *[fns[fn](f"_m_{c}").alias(name) for name, (fn, c) in aggs.items()],
     )
-    return framed.filter(F.col("_row").isNotNull()).select(
-        *[F.col(f"_row.{c}").alias(c) for c in cols], *list(aggs))
+    return framed.filter(F.col("_self")).select(*cols, *list(aggs))

@@ -17,6 +17,7 @@ def build_session(master: str = "local[*]", app: str = "courtload",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
