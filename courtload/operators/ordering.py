@@ -70,7 +70,7 @@ def ntile_global(df: DataFrame, n: int, order: Sequence[Column], out: str = "til
 
 def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
                  aggs: Mapping[str, tuple[str, str]], method: str = "split",
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, chunk_rows: int = 1 << 20) -> DataFrame:
     """Frame ``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW`` per ``part``.
 
     ``aggs`` maps output name -> (function, column) with function in
@@ -78,9 +78,11 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
     within ``part``.
 
     method="window": Spark's window operator (one task per ``part`` value).
-    method="split":  global positions over (part, order); every row is copied
-    to the n positions whose frame contains it and the frames are summed by a
-    grouped aggregate keyed on (part, position), so no group exceeds n rows.
+    method="split":  global positions over (part, order) cut the rows into
+    chunks of ``chunk_rows`` consecutive positions; the last n-1 rows of
+    every chunk are copied into the next one as a read-only halo, and the
+    window runs per (part, chunk).  A player with a third of all rows is
+    spread over many chunks; no window group exceeds chunk_rows + n - 1 rows.
     """
     fns = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
     if method == "window":
@@ -93,22 +95,11 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
         raise ValueError(f"unknown method {method!r}")
     cols = df.columns
     ranked = global_position(df, [F.col(part).asc_nulls_first(), *order], partitions)
-    measures = sorted({c for _, c in aggs.values()})
-    own = [c for c in cols if c != part]
-    copies = ranked.select(
-        F.col(part), F.col("_g"), *[F.col(m).alias(f"_m_{m}") for m in measures], *[F.col(c) for c in own],
-        F.explode(F.sequence(F.col("_g"), F.col("_g") + F.lit(n - 1))).alias("_t"),
-    )
-    is_self = F.col("_t") == F.col("_g")
-    copies = copies.select(
-        F.col(part), F.col("_t"), is_self.alias("_self"), *[F.col(f"_m_{m}") for m in measures],
-        *[F.when(is_self, F.col(c)).alias(c) for c in own],
-    )
-    # One value per column from the row itself (max over a single non-NULL); typed
-    # column maxima keep the aggregate in the hash-based operator.
-    framed = copies.groupBy(part, "_t").agg(
-        F.max("_self").alias("_self"),
-        *[F.max(c).alias(c) for c in own],
-        *[fns[fn](f"_m_{c}").alias(name) for name, (fn, c) in aggs.items()],
-    )
-    return framed.filter(F.col("_self")).select(*cols, *list(aggs))
+    chunk = F.floor(F.col("_g") / F.lit(chunk_rows))
+    body = ranked.withColumn("_c", chunk).withColumn("_halo", F.lit(False))
+    halo = (ranked.filter(F.col("_g") % F.lit(chunk_rows) >= F.lit(chunk_rows - (n - 1)))
+                  .withColumn("_c", chunk + 1).withColumn("_halo", F.lit(True)))
+    w = Window.partitionBy(part, "_c").orderBy("_g").rowsBetween(-(n - 1), 0)
+    framed = body.unionByName(halo).select(
+        *cols, "_halo", *[fns[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
+    return framed.filter(~F.col("_halo")).drop("_halo")

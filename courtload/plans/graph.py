@@ -71,7 +71,10 @@ class Graph:
 
     @cached_property
     def thresholds(self) -> DataFrame:
-        return workload.player_thresholds(self.rolling)
+        # The reference reads these off rolling_workload; the two columns used are
+        # per-game values the rolling step only carries along (one row per game),
+        # so the per-game table gives the same thresholds without the frame work.
+        return workload.player_thresholds(self.pgw)
 
     # --- impact --------------------------------------------------------------------
     @cached_property

@@ -448,7 +448,7 @@ from courtload.streaming import telemetry as _st  # noqa: E402
 def _run_live(spark, sf, with_alerts: bool) -> tuple[DataFrame, object]:
     g = _g(spark, sf)
     tel = _st.telemetry_stream(spark, sf)
-    df = _st.alert_stream(tel, g.thresholds) if with_alerts else _alerts.windowed_exertion(tel)
+    df = _st.alert_stream(tel, _st.static_thresholds(g.thresholds)) if with_alerts else _alerts.windowed_exertion(tel)
     name = "player_exertion" if with_alerts else "windowed_exertion_live"
     path, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
     q = _st.start_live(df, name, ckpt, path)
@@ -472,7 +472,7 @@ def _t5(spark, sf):
 
 def _run_alert_log(spark, sf):
     g = _g(spark, sf)
-    alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), g.thresholds)
+    alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))
     path, ckpt = scratch_path(spark, "streaming_alerts"), scratch_path(spark, "streaming_alerts-checkpoint")
     q = _st.start_alert_log(alerts, path, ckpt)
     q.awaitTermination()

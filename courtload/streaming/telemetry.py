@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from courtload import config
 from courtload.operators.alerts import apply_alerts, windowed_exertion
+from courtload.session import materialize
 from courtload.sources.adapters import telemetry_events
 from courtload.sources.telemetry import telemetry_decode, telemetry_encode
 
@@ -38,9 +39,22 @@ def telemetry_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry_decode(telemetry_encode(telemetry_events(table_stream(spark, sf_dir))))
 
 
+def static_thresholds(thresholds: DataFrame) -> DataFrame:
+    """Write the per-player thresholds once and read them back.
+
+    The static side of a stream-static join is re-executed on every
+    micro-batch; reading a written table keeps that to a small scan instead
+    of the whole history aggregation.
+    """
+    return materialize(thresholds, "player_thresholds")
+
+
 def alert_stream(telemetry: DataFrame, thresholds: DataFrame, size: str = config.WINDOW,
                  delay: str = config.WATERMARK) -> DataFrame:
-    """Watermark, tumbling windows, stream-static threshold join, flags."""
+    """Watermark, tumbling windows, stream-static threshold join, flags.
+
+    ``thresholds`` should be a written table (``static_thresholds``).
+    """
     return apply_alerts(windowed_exertion(telemetry, size=size, delay=delay), thresholds)
 
 

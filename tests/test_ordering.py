@@ -43,7 +43,7 @@ def test_split_rolling_equals_window(spark):
     df = _skewed(spark)
     aggs = {"s": ("sum", "x"), "a": ("avg", "x"), "c": ("count", "x")}
     order = [F.col("seq")]
-    split = rolling_rows(df, "player", order, 5, aggs, method="split", partitions=6)
+    split = rolling_rows(df, "player", order, 5, aggs, method="split", partitions=6, chunk_rows=97)
     window = rolling_rows(df, "player", order, 5, aggs, method="window")
     j = split.alias("a").join(window.alias("b"), ["player", "seq"])
     assert j.count() == df.count() == split.count()
