@@ -96,10 +96,12 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
     cols = df.columns
     ranked = global_position(df, [F.col(part).asc_nulls_first(), *order], partitions)
     chunk = F.floor(F.col("_g") / F.lit(chunk_rows))
-    body = ranked.withColumn("_c", chunk).withColumn("_halo", F.lit(False))
-    halo = (ranked.filter(F.col("_g") % F.lit(chunk_rows) >= F.lit(chunk_rows - (n - 1)))
-                  .withColumn("_c", chunk + 1).withColumn("_halo", F.lit(True)))
+    tail = F.col("_g") % F.lit(chunk_rows) >= F.lit(chunk_rows - (n - 1))
+    # one scan: every row once in its own chunk (shift 0), chunk tails once more as the next chunk's halo
+    shifts = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copies = ranked.select(*cols, "_g", chunk.alias("_c0"), F.explode(shifts).alias("_shift")).select(
+        *cols, "_g", (F.col("_c0") + F.col("_shift")).alias("_c"), (F.col("_shift") == 1).alias("_halo"))
     w = Window.partitionBy(part, "_c").orderBy("_g").rowsBetween(-(n - 1), 0)
-    framed = body.unionByName(halo).select(
+    framed = copies.select(
         *cols, "_halo", *[fns[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
     return framed.filter(~F.col("_halo")).drop("_halo")
