@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from courtload import config, schemas
-from courtload.functions.exprs import epoch_seconds, in_range
+from courtload.functions.exprs import epoch_seconds, in_range, utc_wallclock
 
 FIELDS = tuple(f.name for f in schemas.TELEMETRY.fields)
 
@@ -31,7 +31,13 @@ def tracking_messages(tracking: DataFrame, time_col: str = "timestamp") -> DataF
     ``event_time`` is the sample's own time (epoch seconds), where the
     reference replay stamped the producer's wall clock.
     """
-    ts = F.try_to_timestamp(F.col(time_col).cast("string")).cast("timestamp_ntz")
+    kind = tracking.schema[time_col].dataType.simpleString()
+    if kind == "timestamp_ntz":
+        ts = F.col(time_col)
+    elif kind == "timestamp":
+        ts = utc_wallclock(F.col(time_col))
+    else:                                       # text from a raw file: unparseable -> NULL -> dropped
+        ts = F.col(time_col).cast("string").try_cast("timestamp_ntz")
     t = tracking.withColumn("_ts", ts).filter(F.col("_ts").isNotNull())
     return t.select(
         F.col("game_id").cast("string").alias("game_id"),
