@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtload import config
-from courtload.functions.exprs import utc_wallclock, sround
+from courtload.functions.exprs import sround, utc_wallclock
+from courtload.operators.joins import salted_join
 
 KEYS = ("player_id", "team_id", "game_id")
 
@@ -43,7 +44,7 @@ def apply_alerts(exertion: DataFrame, thresholds: DataFrame, hr_default: float =
     """Left join personal thresholds (defaults when missing) and flag the windows."""
     thr = thresholds.select(F.col("player_id").cast("string").alias("player_id"),
                             "hr_alert_threshold", "distance_alert_threshold")
-    j = exertion.join(thr, "player_id", "left").fillna(
+    j = salted_join(exertion, thr, ["player_id"], "left").fillna(
         {"hr_alert_threshold": hr_default, "distance_alert_threshold": distance_default})
     return (j.withColumn("heart_rate_alert", F.col("avg_heart_rate") >= F.col("hr_alert_threshold"))
              .withColumn("distance_alert", F.col("total_distance_ft") >= F.col("distance_alert_threshold"))

@@ -75,6 +75,27 @@ def fan_avg_of_game(col: str) -> Column:
     return F.try_divide(F.sum(F.col("pair_rows") * x), F.sum(F.when(x.isNotNull(), F.col("pair_rows"))))
 
 
+SALTS = 32
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
+                salts: int = SALTS) -> DataFrame:
+    """Equi-join of a possibly skewed ``big`` side with a ``small`` per-key side.
+
+    Each ``big`` row gets a salt in [0, salts) from a hash of its own values
+    (deterministic, so a recomputed partition salts the same way); ``small``
+    is copied once per salt.  A key holding a third of ``big`` is spread over
+    ``salts`` tasks whether or not AQE's skew handling is on.  Same rows as
+    ``big.join(small, keys, how)`` for inner / left / left_semi / left_anti.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join keeps the big side on the left; got how={how!r}")
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
+    b = big.withColumn("_salt", salt)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return b.join(s, [*keys, "_salt"], how).drop("_salt")
+
+
 def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id") -> DataFrame:
     """Left join of schedule context; a game without schedule keeps NULLs.
 
@@ -101,9 +122,13 @@ def join_training_by_date(sessions: DataFrame, schedule: DataFrame, date: str =
 
 def attach_team(sessions: DataFrame, tracking: DataFrame, player: str = "player_id",
                 team: str = "team_id") -> DataFrame:
-    """Add team via the distinct (player, team) bridge; two teams duplicate a session."""
+    """Add team via the distinct (player, team) bridge; two teams duplicate a session.
+
+    The bridge is per player (small); the join is salted so one player's many
+    sessions do not land in one task.
+    """
     bridge = tracking.select(player, team).distinct()
-    return sessions.join(bridge, player, "left")
+    return salted_join(sessions, bridge, [player], "left")
 
 
 def join_schedule(sessions: DataFrame, schedule: DataFrame, date: str = "date", team: str = "team_id",
