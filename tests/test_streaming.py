@@ -85,3 +85,25 @@ def test_late_row_changes_complete_but_not_append(spark):
     q2.awaitTermination()
     appended = spark.read.parquet(log).filter(F.minute("window_start") == 0).collect()
     assert len(appended) == 1 and appended[0]["tracking_frames"] == 1  # append mode dropped it
+
+
+def test_live_sql_matches_dataframe_readouts(spark):
+    from courtload.operators import alerts as al
+    from tests.conftest import SF_SMALL
+    from courtload.plans.graph import Graph
+    g = Graph.of(spark, SF_SMALL)
+    tel = st.telemetry_stream(spark, SF_SMALL)
+    df = st.alert_stream(tel, st.static_thresholds(g.thresholds))
+    path = scratch_path(spark, "live-sql")
+    q = st.start_live(df, "player_exertion", scratch_path(spark, "live-sql-ckpt"), path)
+    q.awaitTermination()
+    live = st.live_table(spark, "player_exertion", path)
+    for name, fn in [("heart_rate_alerts", al.heart_rate_alerts), ("distance_alerts", al.distance_alerts),
+                     ("substitution_candidates", al.substitution_candidates),
+                     ("live_exertion_ranking", al.live_exertion_ranking)]:
+        a = st.live_sql(spark, name)
+        b = fn(live)
+        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(a.columns).collect()), key=repr)
+    t = st.live_sql(spark, "team_alert_summary").collect()
+    u = al.team_alert_summary(live).collect()
+    assert sorted(map(tuple, t), key=repr) == sorted(map(tuple, u), key=repr)
