@@ -107,3 +107,18 @@ def test_live_sql_matches_dataframe_readouts(spark):
     t = st.live_sql(spark, "team_alert_summary").collect()
     u = al.team_alert_summary(live).collect()
     assert sorted(map(tuple, t), key=repr) == sorted(map(tuple, u), key=repr)
+
+
+def test_telemetry_source_and_stop_all(spark):
+    from courtload.sources.telemetry import telemetry_source
+    src = scratch_path(spark, "src-any").replace("file:", "")
+    os.makedirs(src)
+    _stage(spark, src, "b0", [_msg(1, 0.5, 100.0)], time.time() - 50)
+    raw = telemetry_source(spark, fmt="text", options={"recursiveFileLookup": "true"},
+                           schema=None, path=src)
+    q = (telemetry_decode(raw, schemas.TELEMETRY).writeStream.format("memory").queryName("tsrc")
+         .option("checkpointLocation", scratch_path(spark, "tsrc-ckpt")).start())
+    q.processAllAvailable()
+    assert spark.table("tsrc").count() == 1
+    assert "tsrc" in st.stop_all(spark)
+    assert not q.isActive
