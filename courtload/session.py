@@ -39,7 +39,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="courtload-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share "
+                               "(intermediate tables and stream checkpoints go there)")
+        conf = tempfile.mkdtemp(prefix="courtload-ckpt-")   # local mode only (tests, a laptop)
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
 
@@ -49,10 +52,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/courtload/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
