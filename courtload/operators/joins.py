@@ -31,22 +31,40 @@ def _side_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[str], c
     return df.groupBy(*keys).agg(*aggs)
 
 
+GRAINS = ("literal", "pre_aggregated")
+
+
 def join_tracking_stats(tracking: DataFrame, stats: DataFrame,
                         keys: Sequence[str] = ("game_id", "player_id"),
-                        team: str = "team_id") -> DataFrame:
+                        team: str = "team_id", grain: str = "literal") -> DataFrame:
     """J1 at key grain: one row per (game, player, team) of the inner join.
 
-    ``pair_rows`` = rows the literal join produces for the key.
+    ``pair_rows`` = rows the literal join produces for the key.  ``grain``
+    fixes what the downstream aggregates count:
+
+    * "literal" (the reference): every joined row -- a tracking sample
+      counts once per box-score row of its key and vice versa;
+    * "pre_aggregated": every tracking sample and every box-score row once;
+      row counts count (game, player, team) keys.
+
+    The weights travel as columns (``w_track``, ``w_stats``, ``w_rows``), so
+    the aggregating operators need no grain argument.
     """
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
     t = _side_summary(tracking, [*keys, team], TRACK_MEASURES, "n_track")
     s = _side_summary(stats, list(keys), STATS_MEASURES, "n_stats")
-    return (t.join(s, list(keys), "inner")
-             .withColumn("pair_rows", F.col("n_track") * F.col("n_stats")))
+    j = t.join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
+    if grain == "literal":
+        return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
+                 .withColumn("w_rows", F.col("pair_rows")))
+    one = F.lit(1).cast("long")
+    return j.withColumn("w_track", one).withColumn("w_stats", one).withColumn("w_rows", one)
 
 
 def weight(measure: str) -> Column:
-    """How many joined rows each summed value of ``measure`` stands for."""
-    return F.col("n_stats") if measure in TRACK_MEASURES else F.col("n_track")
+    """How many aggregated rows each summed value of ``measure`` stands for."""
+    return F.col("w_track") if measure in TRACK_MEASURES else F.col("w_stats")
 
 
 def fan_sum(measure: str) -> Column:
@@ -66,13 +84,13 @@ def fan_avg(measure: str) -> Column:
 
 def fan_rows() -> Column:
     """count(*) / count(game_id) over the joined rows."""
-    return F.sum("pair_rows")
+    return F.sum("w_rows")
 
 
 def fan_avg_of_game(col: str) -> Column:
     """avg of a per-game column (schedule side) over the joined rows."""
     x = F.col(col)
-    return F.try_divide(F.sum(F.col("pair_rows") * x), F.sum(F.when(x.isNotNull(), F.col("pair_rows"))))
+    return F.try_divide(F.sum(F.col("w_rows") * x), F.sum(F.when(x.isNotNull(), F.col("w_rows"))))
 
 
 SALTS = 32

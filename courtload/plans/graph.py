@@ -17,9 +17,10 @@ from courtload.sources.adapters import Domain, load_domain
 
 
 class Graph:
-    def __init__(self, domain: Domain, rolling_method: str = "split"):
+    def __init__(self, domain: Domain, rolling_method: str = "split", grain: str = "literal"):
         self.d = domain
         self.rolling_method = rolling_method
+        self.grain = grain
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -36,7 +37,7 @@ class Graph:
     @cached_property
     def keyed(self) -> DataFrame:
         """J1 at (game, player, team) grain."""
-        return joins.join_tracking_stats(self.d.tracking, self.d.stats)
+        return joins.join_tracking_stats(self.d.tracking, self.d.stats, grain=self.grain)
 
     @cached_property
     def keyed_sched(self) -> DataFrame:

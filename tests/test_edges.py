@@ -182,3 +182,29 @@ def test_incident_frequency(spark):
     got = {r["workload_profile"]: r for r in rows(risk.incident_frequency_by_tier(prof, inc))}
     assert got["High Usage"]["incidents"] == 2 and got["High Usage"]["injury_rate"] == 0.5
     assert got["Low Usage"]["incidents"] == 0
+
+
+def test_pre_aggregated_grain_counts_each_side_once(spark):
+    tracking = [(1, 7, 3, 10.0, 100.0, 5.0), (1, 7, 3, 20.0, None, 6.0), (2, 7, 3, 30.0, 90.0, 2.0)]
+    stats = [(1, 7, 10.0, 2, 1.0, 4, 2), (1, 7, 6.0, 3, -2.0, 2, 0), (2, 7, 8.0, 1, None, 2, 1)]
+    t = spark.createDataFrame(tracking, "game_id long, player_id long, team_id int, distance_covered_ft double, "
+                                        "heart_rate_bpm double, speed_mph double")
+    s = spark.createDataFrame(stats, "game_id long, player_id long, minutes_played double, points int, "
+                                     "plus_minus double, shot_attempts int, shot_made int")
+    sc = spark.createDataFrame([(1, D(2000, 1, 1), True, 400.0, 0), (2, D(2000, 1, 2), True, 100.0, 1)],
+                               "game_id long, date date, back_to_back boolean, travel_distance_miles double, "
+                               "rest_days_since_last_game int")
+    ks = joins.schedule_context(joins.join_tracking_stats(t, s, grain="pre_aggregated"), sc)
+    got = {r["game_id"]: r for r in rows(workload.player_game_workload(ks))}
+    assert got[1]["total_distance_ft"] == 30.0 and got[1]["total_minutes"] == 16.0   # literal: 60.0 and 32.0
+    assert got[1]["avg_heart_rate"] == 100.0 and got[1]["total_shot_attempts"] == 6
+    btb = rows(impact.back_to_back_analysis(ks))[0]
+    assert btb["games_played"] == 2                                                  # two (game, player) keys
+
+
+def test_output_gate_reports_missing_dataset(spark):
+    from courtload.operators.quality import expect_datasets
+    manifest = spark.createDataFrame([("a", 3, True), ("b", 0, True), ("c", 0, False)],
+                                     "dataset string, rows long, present boolean")
+    got = {r["subject"]: r["passed"] for r in expect_datasets(manifest, ["a", "b", "c", "d"]).collect()}
+    assert got == {"a": True, "b": False, "c": False, "d": False}
