@@ -40,10 +40,16 @@ def windowed_exertion(telemetry: DataFrame, size: str = config.WINDOW, delay: st
 
 
 def apply_alerts(exertion: DataFrame, thresholds: DataFrame, hr_default: float = config.HR_FALLBACK,
-                 distance_default: float = config.DISTANCE_FALLBACK) -> DataFrame:
-    """Left join personal thresholds (defaults when missing) and flag the windows."""
-    thr = thresholds.select(F.col("player_id").cast("string").alias("player_id"),
-                            "hr_alert_threshold", "distance_alert_threshold")
+                 distance_default: float = config.DISTANCE_FALLBACK, distance_scale: float = 1.0) -> DataFrame:
+    """Left join personal thresholds (defaults when missing) and flag the windows.
+
+    The distance threshold comes from per-game totals while the window sum
+    covers one window; ``distance_scale`` (e.g. window length / game length)
+    rescales it.  1.0 is the reference behaviour.
+    """
+    thr = thresholds.select(F.col("player_id").cast("string").alias("player_id"), "hr_alert_threshold",
+                            (F.col("distance_alert_threshold") * distance_scale).alias("distance_alert_threshold")
+                            if distance_scale != 1.0 else F.col("distance_alert_threshold"))
     j = salted_join(exertion, thr, ["player_id"], "left").fillna(
         {"hr_alert_threshold": hr_default, "distance_alert_threshold": distance_default})
     return (j.withColumn("heart_rate_alert", F.col("avg_heart_rate") >= F.col("hr_alert_threshold"))

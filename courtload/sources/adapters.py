@@ -133,7 +133,7 @@ class Domain:
     schedule: DataFrame
     training: DataFrame
     incidents: DataFrame
-    events: DataFrame
+    events: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
@@ -154,3 +154,29 @@ def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
         incidents=injury_reports(events),
         events=events,
     )
+
+
+RAW_FORMATS = {
+    "player_tracking": "csv", "game_stats": "json", "injury_reports": "csv",
+    "training_sessions": "json", "team_schedules": "csv",
+}
+
+
+def load_raw_domain(spark: SparkSession, paths: dict[str, str], land_to: str | None = None) -> Domain:
+    """The five domain tables from raw files (CSV with header / JSON lines, gzip or not).
+
+    Schemas are declared (``schemas.DOMAIN``), not inferred.  With ``land_to``
+    each input is first landed as Parquet under that folder.
+    """
+    from courtload import schemas
+    from courtload.sources.files import land_as_parquet, read_csv, read_json
+
+    def load(name: str) -> DataFrame:
+        fmt, schema = RAW_FORMATS[name], schemas.DOMAIN[name]
+        if land_to:
+            return land_as_parquet(spark, paths[name], schema, fmt, f"{land_to.rstrip('/')}/{name}.parquet")
+        return read_csv(spark, paths[name], schema) if fmt == "csv" else read_json(spark, paths[name], schema)
+
+    return Domain(tracking=load("player_tracking"), stats=load("game_stats"),
+                  schedule=load("team_schedules"), training=load("training_sessions"),
+                  incidents=load("injury_reports"))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from courtload import config, schemas
 from courtload.functions.exprs import epoch_seconds, in_range, utc_wallclock
@@ -58,11 +58,19 @@ def telemetry_encode(messages: DataFrame, key: str = "player_id", fields: Sequen
 
 
 def telemetry_decode(records: DataFrame, schema: StructType = schemas.TELEMETRY, value: str = "value",
-                     lo: float = config.HR_KEEP[0], hi: float = config.HR_KEEP[1]) -> DataFrame:
-    """bytes/string -> struct -> columns; event time = whole epoch seconds; keep HR in [lo, hi].
+                     lo: float = config.HR_KEEP[0], hi: float = config.HR_KEEP[1],
+                     time_field: str = "event_time") -> DataFrame:
+    """bytes/string -> struct -> columns; event time in whole seconds; keep HR in [lo, hi].
 
-    A malformed message parses to NULL fields and is dropped by the range filter.
+    ``time_field`` names the message field that carries event time: epoch
+    seconds (``event_time``, the default) or a timestamp string such as
+    ``game_timestamp`` (read as UTC wall clock).  A malformed message parses
+    to NULL fields and is dropped by the range filter.
     """
     parsed = records.select(F.from_json(F.col(value).cast("string"), schema).alias("data")).select("data.*")
-    return (parsed.withColumn("event_timestamp", F.timestamp_seconds(F.floor(F.col("event_time"))))
+    if isinstance(schema[time_field].dataType, StringType):
+        secs = F.floor(epoch_seconds(F.col(time_field).try_cast("timestamp_ntz")))
+    else:
+        secs = F.floor(F.col(time_field))
+    return (parsed.withColumn("event_timestamp", F.timestamp_seconds(secs))
                   .filter(in_range("heart_rate_bpm", lo, hi)))

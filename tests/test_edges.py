@@ -208,3 +208,22 @@ def test_output_gate_reports_missing_dataset(spark):
                                      "dataset string, rows long, present boolean")
     got = {r["subject"]: r["passed"] for r in expect_datasets(manifest, ["a", "b", "c", "d"]).collect()}
     assert got == {"a": True, "b": False, "c": False, "d": False}
+
+
+def test_decode_from_game_time_field(spark):
+    msg = '{"player_id": "1", "game_timestamp": "2024-01-01 00:00:07", "event_time": 99.0, "heart_rate_bpm": 100.0}'
+    df = spark.createDataFrame([(msg,)], "value string")
+    r = rows(tel.telemetry_decode(df, schemas.TELEMETRY, time_field="game_timestamp"))[0]
+    assert int(r["event_timestamp"].timestamp()) == 1704067207
+    r2 = rows(tel.telemetry_decode(df, schemas.TELEMETRY))[0]
+    assert int(r2["event_timestamp"].timestamp()) == 99
+
+
+def test_distance_scale(spark):
+    exe = spark.createDataFrame([("1", 100.0, 150.0)], "player_id string, avg_heart_rate double, "
+                                                       "total_distance_ft double")
+    thr = spark.createDataFrame([(1, 200.0, 1000.0)], "player_id long, hr_alert_threshold double, "
+                                                      "distance_alert_threshold double")
+    assert rows(alerts.apply_alerts(exe, thr))[0]["distance_alert"] is False
+    scaled = rows(alerts.apply_alerts(exe, thr, distance_scale=0.1))[0]
+    assert scaled["distance_alert_threshold"] == 100.0 and scaled["distance_alert"] is True
