@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtload import config
-from courtload.functions.exprs import round_doubles, sround
+from courtload import schemas as _schemas
+from courtload.functions.exprs import round_doubles, sround, utc_wallclock
+from courtload.operators import alerts as _alerts
 from courtload.operators import clean, impact, joins, quality, risk, training, workload
+from courtload.plans import batch as _batch
 from courtload.plans.graph import Graph
+from courtload.session import scratch_path
+from courtload.sources import files as _files
+from courtload.sources import telemetry as _tel
+from courtload.sources.adapters import telemetry_events
+from courtload.streaming import telemetry as _st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -364,11 +372,6 @@ def _g3(spark, sf):
 
 
 # ---- telemetry in batch form (S11, T1, T3, T4, L1-L4, A20, R5, G6) -----------------------
-from courtload import schemas as _schemas  # noqa: E402
-from courtload.functions.exprs import utc_wallclock  # noqa: E402
-from courtload.operators import alerts as _alerts  # noqa: E402
-from courtload.sources import telemetry as _tel  # noqa: E402
-from courtload.sources.adapters import telemetry_events  # noqa: E402
 
 
 def _decoded(g: Graph) -> DataFrame:
@@ -441,8 +444,6 @@ def _g6(spark, sf):
 
 
 # ---- Structured Streaming (T5-T8, S7, S8) --------------------------------------------------
-from courtload.session import scratch_path  # noqa: E402
-from courtload.streaming import telemetry as _st  # noqa: E402
 
 
 def _run_live(spark, sf, with_alerts: bool) -> tuple[DataFrame, object]:
@@ -501,8 +502,6 @@ def _g5(spark, sf):
 
 
 # ---- sources and sinks (S1, S2, S5, S6, S9, S12, R4, G4) -----------------------------------
-from courtload.plans import batch as _batch  # noqa: E402
-from courtload.sources import files as _files  # noqa: E402
 
 
 @query("scan_csv")
