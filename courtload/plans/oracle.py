@@ -303,8 +303,9 @@ GROUP BY s.game_id, s.player_id
 q("workload_tiers", f"""
 SELECT workload_tier, {hu('avg(shooting_pct)', 2)} AS avg_shooting_pct, {hu('avg(avg_plus_minus)', 3)} AS avg_plus_minus,
        {hu('avg(rolling_5g_distance)', 1)} AS avg_rolling_distance, {hu('avg(rolling_5g_minutes)', 1)} AS avg_rolling_minutes
-FROM (SELECT *, ntile(4) OVER (ORDER BY rolling_5g_distance NULLS FIRST, player_id NULLS FIRST, game_id NULLS FIRST,
-                               team_id NULLS FIRST, "date" NULLS FIRST) AS workload_tier FROM rolling) AS t_
+FROM (SELECT *, CAST(ntile(4) OVER (ORDER BY rolling_5g_distance NULLS FIRST, player_id NULLS FIRST,
+                                    game_id NULLS FIRST, team_id NULLS FIRST, "date" NULLS FIRST) AS INTEGER)
+                 AS workload_tier FROM rolling) AS t_
 GROUP BY workload_tier
 """, ["avg_shooting_pct", "avg_plus_minus", "avg_rolling_distance", "avg_rolling_minutes"])
 

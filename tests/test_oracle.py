@@ -21,9 +21,17 @@ def test_every_query_registered_with_oracle_or_rows_only():
     assert rows_only == {"stream_progress", "dataset_manifest", "gate_outputs"}
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = table(QUERIES[name](spark, SF_SMALL).toPandas())
+    sdf = QUERIES[name](spark, SF_SMALL)
+    types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+             for f in sdf.schema.fields}
+    assert types == {r[0]: r[1] for r in con.sql(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    got = table(sdf.toPandas())
     want = table(con.sql(ORACLE[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
