@@ -149,3 +149,20 @@ LIVE_SQL = {
 def live_sql(spark: SparkSession, name: str, view: str = "player_exertion") -> DataFrame:
     """Run one of the live-table SQL readouts (L1-L4, A20) against ``view``."""
     return spark.sql(LIVE_SQL[name].format(t=view))
+
+
+def start_alert_job(telemetry: DataFrame, thresholds: DataFrame, root: str, name: str = "player_exertion",
+                    trigger: str | None = "available_now", live_sink: str = "table") -> dict[str, StreamingQuery]:
+    """The streaming stage: live exertion table (complete) and alert log (append) from one feed.
+
+    ``thresholds`` is written once first (``static_thresholds``); outputs and
+    checkpoints go under ``root`` (a shared folder): ``root/live``,
+    ``root/alerts``, ``root/checkpoints/{live,alerts}``.  A restart with the
+    same ``root`` resumes from the checkpoints.
+    """
+    thr = static_thresholds(thresholds)
+    alerts = alert_stream(telemetry, thr)
+    root = root.rstrip("/")
+    live = start_live(alerts, name, f"{root}/checkpoints/live", f"{root}/live", sink=live_sink, trigger=trigger)
+    log = start_alert_log(alerts, f"{root}/alerts", f"{root}/checkpoints/alerts", trigger=trigger)
+    return {"live": live, "alerts": log}

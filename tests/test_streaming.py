@@ -122,3 +122,20 @@ def test_telemetry_source_and_stop_all(spark):
     assert spark.table("tsrc").count() == 1
     assert "tsrc" in st.stop_all(spark)
     assert not q.isActive
+
+
+def test_alert_job_and_memory_sink(spark):
+    from courtload.plans.graph import Graph
+    from tests.conftest import SF_SMALL
+    g = Graph.of(spark, SF_SMALL)
+    root = scratch_path(spark, "alert-job")
+    qs = st.start_alert_job(st.telemetry_stream(spark, SF_SMALL), g.thresholds, root)
+    for q in qs.values():
+        q.awaitTermination()
+    live = st.live_table(spark, "player_exertion", f"{root}/live")
+    log = spark.read.parquet(f"{root}/alerts")
+    assert live.count() > 0 and 0 < log.count() <= live.filter("fatigue_alert").count()
+    mem = st.start_live(windowed_exertion(st.telemetry_stream(spark, SF_SMALL)), "exertion_mem",
+                        scratch_path(spark, "mem-ckpt"), sink="memory")
+    mem.awaitTermination()
+    assert spark.table("exertion_mem").count() == live.count()
