@@ -589,3 +589,9 @@ UNION ALL SELECT 'analytics', 'ratio_performance', count(DISTINCT CASE WHEN prac
                                                   WHEN practice_recovery_ratio <= 2 THEN 2 ELSE 3 END) FROM wperf
 UNION ALL SELECT 'analytics', 'injury_risk_features', count(*) FROM features
 """, extra=BTB + "," + PROFILE + "," + TRAINING + "," + RISK)
+q("stream_progress", """
+SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_input_rows, '1970-01-01T00:00:00.000Z' AS watermark FROM events
+UNION ALL
+SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT),
+       strftime(max(event_timestamp) - INTERVAL 10 SECOND, '%Y-%m-%dT%H:%M:%S.000Z') FROM tdec
+""", extra=TELE)
