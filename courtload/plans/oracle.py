@@ -595,3 +595,11 @@ UNION ALL
 SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT),
        strftime(max(event_timestamp) - INTERVAL 10 SECOND, '%Y-%m-%dT%H:%M:%S.000Z') FROM tdec
 """, extra=TELE)
+q("gate_outputs", "\nUNION ALL\n".join(
+    f"SELECT 'outputs_present' AS \"check\", '{name}' AS subject, "
+    f"CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, count(*) > 0 AS passed FROM {src}"
+    for name, src in [("tracking_with_stats", "tws"), ("training_with_schedule", "tsched"),
+                      ("tracking_stats_schedule", "tss"), ("rolling_workload", "rolling"),
+                      ("back_to_back_analysis", "btb"), ("travel_rest_analysis", "travel_rest"),
+                      ("training_load_analysis", "tload")]),
+  extra=BTB + "," + TRAINING + "," + TRAVEL_REST)

@@ -18,7 +18,7 @@ def con():
 def test_every_query_registered_with_oracle_or_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
-    assert rows_only == {"dataset_manifest", "gate_outputs"}
+    assert rows_only == {"dataset_manifest"}
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -44,7 +44,7 @@ def test_entry_smoke(spark):
     assert {"player_id", "rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"} <= set(df.columns)
 
 
-@pytest.mark.parametrize("name", ["dataset_manifest", "gate_outputs"])
+@pytest.mark.parametrize("name", ["dataset_manifest"])
 def test_rows_only_queries(spark, name):
     pdf = QUERIES[name](spark, SF_SMALL).toPandas()
     assert len(pdf) > 0
