@@ -452,10 +452,7 @@ def _run_live(spark, sf, with_alerts: bool) -> tuple[DataFrame, object]:
     df = _st.alert_stream(tel, _st.static_thresholds(g.thresholds)) if with_alerts else _alerts.windowed_exertion(tel)
     name = "player_exertion" if with_alerts else "windowed_exertion_live"
     path, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
-    q = _st.start_live(df, name, ckpt, path)
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    q = _st.drain(_st.start_live(df, name, ckpt, path))
     return _st.live_table(spark, name, path), q
 
 
@@ -475,10 +472,7 @@ def _run_alert_log(spark, sf):
     g = _g(spark, sf)
     alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))
     path, ckpt = scratch_path(spark, "streaming_alerts"), scratch_path(spark, "streaming_alerts-checkpoint")
-    q = _st.start_alert_log(alerts, path, ckpt)
-    q.awaitTermination()
-    if q.exception():
-        raise RuntimeError(str(q.exception()))
+    q = _st.drain(_st.start_alert_log(alerts, path, ckpt))
     return spark.read.parquet(path), q
 
 

@@ -81,6 +81,16 @@ def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = Non
     return _trigger(w.foreachBatch(overwrite), trigger).start()
 
 
+def drain(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQuery:
+    """Wait for an ``availableNow`` query to finish; stop it and raise if it does not, or if it failed."""
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not drain within {timeout_s} s")
+    if query.exception():
+        raise RuntimeError(str(query.exception()))
+    return query
+
+
 def live_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """The live table as a batch DataFrame, also registered as temp view ``name``."""
     df = spark.read.parquet(path)
