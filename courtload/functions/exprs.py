@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -90,3 +90,17 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         for f in df.schema.fields
     ]
     return df.select(*cols)
+
+
+def literal_rows(spark, rows: Sequence[Sequence], schema) -> DataFrame:
+    """A small, bounded list of rows as a JVM-side literal table (``inline`` of a struct array).
+
+    ``createDataFrame`` on a Python list plans a Python RDD and starts a
+    Python worker; these rows (gate results, expected names, progress
+    records) need none.  ``schema`` is a ``StructType`` or a DDL string.
+    """
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

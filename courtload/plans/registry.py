@@ -528,7 +528,7 @@ def _s5(spark, sf):
 def _s6(spark, sf):
     """Rolling workload published partitioned by team; per-team census of the read-back."""
     path = scratch_path(spark, "rolling_workload.parquet")
-    _files.publish(_g(spark, sf).rolling, path, partition_by=["team_id"])
+    _files.publish(_g(spark, sf).rolling, path, partition_by=["team_id"], cluster_by=["player_id", "date", "game_id"])
     back = spark.read.parquet(path)
     return back.groupBy("team_id").agg(F.count(F.lit(1)).alias("rows"),
                                        F.sum("rolling_5g_distance").alias("rolling_distance"))

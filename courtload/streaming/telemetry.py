@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from courtload import config
+from courtload.functions.exprs import literal_rows
 from courtload.operators.alerts import apply_alerts, windowed_exertion
 from courtload.session import materialize
 from courtload.sources.adapters import telemetry_events
@@ -114,7 +115,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             for p in query.recentProgress]
     schema = ("id string, name string, batch_id long, num_input_rows long, input_rows_per_second double, "
               "processed_rows_per_second double, watermark string")
-    return spark.createDataFrame(rows, schema)
+    return literal_rows(spark, rows, schema)
 
 
 def stop_all(spark: SparkSession) -> list[str]:

@@ -42,3 +42,43 @@ def test_batch_job_on_raw_files(spark):
     checks = {r["check"] for r in gates.collect()}
     assert {"inputs_present", "impossible_values", "tracking_completeness", "outputs_present"} <= checks
     assert spark.read.parquet(out["rolling_workload"]).count() == Graph.of(spark, SF_SMALL).pgw.count()
+
+
+def _parquet_files(path):
+    import os
+    return [f for r, _, fs in os.walk(path.removeprefix("file:")) for f in fs if f.endswith(".parquet")]
+
+
+def test_partitioned_publish_bounds_files_and_spreads_a_hot_key(spark):
+    from courtload.sources.files import publish
+    # key 0 holds a third of the rows, 24 other keys share the rest
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 24 + 1).cast("int").alias("team_id"),
+        F.col("id").alias("player_id"), (F.col("id") * 0.5).alias("v")).repartition(6)
+    path = scratch_path(spark, "pub")
+    # at this size AQE would rightly merge every range into one task; turn that off to see the
+    # layout large inputs get, where each range holds about the advisory partition size
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        publish(df, path, partition_by=["team_id"], cluster_by=["player_id"])
+    finally:
+        spark.conf.set(key, "true")
+    back = spark.read.parquet(path)
+    assert sorted(tuple(r) for r in back.select("team_id", "player_id", "v").collect()) == \
+        sorted(tuple(r) for r in df.collect())
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # each write task covers one contiguous key range: at most tasks + keys files, not tasks x keys
+    assert len(_parquet_files(path)) <= tasks + 25
+    # the hot key is split over several files (several tasks), not written by one
+    assert len(_parquet_files(f"{path}/team_id=0")) >= 2
+
+
+def test_literal_rows_keep_types_and_allow_empty(spark):
+    from courtload.functions.exprs import literal_rows
+    ddl = "check string, subject string, failures long, passed boolean"
+    df = literal_rows(spark, [("a", "x", 3, True), ("b", None, None, False)], ddl)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "string", "bigint", "boolean"]
+    assert sorted(tuple(r) for r in df.collect()) == [("a", "x", 3, True), ("b", None, None, False)]
+    empty = literal_rows(spark, [], ddl)
+    assert empty.columns == ["check", "subject", "failures", "passed"] and empty.count() == 0
