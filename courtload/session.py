@@ -61,4 +61,4 @@ def materialize(df, name: str):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)   # the schema just written: no footer job
