@@ -13,6 +13,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(master: str = "local[*]", app: str = "courtload",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = (SparkSession.builder.master(master).appName(app)
@@ -22,7 +25,11 @@ def build_session(master: str = "local[*]", app: str = "courtload",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         # streaming state (the complete-mode live table keeps every window) lives in RocksDB,
+         # off the JVM heap, with changelog checkpoints instead of full snapshots per batch
+         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
