@@ -82,3 +82,16 @@ def test_literal_rows_keep_types_and_allow_empty(spark):
     assert sorted(tuple(r) for r in df.collect()) == [("a", "x", 3, True), ("b", None, None, False)]
     empty = literal_rows(spark, [], ddl)
     assert empty.columns == ["check", "subject", "failures", "passed"] and empty.count() == 0
+
+
+def test_failed_input_gate_publishes_nothing(spark):
+    import os
+
+    import pytest
+    from dataclasses import replace
+    d = load_domain(spark, SF_SMALL)
+    empty = replace(d, training=d.training.filter(F.lit(False)))
+    root = scratch_path(spark, "gated")
+    with pytest.raises(batch.GateFailed, match="inputs_present:training_sessions"):
+        batch.run_batch(spark, domain=empty, root=root)
+    assert not os.path.exists(root.removeprefix("file:"))
