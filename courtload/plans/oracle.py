@@ -507,6 +507,7 @@ q("windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
 q("stream_windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
 q("stream_alerts", "SELECT * FROM talerts", ALERT_D, extra=TELE)
 q("stream_live_exertion", "SELECT * FROM talerts", ALERT_D, extra=TELE)
+q("stream_live_exertion_update", "SELECT * FROM talerts", ALERT_D, extra=TELE)
 q("stream_alert_sink", """
 SELECT * FROM talerts
 WHERE fatigue_alert AND window_end <= (SELECT max(event_timestamp) FROM tdec) - INTERVAL 10 SECOND

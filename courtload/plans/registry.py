@@ -446,14 +446,14 @@ def _g6(spark, sf):
 # ---- Structured Streaming (T5-T8, S7, S8) --------------------------------------------------
 
 
-def _run_live(spark, sf, with_alerts: bool) -> tuple[DataFrame, object]:
+def _run_live(spark, sf, with_alerts: bool, mode: str = "complete") -> tuple[DataFrame, object]:
     g = _g(spark, sf)
     tel = _st.telemetry_stream(spark, sf)
     df = _st.alert_stream(tel, _st.static_thresholds(g.thresholds)) if with_alerts else _alerts.windowed_exertion(tel)
     name = "player_exertion" if with_alerts else "windowed_exertion_live"
     path, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
-    q = _st.drain(_st.start_live(df, name, ckpt, path))
-    return _st.live_table(spark, name, path), q
+    q = _st.drain(_st.start_live(df, name, ckpt, path, mode=mode))
+    return _st.live_table(spark, name, path, keys=_st.WINDOW_KEYS if mode == "update" else None), q
 
 
 @query("stream_windowed_exertion")
@@ -468,6 +468,12 @@ def _t5(spark, sf):
     return _run_live(spark, sf, with_alerts=True)[0]
 
 
+@query("stream_live_exertion_update")
+def _t5u(spark, sf):
+    """T5 in update mode (bounded state, latest version per window); equal to T5 when no row is late."""
+    return _run_live(spark, sf, with_alerts=True, mode="update")[0]
+
+
 def _run_alert_log(spark, sf):
     g = _g(spark, sf)
     alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))

@@ -13,6 +13,8 @@ batch code of ``operators.alerts`` (it works on both).  Outputs:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,10 +69,27 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+LIVE_MODES = ("complete", "update")
+VERSION_COL = "_batch"
+WINDOW_KEYS = ("window_start", "window_end", "player_id", "team_id", "game_id")   # one live row per key
+
+
 def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = None, sink: str = "table",
-               trigger: str | None = "available_now") -> StreamingQuery:
-    """Complete-mode live table named ``name``."""
-    w = df.writeStream.outputMode("complete").queryName(name).option("checkpointLocation", checkpoint)
+               trigger: str | None = "available_now", mode: str = "complete") -> StreamingQuery:
+    """The live table named ``name``.
+
+    mode="complete" (the reference): every window stays in state and every
+    batch rewrites the whole table; a late row still changes its window.
+    mode="update": the watermark evicts closed windows from state, so state
+    stays bounded however long the feed runs; each batch appends only the
+    windows it changed, stamped with the batch id, and ``live_table(...,
+    keys=...)`` shows the latest version of each window.  Rows behind the
+    watermark are dropped, as in the alert log.  A re-run batch appends rows
+    with the same stamp, so the latest-version view stays exact.
+    """
+    if mode not in LIVE_MODES:
+        raise ValueError(f"mode must be one of {LIVE_MODES}")
+    w = df.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", checkpoint)
     if sink == "memory":
         return _trigger(w.format("memory"), trigger).start()
     if path is None:
@@ -79,7 +98,10 @@ def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = Non
     def overwrite(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    return _trigger(w.foreachBatch(overwrite), trigger).start()
+    def append_changes(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn(VERSION_COL, F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+
+    return _trigger(w.foreachBatch(overwrite if mode == "complete" else append_changes), trigger).start()
 
 
 def drain(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQuery:
@@ -92,9 +114,18 @@ def drain(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQuery:
     return query
 
 
-def live_table(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """The live table as a batch DataFrame, also registered as temp view ``name``."""
+def live_table(spark: SparkSession, name: str, path: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """The live table as a batch DataFrame, also registered as temp view ``name``.
+
+    ``keys`` (the window key columns) reads an update-mode table: the latest
+    version of each window, chosen per key with ``max_by`` on the batch stamp
+    (grouped, partially aggregated; a window has at most one version per batch).
+    """
     df = spark.read.parquet(path)
+    if keys:
+        cols = [c for c in df.columns if c != VERSION_COL]
+        df = (df.groupBy(*keys).agg(F.max_by(F.struct(*cols), VERSION_COL).alias("_latest"))
+                .select("_latest.*"))
     df.createOrReplaceTempView(name)
     return df
 
@@ -163,7 +194,8 @@ def live_sql(spark: SparkSession, name: str, view: str = "player_exertion") -> D
 
 
 def start_alert_job(telemetry: DataFrame, thresholds: DataFrame, root: str, name: str = "player_exertion",
-                    trigger: str | None = "available_now", live_sink: str = "table") -> dict[str, StreamingQuery]:
+                    trigger: str | None = "available_now", live_sink: str = "table",
+                    live_mode: str = "complete") -> dict[str, StreamingQuery]:
     """The streaming stage: live exertion table (complete) and alert log (append) from one feed.
 
     ``thresholds`` is written once first (``static_thresholds``); outputs and
@@ -174,6 +206,7 @@ def start_alert_job(telemetry: DataFrame, thresholds: DataFrame, root: str, name
     thr = static_thresholds(thresholds)
     alerts = alert_stream(telemetry, thr)
     root = root.rstrip("/")
-    live = start_live(alerts, name, f"{root}/checkpoints/live", f"{root}/live", sink=live_sink, trigger=trigger)
+    live = start_live(alerts, name, f"{root}/checkpoints/live", f"{root}/live", sink=live_sink, trigger=trigger,
+                      mode=live_mode)
     log = start_alert_log(alerts, f"{root}/alerts", f"{root}/checkpoints/alerts", trigger=trigger)
     return {"live": live, "alerts": log}

@@ -139,3 +139,34 @@ def test_alert_job_and_memory_sink(spark):
                         scratch_path(spark, "mem-ckpt"), sink="memory")
     mem.awaitTermination()
     assert spark.table("exertion_mem").count() == live.count()
+
+
+def test_update_mode_live_table_keeps_latest_version_and_evicts_state(spark):
+    src = scratch_path(spark, "upd").replace("file:", "")
+    os.makedirs(src)
+    base = time.time() - 100
+    _stage(spark, src, "b0", [_msg(1, 5.0, 100.0)], base)
+    _stage(spark, src, "b1", [_msg(1, 30.0, 200.0)], base + 10)      # same window, second version
+    _stage(spark, src, "b2", [_msg(1, 300.0, 100.0)], base + 20)     # watermark -> 290 s
+    _stage(spark, src, "b3", [_msg(1, 302.0, 100.0)], base + 30)     # window [0, 60) leaves the state
+    _stage(spark, src, "b4", [_msg(1, 6.0, 300.0)], base + 40)       # late for [0, 60): dropped
+
+    def stream():
+        raw = (spark.readStream.schema("value string").option("recursiveFileLookup", "true")
+                    .option("maxFilesPerTrigger", "1").text(src))
+        return windowed_exertion(telemetry_decode(raw, schemas.TELEMETRY))
+
+    runs = {}
+    for mode in ("update", "complete"):
+        path = scratch_path(spark, f"upd-{mode}")
+        q = st.start_live(stream(), f"upd_{mode}", scratch_path(spark, f"upd-{mode}-ckpt"), path, mode=mode)
+        q.awaitTermination()
+        state_rows = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        runs[mode] = (path, state_rows[-1])
+    path, upd_state = runs["update"]
+    versions = spark.read.parquet(path)
+    assert versions.filter(F.minute("window_start") == 0).count() == 2         # one row per changing batch
+    live = {r["window_start"].minute: r for r in st.live_table(spark, "upd_view", path, keys=st.WINDOW_KEYS).collect()}
+    assert sorted(live) == [0, 5]                                               # one row per window
+    assert live[0]["tracking_frames"] == 2 and live[0]["avg_heart_rate"] == 150.0  # latest version, late row dropped
+    assert upd_state < runs["complete"][1]                                      # closed window evicted from state
