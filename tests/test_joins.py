@@ -31,3 +31,41 @@ def test_salted_join_spreads_a_hot_key(spark):
                  .groupBy("_salt").count().collect())
     assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 1000
     assert out.count() == 4000
+
+
+def test_hot_date_team_key_in_j4_is_split_by_aqe(spark):
+    # J4 keeps the sessions side whole and leaves a hot (date, team) key to AQE's skew-join
+    # split; on a cluster the thresholds are hundreds of MB, scaled down here to the test size
+    import datetime as dt
+
+    from courtload.operators.joins import join_schedule
+    day = dt.date(1996, 1, 1)
+    sessions = spark.range(60000).select(
+        F.col("id").alias("session_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(day)).otherwise(F.date_add(F.lit(day), (F.col("id") % 200).cast("int")))
+         .alias("date"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 25).cast("int").alias("team_id"))
+    games = spark.range(400).select(
+        F.col("id").alias("game_id"), F.date_add(F.lit(day), (F.col("id") % 200).cast("int")).alias("date"),
+        (F.col("id") % 25).cast("int").alias("home_team"), ((F.col("id") + 7) % 25).cast("int").alias("away_team"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = join_schedule(sessions, games)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        rows = len(out.collect())                      # runs this plan, so AQE finalises it
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan
+    assert "isSkewJoin=true" in final or "skew=true" in final
+    cond = (sessions["date"] == games["date"]) & \
+        ((sessions["team_id"] == games["home_team"]) | (sessions["team_id"] == games["away_team"]))
+    assert rows == sessions.join(games, cond, "left").count()
