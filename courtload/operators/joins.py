@@ -22,18 +22,44 @@ STATS_MEASURES = ("minutes_played", "points", "plus_minus", "shot_attempts", "sh
 SQUARED = ("heart_rate_bpm", "plus_minus")          # needed by the Pearson moments (A11)
 
 
-def _side_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count_name: str) -> DataFrame:
+def _side_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count_name: str,
+                  extra: Sequence[Column] = ()) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias(count_name)]
     for m in measures:
         aggs += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}")]
         if m in SQUARED:
             aggs.append(F.sum(F.col(m) * F.col(m)).alias(f"q_{m}"))
-    return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, *extra)
 
 
 GRAINS = ("literal", "pre_aggregated")
 
 
+def side_summaries(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
+                   team: str = "team_id", track_extra: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+    """J1's two sides reduced to one row per key: (game, player, team) and (game, player).
+
+    ``track_extra`` adds aggregates to the tracking summary, so other per-row
+    checks (the impossible-value gate) ride along the same scan of the raw rows.
+    """
+    t = _side_summary(tracking, [*keys, team], TRACK_MEASURES, "n_track", track_extra)
+    s = _side_summary(stats, list(keys), STATS_MEASURES, "n_stats")
+    return t, s
+
+
+def join_summaries(t: DataFrame, s: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
+                   grain: str = "literal") -> DataFrame:
+    """J1 from the side summaries (see ``join_tracking_stats``)."""
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    j = t.join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
+    if grain == "literal":
+        return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
+                 .withColumn("w_rows", F.col("pair_rows")))
+    one = F.lit(1).cast("long")
+    return j.withColumn("w_track", one).withColumn("w_stats", one).withColumn("w_rows", one)
+
+
 def join_tracking_stats(tracking: DataFrame, stats: DataFrame,
                         keys: Sequence[str] = ("game_id", "player_id"),
                         team: str = "team_id", grain: str = "literal") -> DataFrame:
@@ -52,14 +78,8 @@ def join_tracking_stats(tracking: DataFrame, stats: DataFrame,
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
-    t = _side_summary(tracking, [*keys, team], TRACK_MEASURES, "n_track")
-    s = _side_summary(stats, list(keys), STATS_MEASURES, "n_stats")
-    j = t.join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
-    if grain == "literal":
-        return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
-                 .withColumn("w_rows", F.col("pair_rows")))
-    one = F.lit(1).cast("long")
-    return j.withColumn("w_track", one).withColumn("w_stats", one).withColumn("w_rows", one)
+    t, s = side_summaries(tracking, stats, keys, team)
+    return join_summaries(t, s, keys, grain)
 
 
 def weight(measure: str) -> Column:

@@ -34,10 +34,16 @@ class Graph:
         return df
 
     # --- joins -------------------------------------------------------------------
+    @cached_property
+    def summaries(self) -> tuple[DataFrame, DataFrame]:
+        """J1's sides at key grain: (tracking summary, box-score summary)."""
+        return joins.side_summaries(self.d.tracking, self.d.stats)
+
     @cached_property
     def keyed(self) -> DataFrame:
         """J1 at (game, player, team) grain."""
-        return joins.join_tracking_stats(self.d.tracking, self.d.stats, grain=self.grain)
+        t, s = self.summaries
+        return joins.join_summaries(t, s, grain=self.grain)
 
     @cached_property
     def keyed_sched(self) -> DataFrame:

@@ -95,3 +95,15 @@ def test_failed_input_gate_publishes_nothing(spark):
     with pytest.raises(batch.GateFailed, match="inputs_present:training_sessions"):
         batch.run_batch(spark, domain=empty, root=root)
     assert not os.path.exists(root.removeprefix("file:"))
+
+
+def test_batch_gates_from_summaries_equal_gates_on_raw_rows(spark):
+    from courtload.operators import quality
+    d = load_domain(spark, SF_SMALL)
+    out = batch.run_batch(spark, SF_SMALL)
+    report = spark.read.parquet(out["injury_risk_features"].rsplit("/", 1)[0] + "/quality_gates.parquet")
+    got = sorted(tuple(r) for r in report.filter("check != 'outputs_present'").collect())
+    raw = [quality.gate_inputs(d.as_dict()), quality.gate_impossible_values(d.tracking),
+           quality.gate_completeness(d.stats, d.tracking)]
+    want = sorted(tuple(r) for g in raw for r in g.select("check", "subject", "failures", "passed").collect())
+    assert got == want and any(r[2] > 0 for r in want if r[0] == "impossible_values")
