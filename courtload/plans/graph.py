@@ -54,9 +54,15 @@ class Graph:
     def training_clean(self) -> DataFrame:
         return parse_dates(self.d.training, ["date"])
 
+    @cached_property
+    def team_source(self) -> DataFrame:
+        """Rows carrying (player_id, team_id) for J3's bridge: the tracking rows, or any
+        per-key summary of them (the batch job pins its written tracking summary)."""
+        return self.d.tracking
+
     @cached_property
     def training_team(self) -> DataFrame:
-        return joins.attach_team(self.training_clean, self.d.tracking)
+        return joins.attach_team(self.training_clean, self.team_source)
 
     @cached_property
     def training_sched(self) -> DataFrame:

@@ -107,3 +107,6 @@ def test_batch_gates_from_summaries_equal_gates_on_raw_rows(spark):
            quality.gate_completeness(d.stats, d.tracking)]
     want = sorted(tuple(r) for g in raw for r in g.select("check", "subject", "failures", "passed").collect())
     assert got == want and any(r[2] > 0 for r in want if r[0] == "impossible_values")
+    # J3's bridge came from the written tracking summary: same rows as from the raw tracking rows
+    written = spark.read.parquet(out["training_with_schedule"])
+    assert _bag(written) == _bag(Graph(d).training_sched.select(written.columns))
