@@ -14,6 +14,10 @@ from pyspark.sql import SparkSession
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def build_session(master: str = "local[*]", app: str = "courtload",
@@ -25,16 +29,19 @@ def build_session(master: str = "local[*]", app: str = "courtload",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
-         # streaming state (the complete-mode live table keeps every window) lives in RocksDB,
-         # off the JVM heap, with changelog checkpoints instead of full snapshots per batch
-         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
+         .config("spark.sql.session.timeZone", "UTC"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    # Streaming state (the complete-mode live table keeps every window) goes to RocksDB,
+    # off the JVM heap, with changelog checkpoints instead of full snapshots per batch --
+    # only where the cluster's configuration names no state store of its own.
+    named = spark.sparkContext.getConf()
+    for k, v in STATE_STORE_DEFAULTS.items():
+        if not named.contains(k):
+            spark.conf.set(k, v)
     return spark
 
 
