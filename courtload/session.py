@@ -7,8 +7,11 @@ a laptop) do we make one.
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,13 +69,42 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/courtload/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_RUN_FOLDER: contextvars.ContextVar[str | None] = contextvars.ContextVar("courtload_run_folder", default=None)
+
+
 def materialize(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Used where a plan reads the same non-deterministic intermediate twice
     (positions from a sampled range partitioning): both readers then see one
-    evaluation, also after executor loss.
+    evaluation, also after executor loss.  Inside ``run_intermediates`` the
+    copy goes to that run's folder.
     """
-    path = scratch_path(df.sparkSession, name)
+    run = _RUN_FOLDER.get()
+    path = f"{run}/{name}-{uuid.uuid4().hex[:12]}" if run else scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)   # the schema just written: no footer job
+
+
+@contextmanager
+def run_intermediates(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Collect the intermediates ``materialize`` writes inside the block in one folder
+    under the shared checkpoint root, and remove that folder when the block ends.
+
+    The block must finish every action that reads them.  Threads started inside
+    need the caller's context (``contextvars.copy_context().run``).
+    """
+    folder = scratch_path(spark, name)
+    token = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(token)
+        remove_path(spark, folder)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on the cluster's file system (any Hadoop-supported scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

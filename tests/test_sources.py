@@ -110,3 +110,21 @@ def test_batch_gates_from_summaries_equal_gates_on_raw_rows(spark):
     # J3's bridge came from the written tracking summary: same rows as from the raw tracking rows
     written = spark.read.parquet(out["training_with_schedule"])
     assert _bag(written) == _bag(Graph(d).training_sched.select(written.columns))
+
+
+def test_batch_removes_its_intermediates_and_keeps_outputs(spark):
+    import os
+
+    from courtload.session import checkpoint_root
+    base = f"{checkpoint_root(spark)}/courtload".removeprefix("file:")
+
+    def scratch():
+        return {n for n in os.listdir(base)} if os.path.isdir(base) else set()
+
+    before = scratch()
+    out = batch.run_batch(spark, SF_SMALL)
+    new = scratch() - before
+    # only the published lake is left; summaries and sort positions went with the run folder
+    assert len(new) == 1 and next(iter(new)).startswith("lake-")
+    assert spark.read.parquet(out["workload_tiers"]).count() == 4
+    assert spark.read.parquet(out["rolling_workload"]).count() == Graph.of(spark, SF_SMALL).pgw.count()
