@@ -170,3 +170,20 @@ def test_update_mode_live_table_keeps_latest_version_and_evicts_state(spark):
     assert sorted(live) == [0, 5]                                               # one row per window
     assert live[0]["tracking_frames"] == 2 and live[0]["avg_heart_rate"] == 150.0  # latest version, late row dropped
     assert upd_state < runs["complete"][1]                                      # closed window evicted from state
+
+
+def test_alert_log_bounds_files_per_batch(spark):
+    from courtload.plans.graph import Graph
+    from tests.conftest import SF_SMALL
+    g = Graph.of(spark, SF_SMALL)
+    alerts = st.alert_stream(st.telemetry_stream(spark, SF_SMALL), st.static_thresholds(g.thresholds))
+    counts = {}
+    for k in (None, 2):
+        path = scratch_path(spark, f"alog-{k}")
+        q = st.start_alert_log(alerts, path, scratch_path(spark, f"alog-{k}-ckpt"), files_per_batch=k)
+        q.awaitTermination()
+        batches = sum(1 for p in q.recentProgress if p["numInputRows"] > 0) or 1
+        files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]
+        counts[k] = (spark.read.parquet(path).count(), len(files), batches)
+    assert counts[2][0] == counts[None][0] > 0                 # same alert rows
+    assert counts[2][1] <= 2 * (counts[2][2] + 1)              # at most 2 files per batch (a no-data batch may emit)
