@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from courtload.plans.oracle import ORACLE
+from courtload.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 from tests.helpers import duck, table
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -16,6 +15,7 @@ def con():
 
 
 def test_every_query_registered_with_oracle_or_rows_only():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     rows_only = set(QUERIES) - set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
     assert rows_only == {"dataset_manifest"}
