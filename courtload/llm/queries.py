@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import bpe_chunks, packing, url_rules
+from courtload.llm import block_names, bpe_chunks, packing, url_rules
 from courtload.llm.common import table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -29,10 +29,15 @@ def op4_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.groups(table(spark, sf_dir, "documents")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
     "op4_bpe_chunks": op4_bpe_chunks,
+    "op5_block_names": op5_block_names,
 }
 
 ORACLE: dict[str, str] = {
@@ -54,4 +59,15 @@ SELECT page_id, host, path,
             WHEN net THEN 'net/' END AS rule,
        CASE WHEN net_en OR org_fr THEN 'allow' WHEN com_de OR net THEN 'block' ELSE 'allow' END AS verdict
 FROM fits""",
+    "op5_block_names": r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS place,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM texts)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked""",
 }
