@@ -40,7 +40,7 @@ from courtload.llm.common import field_type, materialize, ship
 ORDER = 4
 DOCS_PER_LANG = 300
 SAMPLE_CHARS = 20_000
-REJECT_SD, REJECT_SLACK = 8.0, 0.5
+REJECT_SD, REJECT_SLACK = 8.0, 1.0
 #: Characters scored at once.
 _PIECE = 1 << 20
 _A = np.uint64(0x9E3779B97F4A7C15)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, lang_id, packing, url_rules
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, packing, url_rules
 from courtload.llm.common import table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -39,12 +39,17 @@ def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predict(docs, model, ["doc_id", lang_id.held_out().alias("held_out")])
 
 
+def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
     "op4_bpe_chunks": op4_bpe_chunks,
     "op5_block_names": op5_block_names,
     "op9_lang_id": op9_lang_id,
+    "op10_hilbert": op10_hilbert,
 }
 
 ORACLE: dict[str, str] = {
