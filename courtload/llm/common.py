@@ -5,16 +5,15 @@ from __future__ import annotations
 import io
 import tempfile
 import zipfile
-from collections.abc import Iterable
 from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtload.session import materialize, scratch_path
 
-__all__ = ["chunks", "field_type", "materialize", "scratch_path", "ship", "table", "texts"]
+__all__ = ["by_row", "field_type", "materialize", "scratch_path", "ship", "table", "with_row"]
 
 _SHIPPED: set[str] = set()
 
@@ -43,17 +42,15 @@ def field_type(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
-def texts(column: pa.Array) -> list[str]:
-    """Python strings of an Arrow string column, null as empty."""
-    return [x or "" for x in column.to_pylist()]
+#: Row numbers are sent to every executor up to this count (8 bytes each), else joined by a shuffle.
+BROADCAST_ROWS = 4_000_000
 
 
-def chunks(rows: Iterable, size: int) -> Iterable[list]:
-    out = []
-    for r in rows:
-        out.append(r)
-        if len(out) >= size:
-            yield out
-            out = []
-    if out:
-        yield out
+def with_row(df: DataFrame, name: str = "__row") -> DataFrame:
+    """``df`` with each row's place in its scan.  ``df`` is read from storage, so that places don't change."""
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
+def by_row(df: DataFrame, rows: DataFrame, how: str, name: str = "__row") -> DataFrame:
+    """Semi or anti join of wide rows on their place with ``rows``, a written table of single places."""
+    return df.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge"), name, how)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, packing, url_rules
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, near_dups, packing, url_rules
 from courtload.llm.common import table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -25,6 +25,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.classes(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op4_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_chunks.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -46,6 +50,7 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
+    "op3_near_dups": op3_near_dups,
     "op4_bpe_chunks": op4_bpe_chunks,
     "op5_block_names": op5_block_names,
     "op9_lang_id": op9_lang_id,
