@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, near_dups, packing, url_rules
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, multi_index, near_dups, packing, url_rules
 from courtload.llm.common import table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -37,6 +37,10 @@ def op5_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.groups(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.groups(table(spark, sf_dir, "embeddings"))
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.fit(docs.where(~lang_id.held_out()))
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_near_dups": op3_near_dups,
     "op4_bpe_chunks": op4_bpe_chunks,
     "op5_block_names": op5_block_names,
+    "op6_multi_index": op6_multi_index,
     "op9_lang_id": op9_lang_id,
     "op10_hilbert": op10_hilbert,
 }
