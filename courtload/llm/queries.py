@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, multi_index, near_dups, packing, url_rules
-from courtload.llm.common import table
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, multi_index, near_dups, packing, url_rules, warc
+from courtload.llm.common import field_type, scratch_path, table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
 BLOCK_RULES = ("net/", "example.com/de/")
@@ -41,6 +41,13 @@ def op6_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.groups(table(spark, sf_dir, "embeddings"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), scratch_path(spark, "warc")
+    warc.write(pages, folder)
+    return warc.read(spark, folder, field_type(pages, "page_id"), payloads=False).select(
+        F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.fit(docs.where(~lang_id.held_out()))
@@ -58,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_chunks": op4_bpe_chunks,
     "op5_block_names": op5_block_names,
     "op6_multi_index": op6_multi_index,
+    "op7_warc": op7_warc,
     "op9_lang_id": op9_lang_id,
     "op10_hilbert": op10_hilbert,
 }
@@ -81,6 +89,16 @@ SELECT page_id, host, path,
             WHEN net THEN 'net/' END AS rule,
        CASE WHEN net_en OR org_fr THEN 'allow' WHEN com_de OR net THEN 'block' ELSE 'allow' END AS verdict
 FROM fits""",
+    "op7_warc": """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM firsts""",
     "op5_block_names": r"""
 WITH texts AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
