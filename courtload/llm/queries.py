@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, multi_index, near_dups, packing, url_rules, warc
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, licenses, multi_index, near_dups, packing, url_rules, warc
 from courtload.llm.common import field_type, scratch_path, table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -48,6 +48,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = lang_id.fit(docs.where(~lang_id.held_out()))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_block_names": op5_block_names,
     "op6_multi_index": op6_multi_index,
     "op7_warc": op7_warc,
+    "op8_licenses": op8_licenses,
     "op9_lang_id": op9_lang_id,
     "op10_hilbert": op10_hilbert,
 }
