@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from courtload.llm.common import field_type, ship
 
 LEVEL = 19
-#: Least size reduction of a template to be considered.
-LEAST_GAIN = 0.2
+#: Least bytes saved by a template to be considered, as a share of its compressed size.
+LEAST_GAIN = 0.15
 #: Share of a template's words that may differ.
 TOLERANCE = 0.1
 #: Sentences without a cue before, after and between those of one block.
@@ -127,6 +127,7 @@ class Templates:
         self.plain = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False)
         self.given = [zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False, dict_data=(
             zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for _, text, _ in self.known]
+        self.size = [len(self.plain.compress(text.encode())) for _, text, _ in self.known]
         self.longest = max(len(text) for _, text, _ in self.known)
 
     def blocks(self, text: str) -> Iterator[tuple[int, int]]:
@@ -162,11 +163,15 @@ class Templates:
             yield a, min(a + 2 * step, end)
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(size reduction, template) from the largest reduction down to LEAST_GAIN."""
+        """(size reduction, template): the bytes a template saves as a share of its own compressed size.
+
+        That share doesn't fall when other text stands in the block.
+        """
         data = block.encode()
         alone = len(self.plain.compress(data))
-        gains = [(1 - len(c.compress(data)) / alone, k) for k, c in enumerate(self.given)]
-        return sorted(((g, k) for g, k in gains if g >= LEAST_GAIN), key=lambda x: (-x[0], -len(self.known[x[1]][2]), x[1]))
+        saved = [alone - len(c.compress(data)) for c in self.given]
+        order = sorted(range(len(saved)), key=lambda k: (-saved[k], -len(self.known[k][2]), k))
+        return [(share, k) for k in order if (share := saved[k] / self.size[k]) >= LEAST_GAIN]
 
     def confirm(self, found: list[tuple[str, int, int]], template: int) -> tuple[int, int, list[str]] | None:
         """(first word, end word, differences) of a template in a block's words, or None."""
