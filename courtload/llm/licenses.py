@@ -130,37 +130,40 @@ class Templates:
         self.size = [len(self.plain.compress(text.encode())) for _, text, _ in self.known]
         self.longest = max(len(text) for _, text, _ in self.known)
 
-    def blocks(self, text: str) -> Iterator[tuple[int, int]]:
-        """(start, end) of the candidate blocks."""
+    def blocks(self, text: str) -> Iterator[tuple[int, int, int, int]]:
+        """(start, end) of the candidate blocks, and of their part from the first to the last cue."""
         low = text.lower() if len(text.lower()) == len(text) else text.translate(_ASCII_LOWER)
         if not any(c in low for c in CUES):
             return
         start, end, gap, before = None, 0, 0, []
+        core = [0, 0]
         for m in _SENTENCE.finditer(text):
             if m.start() == m.end():
                 continue
             if any(low.find(c, m.start(), m.end()) >= 0 for c in CUES):
-                start = min([m.start(), *before]) if start is None else start
-                end, gap = m.end(), 0
+                if start is None:
+                    start, core = min([m.start(), *before]), [m.start(), m.end()]
+                end = core[1] = m.end()
+                gap = 0
             elif start is not None:
                 gap += 1
                 if gap > GAP:
-                    yield from self._windows(start, end)
+                    yield from self._windows(start, end, *core)
                     start = None
                 else:
                     end = m.end()
             before = [*before, m.start()][-GAP:]
         if start is not None:
-            yield from self._windows(start, end)
+            yield from self._windows(start, end, *core)
 
-    def _windows(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+    def _windows(self, start: int, end: int, core: int, core_end: int) -> Iterator[tuple[int, int, int, int]]:
         """Long blocks in overlapping windows, each template whole in one."""
         step = 2 * self.longest
         if end - start <= 2 * step:
-            yield start, end
+            yield start, end, core, core_end
             return
         for a in range(start, end - step, step):
-            yield a, min(a + 2 * step, end)
+            yield a, min(a + 2 * step, end), a, min(a + 2 * step, end)
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """(size reduction, template): the bytes a template saves as a share of its own compressed size.
@@ -201,9 +204,12 @@ class Templates:
 
     def scan(self, text: str) -> list[dict]:
         out = {}
-        for a, b in self.blocks(text):
+        for a, b, core, core_end in self.blocks(text):
             found, taken = words_at(text[a:b]), []
-            for gain, k in self.ranked(text[a:b]):
+            ranks = self.ranked(text[core:core_end])   # neighbours without a cue may hide what a short template saves
+            if (core, core_end) != (a, b):
+                ranks += [(g, k) for g, k in self.ranked(text[a:b]) if k not in {j for _, j in ranks}]
+            for gain, k in ranks:
                 # the same wording may come several times in a block
                 free = [found]
                 while free:
