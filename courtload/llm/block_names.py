@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import by_row, field_type, materialize, ship, with_row
+from courtload.llm.common import by_row, field_type, materialize, ship
 
 BLOCK_BYTES = 4096
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -154,5 +154,4 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns.  ``docs`` is read from storage, so its rows come in the same places."""
-    dropped = materialize(groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("row").alias("__row")), "copies")
-    return by_row(with_row(docs), dropped, "left_anti").drop("__row")
+    return by_row(docs, materialize(groups(docs, id_col, text_col).where(~F.col("kept")).select("row"), "copies"), "left_anti")

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from courtload.session import materialize, scratch_path
 
-__all__ = ["by_row", "field_type", "materialize", "scratch_path", "ship", "table", "with_row"]
+__all__ = ["by_row", "field_type", "materialize", "scratch_path", "ship", "table"]
 
 _SHIPPED: set[str] = set()
 
@@ -46,11 +46,14 @@ def field_type(df: DataFrame, column: str) -> T.DataType:
 BROADCAST_ROWS = 4_000_000
 
 
-def with_row(df: DataFrame, name: str = "__row") -> DataFrame:
-    """``df`` with each row's place in its scan.  ``df`` is read from storage, so that places don't change."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def by_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of wide rows with ``rows``, a written table of single places in their scan (``row``).
 
-
-def by_row(df: DataFrame, rows: DataFrame, how: str, name: str = "__row") -> DataFrame:
-    """Semi or anti join of wide rows on their place with ``rows``, a written table of single places."""
-    return df.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge"), name, how)
+    ``docs`` is read from storage, so that places don't change.
+    """
+    name = "row"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    rows = rows.select(F.col("row").alias(name))
+    return docs.withColumn(name, F.monotonically_increasing_id()).join(
+        F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge"), name, how).drop(name)

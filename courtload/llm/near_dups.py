@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import by_row, field_type, materialize, ship, with_row
+from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, ship
 from courtload.llm.components import components
 
 WORDS = 5
@@ -65,7 +65,7 @@ def shingles(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, n
     for k in range(words):   # shorter texts stop at their end
         inside = place + k < size[owner]
         shifted = np.zeros(len(flat), np.uint64)
-        shifted[:len(flat) - k] = h[k:]
+        shifted[:max(len(flat) - k, 0)] = h[k:]
         key = np.where(inside, key * _P + shifted + np.uint64(1), key)
     first = (place + words <= size[owner]) | (place == 0)
     owner, key = owner[first], mixed(key[first])
@@ -163,9 +163,10 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
         return None
     rank = F.struct(F.xxhash64("row").alias("h"), F.col("row"))
     some = materialize(left.select("row").distinct(), "near-candidates")
-    text = by_row(with_row(docs.select(F.col(text_col).cast("string").alias("text"))), some.withColumnRenamed("row", "__row"),
-                  "left_semi").select(F.col("__row").alias("row"), "text")
-    sets = materialize(text.mapInArrow(lambda it: _set_batches(it, words), "row long, keys binary"), "shingle-sets")
+    text = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    few = some.count() <= BROADCAST_ROWS
+    sets = materialize(text.join(F.broadcast(some) if few else some.hint("merge"), "row", "left_semi").mapInArrow(
+        lambda it: _set_batches(it, words), "row long, keys binary"), "shingle-sets")
     pivots, found, tried, labels = 1, None, None, None
     while True:
         # the first rows of each bucket, by a bounded partial aggregation
@@ -230,5 +231,5 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, with all its columns.  ``docs`` is read from storage."""
-    dropped = materialize(classes(docs, id_col, text_col).where(~F.col("kept")).select(F.col("row").alias("__row")), "near-copies")
-    return by_row(with_row(docs), dropped, "left_anti").drop("__row")
+    dropped = materialize(classes(docs, id_col, text_col).where(~F.col("kept")).select("row"), "near-copies")
+    return by_row(docs, dropped, "left_anti")
