@@ -8,29 +8,42 @@ from pyspark.sql import functions as F
 from courtload.llm.common import materialize
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b); component is the smallest node reachable.
 
+    ``labels`` has the components of links seen before; the new ones go on from there.
+
     Each round points every node at its smallest neighbour or itself, follows that pointer twice and
     contracts the links; what remains are local minima, so the rounds are few (about the logarithm of the
     longest path).  Rounds are cut by tables in the shared checkpoint folder.  The smallest neighbour is
-    found by partial aggregation before the shuffle, and the joins have plain exchanges on both sides.
+    found by partial aggregation before the shuffle, and the joins of links and labels have plain exchanges
+    on both sides.
     """
-    edges = materialize(links.where("a <> b").select("a", "b").distinct(), "links")
-    labels = None
+    def relabel(edges: DataFrame, to: DataFrame, how: str) -> DataFrame:
+        """Links between the new names of their ends, loops dropped."""
+        ends = {}
+        for c in "ab":
+            edges = edges.join(to.select(F.col("node").alias(c), F.col("component").alias(f"to_{c}")), c, how)
+            ends[c] = F.coalesce(f"to_{c}", c)
+        return edges.select(F.least(ends["a"], ends["b"]).alias("a"), F.greatest(ends["a"], ends["b"]).alias("b")).where(
+            "a <> b").distinct()
+
+    edges = links.select("a", "b")
+    edges = materialize(edges.where("a <> b").distinct() if labels is None else relabel(edges, labels, "left"), "links")
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(
-            F.col("a").alias("node"), F.least("a", "m").alias("up")), "pointers")
-        up = step.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        step = materialize(step.join(up, "up").select("node", F.col("upper").alias("up")), "pointers-2")
-        to = step.select(F.col("node").alias("component"), "up")
-        labels = materialize(step.select("node", F.col("up").alias("component")) if labels is None else
-                             labels.join(to, "component", "left").select(
-                                 "node", F.coalesce("up", "component").alias("component")), "labels")
-        pa, pb = (step.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}")) for c in "ab")
-        edges = materialize(edges.join(pa, "a").join(pb, "b").where("up_a <> up_b").select(
-            F.least("up_a", "up_b").alias("a"), F.greatest("up_a", "up_b").alias("b")).distinct(), "links")
+        near = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(
+            F.col("a").alias("node"), F.least("a", "m").alias("up")), "neighbours")
+        step = materialize(near.join(near.select(F.col("node").alias("up"), F.col("up").alias("component")), "up")
+                           .select("node", "component"), "pointers")
+        if labels is None:
+            labels = step
+        else:
+            moved = step.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            new = step.join(labels.select("node"), "node", "left_anti")
+            labels = materialize(labels.join(moved, "component", "left").select(
+                "node", F.coalesce("to", "component").alias("component")).unionByName(new), "labels")
+        edges = materialize(relabel(edges, step, "inner"), "links")
     if labels is None:
         return links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     return labels

@@ -9,7 +9,7 @@ from courtload.llm import block_names, near_dups
 from courtload.llm.components import components
 from tests.llm.helpers import docs, prose
 
-LONG = prose(3, 60_000)
+LONG = prose(3, 6_000)
 TEXTS = [(5, "a b\tc", "en"), (4, "abc", "en"), (9, "a  b  c", None), (None, "abc", None), (7, None, None), (8, "", "en"),
          (6, " \n\r\x0b\x0c", "en"), (10, LONG, "en"), (11, LONG + " ", "en"), (12, LONG + "x", "en"), (12, LONG + "x", "en"),
          (13, "é\u00a0é", "fr"), (14, "éé", "fr"), (15, "ab" * 40, "en"), (16, "ab" * 41, "en")]
