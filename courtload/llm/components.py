@@ -8,10 +8,23 @@ from pyspark.sql import functions as F
 from courtload.llm.common import materialize
 
 
-def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """(node, component) of every node of ``links`` (a, b); component is the smallest node reachable.
+def _renamed(edges: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """Links between the new names of their ends, loops dropped."""
+    for c in "ab":
+        edges = edges.join(names.select(F.col("node").alias(c), F.col("component").alias(f"to_{c}")), c, how)
+    a, b = (F.coalesce(f"to_{c}", c) for c in "ab")
+    return edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
 
-    ``labels`` has the components of links seen before; the new ones go on from there.
+
+def contracted(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """The links (a, b) that join two components of ``labels``, between these; written once."""
+    edges = links.select("a", "b")
+    return materialize(edges.where("a <> b").distinct() if labels is None else _renamed(edges, labels, "left"), "links")
+
+
+def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(node, component) of every node of ``contracted`` links and of ``labels``, the components before them;
+    component is the smallest node reachable.
 
     Each round points every node at its smallest neighbour or itself, follows that pointer twice and
     contracts the links; what remains are local minima, so the rounds are few (about the logarithm of the
@@ -19,17 +32,7 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     found by partial aggregation before the shuffle, and the joins of links and labels have plain exchanges
     on both sides.
     """
-    def relabel(edges: DataFrame, to: DataFrame, how: str) -> DataFrame:
-        """Links between the new names of their ends, loops dropped."""
-        ends = {}
-        for c in "ab":
-            edges = edges.join(to.select(F.col("node").alias(c), F.col("component").alias(f"to_{c}")), c, how)
-            ends[c] = F.coalesce(f"to_{c}", c)
-        return edges.select(F.least(ends["a"], ends["b"]).alias("a"), F.greatest(ends["a"], ends["b"]).alias("b")).where(
-            "a <> b").distinct()
-
-    edges = links.select("a", "b")
-    edges = materialize(edges.where("a <> b").distinct() if labels is None else relabel(edges, labels, "left"), "links")
+    empty = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(
@@ -43,7 +46,5 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             new = step.join(labels.select("node"), "node", "left_anti")
             labels = materialize(labels.join(moved, "component", "left").select(
                 "node", F.coalesce("to", "component").alias("component")).unionByName(new), "labels")
-        edges = materialize(relabel(edges, step, "inner"), "links")
-    if labels is None:
-        return links.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
-    return labels
+        edges = contracted(_renamed(edges, step, "inner"))
+    return empty if labels is None else labels

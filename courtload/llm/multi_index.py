@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtload.llm.common import field_type, materialize, ship
-from courtload.llm.components import components
+from courtload.llm.components import components, contracted
 
 COSINE = 0.98
 #: Vectors that the codebooks are fitted on, at most about.
@@ -199,7 +199,7 @@ def groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     found = materialize(dealt.groupBy(*key, "low", "high").applyInArrow(lambda t: _compare(t, cosine), "a long, b long, n long"),
                         "vector-links")
     counts = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n_links"))
-    labels = components(found.where("b IS NOT NULL").select("a", "b"))
+    labels = components(contracted(found.where("b IS NOT NULL")))
     linked = materialize(counts.join(labels, counts.a == labels.node).select(F.col("a").alias("row"), "n_links", "component"),
                          "linked-vectors")
     every = vectors.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"))

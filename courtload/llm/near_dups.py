@@ -12,9 +12,9 @@ Documents with the same shingles are one document from then on.  In each bucket
 a pivot, the first of them, so a bucket of n gives n - 1 pairs and not n**2.  Pairs are verified by the exact
 Jaccard similarity of the shingles, of 64 bits each; links make connected components.  Members of a bucket
 that are then in no pivot's component are compared with PIVOTS pivots of their own, and so on in rounds until
-a round finds no link.  No bucket is capped.  A pair that meets no common pivot in any of the buckets that it
-shares (about eight) isn't found: against all pairs, that left out under 1 in 500 joins of components in a group of
-thousands of near copies with similarities on both sides of the threshold.
+a round joins next to no components (ENOUGH).  No bucket is capped.  A pair that meets no common pivot in any of
+the buckets that it shares (about eight) isn't found: against all pairs, that left out about 1 in 500 joins of
+components in a group of thousands of near copies with similarities on both sides of the threshold, and none elsewhere.
 
 Defined cases: null, empty and blank texts have no shingles and are alike with nothing; ties and
 repeated rows: of a group the row with the smallest id stays (null ids last), then the first read;
@@ -34,13 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, ship
-from courtload.llm.components import components
+from courtload.llm.components import components, contracted
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-#: Pivots of a bucket in each round after the first.
-PIVOTS = 4
+#: Pivots of a bucket in each round after the first; rounds end with one that joins fewer than one component
+#: for ENOUGH documents that have links.
+PIVOTS, ENOUGH = 4, 1000
 #: Slots; a prime, so that steps of any length visit each once.
 SLOTS = 127
 #: Texts hashed together.
@@ -183,9 +184,10 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
         met = left.join(pivots.withColumnRenamed("row", "pivot"), "bucket").where("row <> pivot")
         pairs = met.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
         found = _links(pairs, sets, similarity)
-        if found.isEmpty():
+        joins = contracted(found, labels)
+        before, labels = labels, components(joins, labels)
+        if before is not None and joins.count() * ENOUGH <= before.count() or found.isEmpty():
             return labels
-        labels = components(found, labels)
         # a member is done in a bucket once it is a pivot or in the component of one
         def of(rows: DataFrame) -> DataFrame:
             return rows.join(labels.withColumnRenamed("node", "row"), "row", "left").select(

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from courtload.llm import block_names, near_dups
-from courtload.llm.components import components
+from courtload.llm.components import components, contracted
 from tests.llm.helpers import docs, prose
 
 LONG = prose(3, 6_000)
@@ -135,6 +135,9 @@ def _one_bucket(batches, words):
 
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 200), (301, 300), (300, 302)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in components(contracted(spark.createDataFrame(edges, "a long, b long"))).collect()}
     assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 300: 300, 301: 300, 302: 300}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(contracted(spark.createDataFrame([], "a long, b long"))).count() == 0
+    first = components(contracted(spark.createDataFrame(edges[::2], "a long, b long")))
+    more = spark.createDataFrame(edges[1::2], "a long, b long")
+    assert {r.node: r.component for r in components(contracted(more, first), first).collect()} == got
