@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -31,7 +32,8 @@ def main() -> None:
     from courtload.session import build_session
 
     spark = build_session(f"local[{cpus}]", app="courtload-bench", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="courtload-bench-")})
     times: dict[str, float] = {}
     # warm-up (JIT, parquet footers): one pass of the join chain, untimed
     for name in ("player_team_map", "player_game_workload"):

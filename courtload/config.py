@@ -58,6 +58,61 @@ INCIDENT_DEFAULTS = {"games_missed": 0, "treatment": "unknown", "severity": "unk
 
 SESSION_TYPES = ("practice", "recovery", "gym", "film")
 
+# The columns of the grouped readouts -- output name, aggregate, input column, digits.
+MEASURES = {
+    "training_load": (
+        ("session_count", "count", "session_type", None),
+        ("avg_intensity", "avg", "intensity_score", None),
+        ("avg_sleep_hours", "avg", "sleep_hours_prev_night", None),
+        ("avg_duration_min", "avg", "duration_min", None),
+        ("avg_heart_rate", "avg", "heart_rate_avg", None)),
+    "load_by_type": (
+        ("avg_intensity", "avg", "avg_intensity", 2),
+        ("avg_sleep_hours", "avg", "avg_sleep_hours", 1),
+        ("avg_duration_min", "avg", "avg_duration_min", 1),
+        ("avg_heart_rate", "avg", "avg_heart_rate", 1),
+        ("total_sessions", "sum", "session_count", None)),
+    "week": (
+        ("avg_weekly_intensity", "avg", "intensity_score", None),
+        ("avg_weekly_sleep", "avg", "sleep_hours_prev_night", None)),
+    "intensity": (
+        ("avg_plus_minus", "avg", "avg_plus_minus", 3),
+        ("avg_shooting_pct", "avg", "shooting_pct", 2),
+        ("avg_minutes", "avg", "total_minutes", 1),
+        ("avg_practice_recovery_ratio", "avg", "practice_recovery_ratio", 2),
+        ("avg_intensity", "avg", "avg_weekly_intensity", 2),
+        ("total_records", "count", "player_id", None)),
+    "ratio": (
+        ("avg_plus_minus", "avg", "avg_plus_minus", 3),
+        ("avg_shooting_pct", "avg", "shooting_pct", 2),
+        ("avg_minutes", "avg", "total_minutes", 1),
+        ("total_records", "count", "player_id", None)),
+    "league": (
+        ("league_avg_plus_minus", "avg", "avg_plus_minus", 3),
+        ("league_avg_shooting_pct", "avg", "shooting_pct", 2),
+        ("league_avg_heart_rate", "avg", "avg_heart_rate", 2),
+        ("league_avg_distance_ft", "avg", "avg_distance_ft", 2)),
+    "rest_readout": (
+        ("total_records", "count", "player_id", None),
+        ("avg_plus_minus", "avg", "avg_plus_minus", 2),
+        ("avg_minutes", "avg", "avg_minutes", 1),
+        ("avg_distance_ft", "avg", "avg_distance_ft", 1),
+        ("avg_heart_rate", "avg", "avg_heart_rate", 1),
+        ("shooting_pct", "avg", "shooting_pct", 1)),
+    "impact": (
+        ("total_players", "count", "player_id", None),
+        ("avg_btb_impact", "avg", "btb_impact", 3),
+        ("stddev_btb_impact", "stddev", "btb_impact", 3),
+        ("worst_impact", "min", "btb_impact", 3),
+        ("best_impact", "max", "btb_impact", 3)),
+    "profile": (
+        ("avg_plus_minus", "avg", "avg_plus_minus", 3),
+        ("avg_shooting_pct", "avg", "shooting_pct", 2),
+        ("avg_distance_ft", "avg", "avg_distance_ft", 1),
+        ("player_count", "count", "player_id", None)),
+}
+WEEK_PERFORMANCE = ("avg_plus_minus", "shooting_pct", "total_minutes")
+
 # Logical dataset names of the batch job (processed and analytics zones).
 RAW_INPUTS = ("player_tracking", "game_stats", "injury_reports", "training_sessions", "team_schedules")
 PROCESSED_OUTPUTS = ("tracking_with_stats", "training_with_schedule", "tracking_stats_schedule")

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from courtload import config
 from courtload.functions.exprs import sround, utc_wallclock
-from courtload.operators.joins import salted_join
 
 KEYS = ("player_id", "team_id", "game_id")
 
@@ -50,7 +49,7 @@ def apply_alerts(exertion: DataFrame, thresholds: DataFrame, hr_default: float =
     thr = thresholds.select(F.col("player_id").cast("string").alias("player_id"), "hr_alert_threshold",
                             (F.col("distance_alert_threshold") * distance_scale).alias("distance_alert_threshold")
                             if distance_scale != 1.0 else F.col("distance_alert_threshold"))
-    j = salted_join(exertion, thr, ["player_id"], "left").fillna(
+    j = exertion.join(thr, "player_id", "left").fillna(
         {"hr_alert_threshold": hr_default, "distance_alert_threshold": distance_default})
     return (j.withColumn("heart_rate_alert", F.col("avg_heart_rate") >= F.col("hr_alert_threshold"))
              .withColumn("distance_alert", F.col("total_distance_ft") >= F.col("distance_alert_threshold"))
@@ -121,10 +120,14 @@ def top_alerts(alerts: DataFrame, k: int = 5) -> DataFrame:
 
 
 def stream_freshness(alerts: DataFrame, by: str = "team_id") -> DataFrame:
-    """Per team, the newest closed window, window count and alert count."""
+    """Per team, the newest closed window, window and alert counts, and how many windows are missing
+    between the team's first and last one (windows in which no player of the team was heard of)."""
+    length = F.max(F.timestamp_diff("SECOND", F.col("window_start"), F.col("window_end")))
+    span = F.timestamp_diff("SECOND", F.min("window_start"), F.max("window_end"))
     return alerts.groupBy(by).agg(
         F.max("window_end").alias("latest_window_end"),
         F.min("window_start").alias("first_window_start"),
         F.count(F.lit(1)).alias("windows"),
         F.count_if(F.col("fatigue_alert")).alias("alert_windows"),
+        (span / length - F.count_distinct("window_start")).cast("long").alias("windows_missing"),
     )

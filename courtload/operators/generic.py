@@ -1,5 +1,5 @@
-"""Domain-neutral building blocks: readouts, top-k, buckets,
-one-pass correlations, freshness.  The named operators are compositions of these."""
+"""Domain-neutral building blocks: grouped measures, value counts, top-k, one-pass
+correlations.  The named operators are compositions of these."""
 
 from __future__ import annotations
 
@@ -8,15 +8,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtload.functions.exprs import bucket
+from courtload.functions.exprs import sround
 
 
-def readout(df: DataFrame, columns: Sequence[str | Column], where: Column | str | None = None,
-            order: Sequence[Column | str] | None = None) -> DataFrame:
-    """Projection + optional filter + sort (the live-table and exploration readouts)."""
-    out = df.filter(where) if where is not None else df
-    out = out.select(*columns)
-    return out.orderBy(*order) if order else out
+AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max, "stddev": F.stddev}
+
+
+def compare_by(df: DataFrame, by: Sequence[str], measures: Sequence[tuple[str, str, str, int | None]],
+               *extra: Column) -> DataFrame:
+    """One row per value of ``by`` (one in all if empty) with its measures.
+
+    A measure is (output column, aggregate, input column, digits to round to or None).
+    """
+    made = [AGGREGATES[how](source) if digits is None else sround(AGGREGATES[how](source), digits)
+            for _, how, source, digits in measures]
+    return df.groupBy(*by).agg(*(c.alias(m[0]) for c, m in zip(made, measures)), *extra)
+
+
+def value_counts(col: str, values: Sequence, name: str = "{}_count") -> list[Column]:
+    """A count of each of some values of a column, as aggregates."""
+    return [F.count_if(F.col(col) == v).alias(name.format(v)) for v in values]
 
 
 def top_k(df: DataFrame, by: Sequence[Column], k: int, tie: Sequence[str] = ()) -> DataFrame:
@@ -24,12 +35,6 @@ def top_k(df: DataFrame, by: Sequence[Column], k: int, tie: Sequence[str] = ())
     return df.orderBy(*by, *[F.col(c).asc_nulls_last() for c in tie]).limit(k)
 
 
-def bucketed(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[str], out: str,
-             inclusive: bool = False) -> DataFrame:
-    """Add a label column from ordered edges; NULL values take the last label."""
-    return df.withColumn(out, bucket(col, edges, labels, inclusive=inclusive))
-
-
 def correlations(df: DataFrame, pairs: Mapping[str, tuple[str, str]], long: bool = False,
                  name_col: str = "feature", value_col: str = "correlation") -> DataFrame:
     """Pearson correlation for every (x, y) pair in one aggregate; undefined -> NULL.
@@ -41,12 +46,3 @@ def correlations(df: DataFrame, pairs: Mapping[str, tuple[str, str]], long: bool
         return wide
     rows = [F.struct(F.lit(n).alias(name_col), F.col(n).alias(value_col)) for n in pairs]
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def freshness(df: DataFrame, by: str, time_col: str, flag: str | None = None) -> DataFrame:
-    """Per group: newest and oldest time, row count, flagged-row count."""
-    aggs = [F.max(time_col).alias(f"latest_{time_col}"), F.min(time_col).alias(f"first_{time_col}"),
-            F.count(F.lit(1)).alias("rows")]
-    if flag:
-        aggs.append(F.count_if(F.col(flag)).alias(f"{flag}_rows"))
-    return df.groupBy(by).agg(*aggs)

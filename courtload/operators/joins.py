@@ -2,8 +2,8 @@
 
 J1 joins tracking samples to box-score rows on (game, player): many to many.
 Every consumer of that join aggregates it, so the pairs are never built:
-each side is reduced to one row per key (count, sum, non-NULL count, sum of
-squares per measure), the two summaries are joined 1:1, and the fanned-out
+each side is reduced to one row per key (count, sum, non-NULL count, centred
+sum of squares per measure), the two summaries are joined 1:1, and the fanned-out
 aggregates are recovered exactly -- a tracking measure appears once per stats
 row of its key (weight ``n_stats``), a stats measure once per tracking row
 (weight ``n_track``).  Partial aggregation runs before the shuffle, so a key
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 TRACK_MEASURES = ("distance_covered_ft", "heart_rate_bpm", "speed_mph")
 STATS_MEASURES = ("minutes_played", "points", "plus_minus", "shot_attempts", "shot_made")
-SQUARED = ("heart_rate_bpm", "plus_minus")          # needed by the Pearson moments (A11)
+SPREAD = ("heart_rate_bpm", "plus_minus")           # sums of squared deviations, for the correlations (A11)
 
 
 def _side_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count_name: str,
@@ -27,8 +27,9 @@ def _side_summary(df: DataFrame, keys: Sequence[str], measures: Sequence[str], c
     aggs = [F.count(F.lit(1)).alias(count_name)]
     for m in measures:
         aggs += [F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}")]
-        if m in SQUARED:
-            aggs.append(F.sum(F.col(m) * F.col(m)).alias(f"q_{m}"))
+        if m in SPREAD:
+            # centred at the key's own mean, so that large offsets don't cancel
+            aggs.append((F.var_pop(m) * F.count(m)).alias(f"m2_{m}"))
     return df.groupBy(*keys).agg(*aggs, *extra)
 
 
@@ -113,27 +114,6 @@ def fan_avg_of_game(col: str) -> Column:
     return F.try_divide(F.sum(F.col("w_rows") * x), F.sum(F.when(x.isNotNull(), F.col("w_rows"))))
 
 
-SALTS = 32
-
-
-def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
-    """Equi-join of a possibly skewed ``big`` side with a ``small`` per-key side.
-
-    Each ``big`` row gets a salt in [0, salts) from a hash of its own values
-    (deterministic, so a recomputed partition salts the same way); ``small``
-    is copied once per salt.  A key holding a third of ``big`` is spread over
-    ``salts`` tasks whether or not AQE's skew handling is on.  Same rows as
-    ``big.join(small, keys, how)`` for inner / left / left_semi / left_anti.
-    """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
-        raise ValueError(f"salted_join keeps the big side on the left; got how={how!r}")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts))
-    b = big.withColumn("_salt", salt)
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return b.join(s, [*keys, "_salt"], how).drop("_salt")
-
-
 def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id") -> DataFrame:
     """Left join of schedule context; a game without schedule keeps NULLs.
 
@@ -162,11 +142,11 @@ def attach_team(sessions: DataFrame, tracking: DataFrame, player: str = "player_
                 team: str = "team_id") -> DataFrame:
     """Add team via the distinct (player, team) bridge; two teams duplicate a session.
 
-    The bridge is per player (small); the join is salted so one player's many
-    sessions do not land in one task.
+    The bridge is per player: broadcast where its true size is under the limit, else a
+    shuffle join whose hot players adaptive execution splits.
     """
     bridge = tracking.select(player, team).distinct()
-    return salted_join(sessions, bridge, [player], "left")
+    return sessions.join(bridge, player, "left")
 
 
 def join_schedule(sessions: DataFrame, schedule: DataFrame, date: str = "date", team: str = "team_id",

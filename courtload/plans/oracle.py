@@ -460,6 +460,18 @@ SELECT 'impossible_values', 'speed_mph', count(speed_mph),
        count(*) FILTER (WHERE speed_mph < 0 OR speed_mph > 30),
        count(*) FILTER (WHERE speed_mph < 0 OR speed_mph > 30) = 0 FROM tracking
 """)
+q("gate_input_tables", "\nUNION ALL\n".join(
+    f"SELECT 'inputs_present' AS \"check\", '{t}' AS subject, CAST(CASE WHEN count(*) > 0 THEN 0 ELSE 1 END AS BIGINT) AS failures, "
+    f"count(*) > 0 AS passed FROM {t}" for t in ("lineitem", "supplier", "orders", "customer", "events"))
+  + "\nUNION ALL SELECT 'inputs_present', 'wearables', CAST(1 AS BIGINT), FALSE")
+q("schedule_gaps", """
+SELECT s.game_id, count(*) AS expected_rows FROM schedule s
+WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id) GROUP BY s.game_id
+""")
+q("gate_schedule_completeness", """
+SELECT 'tracking_completeness' AS "check", 'team_schedules' AS subject, count(*) AS failures, count(*) = 0 AS passed
+FROM (SELECT DISTINCT game_id FROM schedule) s WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id)
+""")
 q("gate_completeness", """
 SELECT 'tracking_completeness' AS "check", 'game_stats' AS subject, count(*) AS failures, count(*) = 0 AS passed
 FROM (SELECT DISTINCT game_id, player_id FROM stats) s
@@ -502,9 +514,29 @@ SELECT CAST(player_id AS VARCHAR) AS key, CAST(game_id AS VARCHAR) AS game_id, C
        distance_covered_ft AS cumulative_distance, heart_rate_bpm
 FROM tracking WHERE "timestamp" IS NOT NULL
 """, TEL_D)
+ORACLE["telemetry_written"] = ORACLE["telemetry_encode"]
+q("telemetry_source", "SELECT event_id, user_id, event_type, value FROM events", ["value"])
 q("telemetry_decode", "SELECT * FROM tdec", TEL_D, extra=TELE)
 q("windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
 q("stream_windowed_exertion", "SELECT * FROM texe", EXE_D, extra=TELE)
+WIDE = f""",
+twide AS (
+  SELECT make_timestamp(w_ * 604800000000) AS window_start, make_timestamp((w_ + 1) * 604800000000) AS window_end,
+         player_id, {hu('avg(heart_rate_bpm)', 1)} AS avg_heart_rate,
+         {hu('max(heart_rate_bpm)', 1)} AS max_heart_rate, {hu('sum(cumulative_distance)', 1)} AS total_distance_ft,
+         {hu('avg(speed_mph)', 2)} AS avg_speed_mph, count(*) AS tracking_frames
+  FROM (SELECT *, CAST(floor(floor(event_time) / 604800) AS BIGINT) AS w_ FROM tdec) AS d_
+  GROUP BY w_, player_id)"""
+for _name in ("windowed_exertion_wide", "stream_windowed_exertion_wide"):
+    q(_name, "SELECT * FROM twide", EXE_D, extra=TELE + WIDE)
+q("alerts_wide", """
+SELECT *, heart_rate_alert OR distance_alert AS fatigue_alert FROM (
+  SELECT *, avg_heart_rate >= hr_alert_threshold AS heart_rate_alert,
+         total_distance_ft >= distance_alert_threshold AS distance_alert
+  FROM (SELECT e.*, CAST(coalesce(t.hr_alert_threshold, 209.0) AS DOUBLE) AS hr_alert_threshold,
+               CAST(coalesce(t.distance_alert_threshold, 14520.0) AS DOUBLE) AS distance_alert_threshold
+        FROM twide e LEFT JOIN thr t USING (player_id)) AS j_) AS f_
+""", ALERT_D, extra=TELE + WIDE)
 q("stream_alerts", "SELECT * FROM talerts", ALERT_D, extra=TELE)
 q("stream_live_exertion", "SELECT * FROM talerts", ALERT_D, extra=TELE)
 q("stream_live_exertion_update", "SELECT * FROM talerts", ALERT_D, extra=TELE)
@@ -545,9 +577,12 @@ q("top_alerts", """
 SELECT * FROM talerts WHERE fatigue_alert
 ORDER BY avg_heart_rate DESC, player_id, window_start, game_id, team_id LIMIT 5
 """, ALERT_D, extra=TELE)
-q("stream_freshness", """
+for _name in ("stream_freshness", "stream_output_freshness"):
+    q(_name, """
 SELECT team_id, max(window_end) AS latest_window_end, min(window_start) AS first_window_start, count(*) AS windows,
-       count(*) FILTER (WHERE fatigue_alert) AS alert_windows
+       count(*) FILTER (WHERE fatigue_alert) AS alert_windows,
+       CAST((epoch_us(max(window_end)) - epoch_us(min(window_start))) / 60000000 - count(DISTINCT window_start) AS BIGINT)
+         AS windows_missing
 FROM talerts GROUP BY team_id
 """, extra=TELE)
 
@@ -590,6 +625,15 @@ UNION ALL SELECT 'analytics', 'ratio_performance', count(DISTINCT CASE WHEN prac
                                                   WHEN practice_recovery_ratio <= 2 THEN 2 ELSE 3 END) FROM wperf
 UNION ALL SELECT 'analytics', 'injury_risk_features', count(*) FROM features
 """, extra=BTB + "," + PROFILE + "," + TRAINING + "," + RISK)
+COLUMNS = {
+    "tracking_with_stats": 27, "tracking_stats_schedule": 31, "training_with_schedule": 15, "player_game_workload": 13,
+    "rolling_workload": 16, "workload_tiers": 5, "back_to_back_analysis": 9, "btb_by_profile": 6, "travel_rest_analysis": 8,
+    "travel_bucket_analysis": 6, "training_load_analysis": 7, "weekly_training": 10, "intensity_performance": 7,
+    "ratio_performance": 5, "injury_risk_features": 13,
+}
+ORACLE["dataset_manifest"] = (
+    f"SELECT c_.*, CAST(CASE dataset {' '.join(f"WHEN '{k}' THEN {v}" for k, v in COLUMNS.items())} END AS INTEGER) AS columns, "
+    f"c_.\"rows\" >= 0 AS present FROM ({ORACLE['published_census']}) AS c_")
 q("stream_progress", """
 SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS num_input_rows, '1970-01-01T00:00:00.000Z' AS watermark FROM events
 UNION ALL

@@ -22,7 +22,7 @@ from courtload.plans.graph import Graph
 from courtload.session import scratch_path
 from courtload.sources import files as _files
 from courtload.sources import telemetry as _tel
-from courtload.sources.adapters import telemetry_events
+from courtload.sources.adapters import INPUTS, telemetry_events
 from courtload.streaming import telemetry as _st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,13 @@ def _j11(spark, sf):
     return joins.coverage_gaps(d.stats, d.tracking, ["game_id", "player_id"])
 
 
+@query("schedule_gaps")
+def _j11s(spark, sf):
+    """Scheduled games without tracking."""
+    d = _g(spark, sf).d
+    return joins.coverage_gaps(d.schedule, d.tracking, ["game_id"])
+
+
 # ---- workload and impact (A2-A11, A18, A19) -----------------------------------------------
 @query("workload_tiers")
 def _a2(spark, sf):
@@ -360,6 +367,13 @@ def _g1(spark, sf):
     return quality.gate_inputs(_profile_tables(_g(spark, sf)))
 
 
+@query("gate_input_tables")
+def _g1t(spark, sf):
+    """G1 on files: every expected table is there and has rows; a table that nobody delivers is reported."""
+    names = (*INPUTS, "wearables")
+    return quality.expect_datasets(_files.input_manifest(spark, sf, names), names, "inputs_present")
+
+
 @query("gate_impossible_values")
 def _g2(spark, sf):
     return quality.gate_impossible_values(_g(spark, sf).d.tracking)
@@ -371,6 +385,13 @@ def _g3(spark, sf):
     return quality.gate_completeness(d.stats, d.tracking)
 
 
+@query("gate_schedule_completeness")
+def _g3s(spark, sf):
+    """Every scheduled game has tracking rows."""
+    d = _g(spark, sf).d
+    return quality.gate_completeness(d.schedule, d.tracking, keys=("game_id",), subject="team_schedules")
+
+
 # ---- telemetry in batch form (S11, T1, T3, T4, L1-L4, A20, R5, G6) -----------------------
 
 
@@ -389,6 +410,25 @@ def _s11(spark, sf):
     return enc.select("key", F.from_json("value", _schemas.TELEMETRY).alias("m")).select("key", "m.*")
 
 
+@query("telemetry_written")
+def _s11w(spark, sf):
+    """S11 as a job: messages written by player and time, read back, fields parsed."""
+    path = scratch_path(spark, "telemetry-messages")
+    _tel.write_messages(_tel.tracking_messages(_g(spark, sf).d.tracking), path)
+    back = spark.read.parquet(path)
+    return back.select("key", F.from_json("value", _schemas.TELEMETRY).alias("m")).select("key", "m.*")
+
+
+@query("telemetry_source")
+def _s4(spark, sf):
+    """The feed read as a stream through the live source, landed and read back."""
+    path = scratch_path(spark, "landed-events")
+    stream = _st.table_stream(spark, sf).select("event_id", "user_id", "event_type", "value")
+    _st.drain(stream.writeStream.format("parquet").option("checkpointLocation", f"{path}-checkpoint")
+              .trigger(availableNow=True).start(path))
+    return spark.read.parquet(path)
+
+
 @query("telemetry_decode")
 def _t1(spark, sf):
     """Decoded telemetry, heart rate kept in [60, 220], event time in whole seconds."""
@@ -402,6 +442,22 @@ def _t3(spark, sf):
     return _alerts.windowed_exertion(_decoded(_g(spark, sf)), delay=None)
 
 
+WIDE = {"size": "7 days", "keys": ("player_id",)}    # windows that hold several samples of a player
+
+
+@query("windowed_exertion_wide")
+def _t3w(spark, sf):
+    """T3 with a week's windows per player."""
+    return _alerts.windowed_exertion(_decoded(_g(spark, sf)), delay=None, **WIDE)
+
+
+@query("alerts_wide")
+def _t4w(spark, sf):
+    """T4 on a week's windows."""
+    g = _g(spark, sf)
+    return _alerts.apply_alerts(_alerts.windowed_exertion(_decoded(g), delay=None, **WIDE), g.thresholds)
+
+
 @query("stream_alerts")
 def _t4(spark, sf):
     """Windows with personal thresholds and alert flags (batch form)."""
@@ -453,7 +509,16 @@ def _run_live(spark, sf, with_alerts: bool, mode: str = "complete") -> tuple[Dat
     name = "player_exertion" if with_alerts else "windowed_exertion_live"
     path, ckpt = scratch_path(spark, name), scratch_path(spark, name + "-checkpoint")
     q = _st.drain(_st.start_live(df, name, ckpt, path, mode=mode))
-    return _st.live_table(spark, name, path, keys=_st.WINDOW_KEYS if mode == "update" else None), q
+    return _st.live_table(spark, name, path), q
+
+
+@query("stream_windowed_exertion_wide")
+def _t5w(spark, sf):
+    """T3 on the stream with a week's windows per player."""
+    df = _alerts.windowed_exertion(_st.telemetry_stream(spark, sf), **WIDE)
+    keys, path = ("window_start", "window_end", "player_id"), scratch_path(spark, "windowed_exertion_wide")
+    _st.drain(_st.start_live(df, "windowed_exertion_wide", f"{path}-checkpoint", path, keys=keys))
+    return _st.live_table(spark, "windowed_exertion_wide", path, keys)
 
 
 @query("stream_windowed_exertion")
@@ -479,7 +544,7 @@ def _run_alert_log(spark, sf):
     alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))
     path, ckpt = scratch_path(spark, "streaming_alerts"), scratch_path(spark, "streaming_alerts-checkpoint")
     q = _st.drain(_st.start_alert_log(alerts, path, ckpt))
-    return spark.read.parquet(path), q
+    return _st.alert_log(spark, path, alerts.schema), q
 
 
 @query("stream_alert_sink")
@@ -495,6 +560,12 @@ def _t8(spark, sf):
     return _st.progress_frame(spark, q).select("batch_id", "num_input_rows", "watermark")
 
 
+@query("stream_output_freshness")
+def _g6s(spark, sf):
+    """G6 on what the stream wrote (the live table)."""
+    return _alerts.stream_freshness(_run_live(spark, sf, with_alerts=True, mode="update")[0])
+
+
 @query("gate_alert_output")
 def _g5(spark, sf):
     """G5 on the alert log written by the stream."""
@@ -558,8 +629,8 @@ def _r4(spark, sf):
 
 @query("dataset_manifest")
 def _s12(spark, sf):
-    """S12 (rows only: paths are run-specific)."""
-    return _batch.manifest(spark, _batch.run_batch(spark, sf))
+    """S12 without the paths, which differ by run."""
+    return _batch.manifest(spark, _batch.run_batch(spark, sf)).drop("path")
 
 
 @query("gate_outputs")

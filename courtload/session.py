@@ -103,6 +103,23 @@ def run_intermediates(spark: SparkSession, name: str = "run") -> Iterator[str]:
         remove_path(spark, folder)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder on the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(store.exists(p) and store.getFileStatus(p).isDirectory())
+
+
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the subfolders of ``path`` that a Spark write has finished; none if there is no such path."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(p):
+        return []
+    found = [s.getPath() for s in store.listStatus(p) if s.isDirectory()]
+    return sorted(f.getName() for f in found if store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on the cluster's file system (any Hadoop-supported scheme)."""
     jvm = spark.sparkContext._jvm

@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from courtload.functions.exprs import epoch_seconds
 
@@ -20,20 +19,13 @@ MALFORMED_EVERY = 97            # every 97th event id carries an unparseable dat
 SESSION_OF_EVENT = (("click", "practice"), ("view", "gym"), ("purchase", "recovery"), ("signup", "film"))
 
 
-_SCHEMAS: dict[str, StructType] = {}
+#: The tables the five domain tables and the feed are derived from.
+INPUTS = ("lineitem", "supplier", "orders", "customer", "events")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table.  Its schema is read from the Parquet footer once per
-    path and handed to later reads (inputs are immutable snapshots), which
-    skips the footer-reading job every ``spark.read.parquet`` would start."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _SCHEMAS.get(path)
-    if known is not None:
-        return spark.read.schema(known).parquet(path)
-    df = spark.read.parquet(path)
-    _SCHEMAS[path] = df.schema
-    return df
+    """One input table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def player_tracking(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:

@@ -57,6 +57,17 @@ def telemetry_encode(messages: DataFrame, key: str = "player_id", fields: Sequen
                            F.to_json(F.struct(*[F.col(f) for f in fields])).alias("value"))
 
 
+def write_messages(messages: DataFrame, path: str, key: str = "player_id", time_field: str = "event_time",
+                   fields: Sequence[str] = FIELDS) -> None:
+    """S11 as a job: (key, value) records in files, each player's in time order.
+
+    Rows are range-sorted by player and time, so a player with a third of all messages spreads over
+    several files that follow each other.
+    """
+    ordered = messages.repartitionByRange(F.col(key), F.col(time_field)).sortWithinPartitions(key, time_field)
+    telemetry_encode(ordered, key, fields).write.mode("overwrite").parquet(path)
+
+
 def telemetry_decode(records: DataFrame, schema: StructType = schemas.TELEMETRY, value: str = "value",
                      lo: float = config.HR_KEEP[0], hi: float = config.HR_KEEP[1],
                      time_field: str = "event_time") -> DataFrame:

@@ -11,8 +11,9 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from courtload.session import build_session
-    s = build_session("local[4]", app="courtload-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="courtload-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     yield s
     s.stop()

@@ -227,3 +227,61 @@ def test_distance_scale(spark):
     assert rows(alerts.apply_alerts(exe, thr))[0]["distance_alert"] is False
     scaled = rows(alerts.apply_alerts(exe, thr, distance_scale=0.1))[0]
     assert scaled["distance_alert_threshold"] == 100.0 and scaled["distance_alert"] is True
+
+
+def test_missing_inputs_are_listed_and_nothing_is_published(spark, tmp_path):
+    from pathlib import Path
+
+    import pytest
+
+    from courtload.plans.batch import GateFailed, run_batch
+    for t in ("lineitem", "supplier", "orders"):
+        (tmp_path / f"{t}.parquet").symlink_to(Path("/root/testdata/sf0.001", f"{t}.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/customer.parquet").limit(0).write.parquet(str(tmp_path / "customer.parquet"))
+    with pytest.raises(GateFailed) as e:
+        run_batch(spark, str(tmp_path), root=str(tmp_path / "lake"))
+    assert "events" in str(e.value) and "customer" in str(e.value) and "lineitem" not in str(e.value)
+    assert not (tmp_path / "lake").exists()
+
+
+def test_correlation_of_far_values_does_not_cancel(spark, tmp_path):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from courtload.operators import impact, joins
+    raw = spark.range(20000).select(
+        (F.col("id") % 500).alias("game_id"), (F.col("id") % 40).alias("player_id"), F.lit(1).alias("team_id"),
+        (F.lit(1e6) + F.rand(1)).alias("plus_minus"), (F.lit(1e6) + F.rand(2)).alias("heart_rate_bpm"))
+    games = spark.range(500).select(F.col("id").alias("game_id"), (F.lit(1e6) + F.rand(3)).alias("travel_distance_miles"),
+                                    (F.col("id") % 4).alias("rest_days_since_last_game"))
+    raw.join(games, "game_id").write.parquet(str(tmp_path / "joined"))
+    joined = spark.read.parquet(str(tmp_path / "joined"))
+    one = F.lit(1).cast("long")
+    keyed = joined.groupBy("game_id", "player_id", "team_id", "travel_distance_miles", "rest_days_since_last_game").agg(
+        *(c for m in ("plus_minus", "heart_rate_bpm") for c in (
+            F.sum(m).alias(f"s_{m}"), F.count(m).alias(f"c_{m}"), (F.var_pop(m) * F.count(m)).alias(f"m2_{m}")))
+    ).withColumn("w_track", one).withColumn("w_stats", one)
+    assert set(joins.SPREAD) == {"plus_minus", "heart_rate_bpm"}
+    got = impact.travel_correlations(keyed).first()
+    want = joined.agg(F.corr("travel_distance_miles", "plus_minus"), F.corr("travel_distance_miles", "heart_rate_bpm"),
+                      F.corr("rest_days_since_last_game", "plus_minus")).first()
+    assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got, want))
+    flat = keyed.withColumn("travel_distance_miles", F.lit(3.0))
+    assert impact.travel_correlations(flat).first()["travel_vs_plusminus"] is None
+
+
+def test_messages_are_in_time_order_by_player(spark, tmp_path):
+    import json
+
+    from courtload.sources.telemetry import tracking_messages, write_messages
+    from courtload.plans.graph import Graph
+    messages = tracking_messages(Graph.of(spark, "/root/testdata/sf0.001").d.tracking)
+    write_messages(messages, str(tmp_path / "m"))
+    last = {}
+    for f in sorted((tmp_path / "m").glob("*.parquet")):
+        for r in spark.read.parquet(str(f)).collect():
+            t = json.loads(r["value"])["event_time"]
+            assert t >= last.get(r["key"], t)
+            last[r["key"]] = t
+    assert len(last) > 5

@@ -1,36 +1,56 @@
 """Join rewrites keep the rows of the plain formulation."""
 
-import random
-
 from pyspark.sql import functions as F
 
-from courtload.operators.joins import salted_join
+from courtload.operators.joins import attach_team
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _with(spark, conf, run):
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.shuffle.partitions": "16"}
 
 
-def _bag(df):
-    return sorted((tuple(r) for r in df.select(sorted(df.columns)).collect()), key=repr)
+def _hot_sessions(spark):
+    """A third of all rows, some of them equal, belong to player 0."""
+    return spark.range(60000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("player_id"),
+                                     (F.col("id") % 500).alias("v"))
 
 
-def test_salted_join_equals_plain_join_on_skewed_keys(spark):
-    rnd = random.Random(3)
-    big = [(None if i % 97 == 0 else (0 if rnd.random() < 0.4 else rnd.randint(1, 30)), i % 50)
-           for i in range(2000)]
-    big += big[:100]                                        # exact duplicate rows
-    small = [(k, f"t{k % 3}") for k in range(0, 25)] + [(5, "t9")]   # player 5 has two teams
-    b = spark.createDataFrame(big, "player_id long, v long")
-    s = spark.createDataFrame(small, "player_id long, team string")
-    for how in ("left", "inner", "left_semi", "left_anti"):
-        assert _bag(salted_join(b, s, ["player_id"], how, salts=7)) == _bag(b.join(s, ["player_id"], how)), how
+def test_the_small_side_is_broadcast_by_its_true_size(spark):
+    sessions = _hot_sessions(spark)
+    tracking = spark.range(50).select(F.col("id").alias("player_id"), (F.col("id") % 7).alias("team_id"))
+    size = int(tracking.select("player_id", "team_id")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    over = _with(spark, {key: str(size - 1), "spark.sql.adaptive.enabled": "false"},
+                 lambda: _final_plan(attach_team(sessions, tracking)))
+    under = _with(spark, {key: str(4 * size)}, lambda: _final_plan(attach_team(sessions, tracking)))
+    assert "BroadcastHashJoin" in under and "BroadcastHashJoin" not in over
+    assert "Generate explode" not in under + over        # nothing is copied per salt
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    b = spark.range(4000).select(F.lit(1).cast("long").alias("player_id"), F.col("id").alias("v"))
-    s = spark.createDataFrame([(1, "t1")], "player_id long, team string")
-    out = salted_join(b, s, ["player_id"], "left", salts=8)
-    per_salt = (b.withColumn("_salt", F.pmod(F.xxhash64("player_id", "v"), F.lit(8)))
-                 .groupBy("_salt").count().collect())
-    assert len(per_salt) == 8 and max(r["count"] for r in per_salt) < 1000
-    assert out.count() == 4000
+def test_a_hot_player_is_split(spark):
+    from courtload.session import materialize
+    sessions = _hot_sessions(spark)
+    bridge = materialize(spark.range(50).select(F.col("id").alias("player_id"), (F.col("id") % 7).alias("team_id")), "bridge")
+    plan = _with(spark, SKEW, lambda: _final_plan(sessions.join(bridge, "player_id", "left")))
+    assert "isSkewJoin=true" in plan or "skew=true" in plan
+    assert attach_team(sessions, bridge).count() == 60000
 
 
 def test_hot_date_team_key_in_j4_is_split_by_aqe(spark):

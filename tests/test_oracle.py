@@ -18,7 +18,7 @@ def test_every_query_registered_with_oracle_or_rows_only():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
     rows_only = set(QUERIES) - set(ORACLE)
     assert set(ORACLE) <= set(QUERIES)
-    assert rows_only == {"dataset_manifest"}
+    assert rows_only == set()
 
 
 SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
@@ -42,13 +42,3 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert {"player_id", "rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"} <= set(df.columns)
-
-
-@pytest.mark.parametrize("name", ["dataset_manifest"])
-def test_rows_only_queries(spark, name):
-    pdf = QUERIES[name](spark, SF_SMALL).toPandas()
-    assert len(pdf) > 0
-    if name == "gate_outputs":
-        assert pdf["passed"].all()
-    if name == "dataset_manifest":
-        assert pdf["present"].all() and (pdf["rows"] > 0).all()

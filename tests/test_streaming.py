@@ -46,10 +46,10 @@ def test_restart_from_checkpoint_adds_no_duplicates(spark):
         return q
 
     run()
-    first = spark.read.parquet(out).count()
+    first = st.alert_log(spark, out).count()
     _stage(spark, src, "b1", [_msg(1, 200.0, 170.0)], base + 10)
     q = run()
-    second = spark.read.parquet(out)
+    second = st.alert_log(spark, out)
     # the minute [0, 60) closed after b1 moved the watermark to 190 s; it is written once
     assert second.count() >= first
     assert second.groupBy("player_id", "window_start").count().filter("count > 1").count() == 0
@@ -75,7 +75,7 @@ def test_late_row_changes_complete_but_not_append(spark):
     q = st.start_live(stream(), "late_live", scratch_path(spark, "late-live-ckpt"), live_path)
     q.awaitTermination()
     complete = {r["window_start"].second + 60 * r["window_start"].minute: r
-                for r in spark.read.parquet(live_path).collect()}
+                for r in st.live_table(spark, "late_live", live_path).collect()}
     assert complete[0]["tracking_frames"] == 2                        # complete mode kept the late row
 
     log = scratch_path(spark, "late-log")
@@ -83,30 +83,86 @@ def test_late_row_changes_complete_but_not_append(spark):
                                                  "distance_alert_threshold double")
     q2 = st.start_alert_log(apply_alerts(stream(), thr), log, scratch_path(spark, "late-log-ckpt"))
     q2.awaitTermination()
-    appended = spark.read.parquet(log).filter(F.minute("window_start") == 0).collect()
+    appended = st.alert_log(spark, log).filter(F.minute("window_start") == 0).collect()
     assert len(appended) == 1 and appended[0]["tracking_frames"] == 1  # append mode dropped it
 
 
-def test_live_sql_matches_dataframe_readouts(spark):
+def test_readouts_of_the_live_view(spark):
     from courtload.operators import alerts as al
     from tests.conftest import SF_SMALL
     from courtload.plans.graph import Graph
-    g = Graph.of(spark, SF_SMALL)
-    tel = st.telemetry_stream(spark, SF_SMALL)
-    df = st.alert_stream(tel, st.static_thresholds(g.thresholds))
-    path = scratch_path(spark, "live-sql")
-    q = st.start_live(df, "player_exertion", scratch_path(spark, "live-sql-ckpt"), path)
-    q.awaitTermination()
+    df = st.alert_stream(st.telemetry_stream(spark, SF_SMALL), st.static_thresholds(Graph.of(spark, SF_SMALL).thresholds))
+    path = scratch_path(spark, "live-view")
+    st.drain(st.start_live(df, "player_exertion", scratch_path(spark, "live-view-ckpt"), path))
     live = st.live_table(spark, "player_exertion", path)
-    for name, fn in [("heart_rate_alerts", al.heart_rate_alerts), ("distance_alerts", al.distance_alerts),
-                     ("substitution_candidates", al.substitution_candidates),
-                     ("live_exertion_ranking", al.live_exertion_ranking)]:
-        a = st.live_sql(spark, name)
-        b = fn(live)
-        assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.select(a.columns).collect()), key=repr)
-    t = st.live_sql(spark, "team_alert_summary").collect()
-    u = al.team_alert_summary(live).collect()
-    assert sorted(map(tuple, t), key=repr) == sorted(map(tuple, u), key=repr)
+    assert set(st.READOUTS) == {"live_exertion_ranking", "heart_rate_alerts", "distance_alerts", "substitution_candidates",
+                                "team_alert_summary"}
+    for name in st.READOUTS:
+        got, want = st.live_readout(spark, name), getattr(al, name)(live)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def _copy_table(spark, folder, files):
+    """sf0.001 with ``events`` as a folder of part files."""
+    from pathlib import Path
+
+    from tests.conftest import SF_SMALL
+    folder = Path(folder)
+    folder.mkdir()
+    for p in Path(SF_SMALL).glob("*.parquet"):
+        if p.stem != "events":
+            (folder / p.name).symlink_to(p)
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(files).write.parquet(str(folder / "events.parquet"))
+    return str(folder)
+
+
+def test_streams_read_a_folder_of_files_like_one_file(spark, tmp_path):
+    from courtload.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+    folder = _copy_table(spark, tmp_path / "sf", 4)
+    for name in ("telemetry_source", "stream_windowed_exertion_wide", "stream_live_exertion", "stream_live_exertion_update"):
+        one, many = (sorted(map(tuple, QUERIES[name](spark, sf).collect()), key=repr) for sf in (SF_SMALL, folder))
+        assert one and one == many, name
+    # file by file, several micro-batches give the same table
+    path = scratch_path(spark, "by-file")
+    q = st.drain(st.start_live(windowed_exertion(st.telemetry_stream(spark, folder, 1), delay=None, size="7 days", keys=("player_id",)),
+                               "by_file", f"{path}-ckpt", path, keys=("window_start", "window_end", "player_id")))
+    assert sum(p["numInputRows"] > 0 for p in q.recentProgress) == 4
+    got = st.live_table(spark, "by_file", path, ("window_start", "window_end", "player_id"))
+    from courtload.functions.exprs import round_doubles
+    want = QUERIES["windowed_exertion_wide"](spark, SF_SMALL)
+    assert sorted(map(tuple, round_doubles(got).select(want.columns).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_wide_windows_hold_several_rows(spark):
+    from courtload.plans.registry import QUERIES
+    from tests.conftest import SF_MID, SF_SMALL
+    for sf in (SF_SMALL, SF_MID):
+        assert QUERIES["windowed_exertion_wide"](spark, sf).agg(F.max("tracking_frames")).first()[0] > 1
+
+
+def test_live_view_is_whole_while_batches_are_written(spark, tmp_path):
+    folder = _copy_table(spark, tmp_path / "sf", 6)
+    path, seen = scratch_path(spark, "live-read"), []
+    keys = ("window_start", "window_end", "player_id")
+    df = windowed_exertion(st.telemetry_stream(spark, folder, 1), size="7 days", keys=("player_id",))
+    original = st.live_table
+
+    def watched(session, name, where, by=keys):
+        if seen:                                 # the view of the batch before, read after this batch's files are there
+            assert session.table(name).agg(F.sum("tracking_frames")).first()[0] == seen[-1]
+        out = original(session, name, where, by)
+        seen.append(out.agg(F.sum("tracking_frames")).first()[0])
+        return out
+    st.live_table = watched
+    try:
+        q = st.drain(st.start_live(df, "live_read", f"{path}-ckpt", path, mode="update", keys=keys, compact_every=2))
+    finally:
+        st.live_table = original
+    assert len(seen) >= 6 and seen == sorted(seen) and q.exception() is None
+    found = st._folders(spark, path)
+    assert sum(kind == "base" for kind, _ in found) == 2      # older bases and the changes under them are gone
+    assert original(spark, "live_read", path, keys).agg(F.sum("tracking_frames")).first()[0] == seen[-1]
 
 
 def test_telemetry_source_and_stop_all(spark):
@@ -133,7 +189,7 @@ def test_alert_job_and_memory_sink(spark):
     for q in qs.values():
         q.awaitTermination()
     live = st.live_table(spark, "player_exertion", f"{root}/live")
-    log = spark.read.parquet(f"{root}/alerts")
+    log = st.alert_log(spark, f"{root}/alerts")
     assert live.count() > 0 and 0 < log.count() <= live.filter("fatigue_alert").count()
     mem = st.start_live(windowed_exertion(st.telemetry_stream(spark, SF_SMALL)), "exertion_mem",
                         scratch_path(spark, "mem-ckpt"), sink="memory")
@@ -164,26 +220,37 @@ def test_update_mode_live_table_keeps_latest_version_and_evicts_state(spark):
         state_rows = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
         runs[mode] = (path, state_rows[-1])
     path, upd_state = runs["update"]
-    versions = spark.read.parquet(path)
+    versions = st.live_versions(spark, path)
     assert versions.filter(F.minute("window_start") == 0).count() == 2         # one row per changing batch
-    live = {r["window_start"].minute: r for r in st.live_table(spark, "upd_view", path, keys=st.WINDOW_KEYS).collect()}
+    live = {r["window_start"].minute: r for r in st.live_table(spark, "upd_view", path).collect()}
     assert sorted(live) == [0, 5]                                               # one row per window
     assert live[0]["tracking_frames"] == 2 and live[0]["avg_heart_rate"] == 150.0  # latest version, late row dropped
     assert upd_state < runs["complete"][1]                                      # closed window evicted from state
 
 
-def test_alert_log_bounds_files_per_batch(spark):
+def test_alert_log_uses_as_many_tasks_as_the_batch_needs(spark):
     from courtload.plans.graph import Graph
     from tests.conftest import SF_SMALL
     g = Graph.of(spark, SF_SMALL)
     alerts = st.alert_stream(st.telemetry_stream(spark, SF_SMALL), st.static_thresholds(g.thresholds))
     counts = {}
-    for k in (None, 2):
-        path = scratch_path(spark, f"alog-{k}")
-        q = st.start_alert_log(alerts, path, scratch_path(spark, f"alog-{k}-ckpt"), files_per_batch=k)
-        q.awaitTermination()
-        batches = sum(1 for p in q.recentProgress if p["numInputRows"] > 0) or 1
-        files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]
-        counts[k] = (spark.read.parquet(path).count(), len(files), batches)
-    assert counts[2][0] == counts[None][0] > 0                 # same alert rows
-    assert counts[2][1] <= 2 * (counts[2][2] + 1)              # at most 2 files per batch (a no-data batch may emit)
+    key, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    old = spark.conf.get(key)
+    spark.conf.set(first, "false")               # sizes alone decide
+    for size in ("64m", "2k"):
+        path = scratch_path(spark, f"alog-{size}")
+        spark.conf.set(key, size)
+        try:
+            st.drain(st.start_alert_log(alerts, path, f"{path}-ckpt"))
+        finally:
+            spark.conf.set(key, old)
+        files = [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+        counts[size] = (st.alert_log(spark, path).count(), len(files))
+    spark.conf.unset(first)
+    assert counts["64m"][0] == counts["2k"][0] > 0
+    assert counts["64m"][1] <= 2 and counts["2k"][1] > 4
+
+
+def test_quiet_stream_leaves_an_empty_log(spark):
+    schema = spark.createDataFrame([(1,)], "a int").schema
+    assert st.alert_log(spark, scratch_path(spark, "no-log"), schema).count() == 0
