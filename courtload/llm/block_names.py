@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import by_row, field_type, materialize, ship
+from courtload.llm.common import by_row, field_type, materialize, returned, ship
 
 BLOCK_BYTES = 4096
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -111,7 +111,7 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrow_id = to_arrow_type(id_type)
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(text_col).cast("string"))
     # two passes over the same scan: contents go through the shuffle once and are never written
-    contents, places = (read.mapInArrow(lambda it, c=c: _cut_batches(it, block_bytes, arrow_id, c), cut_type)
+    contents, places = (read.mapInArrow(lambda it, c=c: returned(_cut_batches(it, block_bytes, arrow_id, c)), cut_type)
                         for c in (True, False))
     named = materialize(
         contents.select("row", "at", "block").repartition("block").sortWithinPartitions("block")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtload.session import materialize, scratch_path
 
-__all__ = ["by_row", "field_type", "materialize", "scratch_path", "ship", "table"]
+__all__ = ["by_row", "field_type", "materialize", "returned", "scratch_path", "ship", "table"]
 
 _SHIPPED: set[str] = set()
 
@@ -42,6 +45,17 @@ def field_type(df: DataFrame, column: str) -> T.DataType:
     return df.schema[column].dataType
 
 
+def returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a Python pass; afterwards the worker, which later tasks use again, gives free memory back."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+        if trim:
+            trim(0)
+
+
 #: Row numbers are sent to every executor up to this count (8 bytes each), else joined by a shuffle.
 BROADCAST_ROWS = 4_000_000
 

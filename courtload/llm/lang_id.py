@@ -35,14 +35,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import field_type, materialize, ship
+from courtload.llm.common import field_type, materialize, returned, ship
 
 ORDER = 4
 DOCS_PER_LANG = 300
 SAMPLE_CHARS = 20_000
 REJECT_SD, REJECT_SLACK = 8.0, 1.0
 #: Characters scored at once.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _A = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -300,7 +300,7 @@ def predict(docs: DataFrame, model: Model | None, id_cols: list[str | Column], t
     schema = T.StructType([*ids, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
                            T.StructField("rejected", T.BooleanType())])
     names = schema.names
-    return kept.mapInArrow(lambda it: _predict_batches(it, sent, names), schema)
+    return kept.mapInArrow(lambda it: returned(_predict_batches(it, sent, names)), schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -323,4 +323,4 @@ def keep(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFr
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
-    return docs.mapInArrow(lambda it: _keep_batches(it, sent, at), docs.schema)
+    return docs.mapInArrow(lambda it: returned(_keep_batches(it, sent, at)), docs.schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, ship
+from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, returned, ship
 from courtload.llm.components import components, contracted
 
 WORDS = 5
@@ -147,15 +147,17 @@ def jaccard(a: bytes, b: bytes) -> float:
 
 def _link_batches(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        a, b = (c.to_pylist() for c in batch.columns[2:4])
-        linked = pa.array([jaccard(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
-        yield batch.select(["a", "b"]).filter(linked)
+        for k in range(0, batch.num_rows, _TEXTS):
+            part = batch.slice(k, _TEXTS)
+            a, b = (c.to_pylist() for c in part.columns[2:4])
+            linked = pa.array([jaccard(x, y) >= similarity for x, y in zip(a, b)], pa.bool_())
+            yield part.select(["a", "b"]).filter(linked)
 
 
 def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     left, right = (sets.select(F.col("row").alias(c), F.col("keys").alias(f"keys_{c}")) for c in "ab")
     found = pairs.join(left, "a").join(right, "b").select("a", "b", "keys_a", "keys_b")
-    return materialize(found.mapInArrow(lambda it: _link_batches(it, similarity), "a long, b long"), "near-links")
+    return materialize(found.mapInArrow(lambda it: returned(_link_batches(it, similarity)), "a long, b long"), "near-links")
 
 
 def _pivots(left: DataFrame, count: int) -> DataFrame:
@@ -177,7 +179,7 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
         return None
     text = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
     sets = materialize(text.join(F.broadcast(some) if n <= BROADCAST_ROWS else some.hint("merge"), "row", "left_semi").mapInArrow(
-        lambda it: _set_batches(it, words), "row long, keys binary"), "shingle-sets")
+        lambda it: returned(_set_batches(it, words)), "row long, keys binary"), "shingle-sets")
     labels, count = None, 1
     while True:
         pivots = materialize(_pivots(left, count), "pivots")
@@ -204,7 +206,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", field_type(docs, id_col)),
                            T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     every = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(text_col).cast("string"))
-                        .mapInArrow(lambda it: _sign_batches(it, words), schema), "signatures")
+                        .mapInArrow(lambda it: returned(_sign_batches(it, words)), schema), "signatures")
     prints = materialize(every.where("print IS NOT NULL").groupBy("print").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "bands")).alias("first")), "prints")
     labels = links(docs, prints.select("first.row", "first.bands"), text_col, words, similarity)

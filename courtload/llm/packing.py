@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import field_type, ship
+from courtload.llm.common import field_type, returned, ship
 from courtload.llm.tokens import word_tokens
 
 WINDOW = 4096
@@ -168,4 +168,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                            T.StructField("offset", long)])
     names = schema.names
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
-        lambda it: _pack_batches(it, tokenizer, window, end_id, open_windows, names), schema)
+        lambda it: returned(_pack_batches(it, tokenizer, window, end_id, open_windows, names)), schema)
