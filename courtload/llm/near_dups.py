@@ -10,11 +10,10 @@ with probability (1 - 0.8**ROWS)**BANDS, 5e-5.
 
 Documents with the same shingles are one document from then on.  In each bucket all members are compared with
 a pivot, the first of them, so a bucket of n gives n - 1 pairs and not n**2.  Pairs are verified by the exact
-Jaccard similarity of the shingles, of 64 bits each; links make connected components.  Members of a bucket
-that are then in no pivot's component are compared with PIVOTS pivots of their own, and so on in rounds until
-a round joins next to no components (ENOUGH).  No bucket is capped.  A pair that meets no common pivot in any of
-the buckets that it shares (about eight) isn't found: against all pairs, that left out about 1 in 500 joins of
-components in a group of thousands of near copies with similarities on both sides of the threshold, and none elsewhere.
+Jaccard similarity of the shingles, of 64 bits each; links make connected components.  Then every pair of a bucket's
+members is compared that wasn't compared with the pivot and has its ends in different components, in blocks of BLOCK
+members (or BLOCK_BYTES of shingles) against each other; a pair of several buckets in the one of its first band.
+So each pair that shares a bucket is verified or in one component.  No bucket is capped.
 
 Defined cases: null, empty and blank texts have no shingles and are alike with nothing; ties and
 repeated rows: of a group the row with the smallest id stays (null ids last), then the first read;
@@ -24,12 +23,12 @@ an empty table gives an empty result; other columns are not read by ``classes``
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,13 +38,14 @@ from courtload.llm.components import components, contracted
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5
-#: Pivots of a bucket in each round after the first; rounds end with one that joins fewer than one component
-#: for ENOUGH documents that have links.
-PIVOTS, ENOUGH = 4, 1000
+#: Members, and bytes of their shingles, of a bucket in a block on average.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 #: Slots; a prime, so that steps of any length visit each once.
 SLOTS = 127
 #: Texts hashed together.
 _TEXTS = 256
+#: Shingles counted together for two blocks.
+_SHINGLES = 4096
 _P = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -160,12 +160,101 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return materialize(found.mapInArrow(lambda it: returned(_link_batches(it, similarity)), "a long, b long"), "near-links")
 
 
-def _pivots(left: DataFrame, count: int) -> DataFrame:
-    """(bucket, row) of the first rows of each of ``count`` hash parts of a bucket that has several rows."""
-    part = left.select("bucket", "row", F.pmod(F.xxhash64("row"), F.lit(count)).alias("part"))
-    firsts = part.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.min("row").alias("row"))
-    found = firsts.groupBy("bucket").agg(F.sum("n").alias("n"), F.collect_list("row").alias("rows"))
-    return found.where("n > 1").select("bucket", F.explode("rows").alias("row"))
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each of some sets with each of others."""
+    sizes = [len(x) for x in (*left, *right)]
+    key, at, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1   # a shingle of one set only is in no intersection
+    row, col = np.repeat(np.arange(len(sizes)), sizes)[times[at] > 1], place[at[times[at] > 1]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((len(left), len(right)), np.float32)   # exact up to 2**24 shingles
+    for k in range(0, int(col[-1]) + 1 if len(col) else 0, _SHINGLES):
+        x, y = np.searchsorted(col, [k, k + _SHINGLES])
+        held = np.zeros((len(sizes), _SHINGLES), np.float32)
+        held[row[x:y], col[x:y] - k] = 1
+        both += held[:len(left)] @ held[len(left):].T
+    return both
+
+
+def _block_links(table: pa.Table, similarity: float) -> pa.Table:
+    """Different (a, b) of components that a pair of a unit links."""
+    bucket, diagonal = table["bucket"][0].as_py(), table["i"][0] == table["j"][0] and table["kind"][0].as_py() == 0
+    component = table["component"].to_numpy()
+    bands = np.array(table["bands"].to_pylist(), np.int64)
+    size = table["size"].to_numpy()
+    right = table["right"].to_numpy(zero_copy_only=False)
+    x = np.flatnonzero(~right)
+    y = np.arange(len(right)) if diagonal else np.flatnonzero(right)
+    open_ = component[x][:, None] != component[y]
+    open_ &= np.minimum(size[x][:, None], size[y]) >= similarity * np.maximum(size[x][:, None], size[y])
+    if diagonal:
+        open_ &= (x[:, None] < y) | right[y]
+    for k in range(bands.shape[1]):
+        if (bands[:, k] == bucket).all():
+            break
+        open_ &= bands[x, k][:, None] != bands[y, k]   # theirs in an earlier band
+    used_x, used_y = open_.any(1), open_.any(0)
+    x, y, open_ = x[used_x], y[used_y], open_[used_x][:, used_y]
+    found = np.zeros((0, 2), np.int64)
+    if len(x):
+        keys = table["keys"]
+        sets = {k: np.frombuffer(keys[k].as_py(), np.uint64) for k in {*x.tolist(), *y.tolist()}}
+        if int(size.max()) < 1 << 24:
+            both = common([sets[k] for k in x.tolist()], [sets[k] for k in y.tolist()]).astype(np.float64)
+            linked = open_ & (both / (size[x][:, None] + size[y] - both) >= similarity)
+        else:
+            linked = open_.copy()
+            for i, j in np.argwhere(open_):
+                linked[i, j] = jaccard(sets[int(x[i])], sets[int(y[j])]) >= similarity
+        i, j = np.nonzero(linked)
+        ends = component[x[i]], component[y[j]]
+        found = np.unique(np.stack([np.minimum(*ends), np.maximum(*ends)], 1), axis=0)
+    return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+
+def _units(kind: int, start: int, count: Column, unit: Callable[[Column], tuple[Column, Column, Column]]) -> Column:
+    """Array of (kind, i, j, right) for each block from ``start`` to below ``count``."""
+    def one(k: Column) -> Column:
+        i, j, right = unit(k)
+        return F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), j.cast("int").alias("j"), right.alias("right"))
+    blocks = F.filter(F.sequence(F.lit(0), count.cast("int")), lambda k: (k >= start) & (k < count))
+    return F.transform(blocks, one)
+
+
+def _rest_links(left: DataFrame, pivots: DataFrame, labels: DataFrame, singles: DataFrame, sets: DataFrame,
+                similarity: float) -> DataFrame:
+    """Links (a, b) between components by the pairs of a bucket without its pivot, all that end in two components.
+
+    Open members are those outside the pivot's component.  Units of work are two blocks of open members, or one
+    of these and one of the others (the first of these along with the open block itself).
+    """
+    def of(rows: DataFrame) -> DataFrame:
+        return rows.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
+            "bucket", "row", F.coalesce("component", "row").alias("component"))
+    mains = of(pivots).select("bucket", F.col("row").alias("pivot"), F.col("component").alias("main"))
+    rest = of(left).join(mains, "bucket").where("row <> pivot").withColumn("open", F.col("component") != F.col("main"))
+    rest = materialize(rest.where("open").select("bucket", "row", "component", "open"), "rest")
+    # buckets with an open member and another one beside the pivot
+    counts = rest.groupBy("bucket").agg(F.count_if("open").alias("opens"), F.count("*").alias("n")).where("opens > 0 AND n > 1")
+    rest = rest.join(counts.select("bucket"), "bucket").join(sets.select("row", "size"), "row")
+    rest = materialize(rest, "rest-open")
+
+    def blocks(which: Column) -> Column:
+        return F.ceil(F.greatest(F.count_if(which) / F.lit(BLOCK), F.sum(F.when(which, F.col("size") * 8)) / F.lit(BLOCK_BYTES)))
+    dealt = rest.groupBy("bucket").agg(blocks(F.col("open")).alias("opens"), F.coalesce(blocks(~F.col("open")), F.lit(0)).alias("others"))
+    opens, others, block = F.col("opens"), F.col("others"), F.col("block")
+    no, yes = F.lit(False), F.lit(True)
+    to = F.when(F.col("open"), F.concat(
+        _units(0, 0, opens, lambda k: (F.least(k, block), F.greatest(k, block), k < block)),
+        _units(1, 1, others, lambda k: (block, k, no)))).otherwise(
+        F.when(block == 0, _units(0, 0, opens, lambda k: (k, k, yes))).otherwise(_units(1, 0, opens, lambda k: (k, block, yes))))
+    units = rest.join(dealt, "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("bucket", "row"), F.when(F.col("open"), opens).otherwise(others))).select(
+        "bucket", "row", "component", "size", F.inline(to))
+    units = units.join(sets.select("row", "keys"), "row").join(singles.select("row", "bands"), "row")
+    return materialize(units.groupBy("bucket", "kind", "i", "j").applyInArrow(
+        lambda table: _block_links(table, similarity), "a long, b long").distinct(), "rest-links")
 
 
 def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame | None:
@@ -179,24 +268,12 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
         return None
     text = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
     sets = materialize(text.join(F.broadcast(some) if n <= BROADCAST_ROWS else some.hint("merge"), "row", "left_semi").mapInArrow(
-        lambda it: returned(_set_batches(it, words)), "row long, keys binary"), "shingle-sets")
-    labels, count = None, 1
-    while True:
-        pivots = materialize(_pivots(left, count), "pivots")
-        met = left.join(pivots.withColumnRenamed("row", "pivot"), "bucket").where("row <> pivot")
-        pairs = met.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
-        found = _links(pairs, sets, similarity)
-        joins = contracted(found, labels)
-        before, labels = labels, components(joins, labels)
-        if before is not None and joins.count() * ENOUGH <= before.count() or found.isEmpty():
-            return labels
-        # a member is done in a bucket once it is a pivot or in the component of one
-        def of(rows: DataFrame) -> DataFrame:
-            return rows.join(labels.withColumnRenamed("node", "row"), "row", "left").select(
-                "bucket", "row", F.coalesce("component", "row").alias("component"))
-        closed = materialize(of(pivots).select("bucket", "component").distinct(), "pivot-components")
-        left = materialize(of(left).join(closed, ["bucket", "component"], "left_anti").select("bucket", "row"), "open-rows")
-        count = PIVOTS
+        lambda it: returned(_set_batches(it, words)), "row long, keys binary").withColumn("size", (F.length("keys") / 8).cast("long")), "shingle-sets")
+    pivots = materialize(left.groupBy("bucket").agg(F.min("row").alias("row")), "pivots")
+    met = left.join(pivots.withColumnRenamed("row", "pivot"), "bucket").where("row <> pivot")
+    pairs = met.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
+    labels = components(contracted(_links(pairs, sets, similarity)))
+    return components(contracted(_rest_links(left, pivots, labels, singles, sets, similarity), labels), labels)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,

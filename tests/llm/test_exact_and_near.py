@@ -141,3 +141,14 @@ def test_components_of_chains_and_stars(spark):
     first = components(contracted(spark.createDataFrame(edges[::2], "a long, b long")))
     more = spark.createDataFrame(edges[1::2], "a long, b long")
     assert {r.node: r.component for r in components(contracted(more, first), first).collect()} == got
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_pairs_that_meet_no_linked_pivot_are_found(spark, tmp_path, monkeypatch, block):
+    """One bucket of unlike documents, whose pivots link nothing, and two pairs of near copies among them."""
+    rows = [(k, prose(200 + k, 60), "en") for k in range(30)]
+    rows += [(100 + 10 * k + j, changed(prose(300 + k, 80), j, 79), "en") for k in range(2) for j in (1, 2)]
+    monkeypatch.setattr(near_dups, "_sign_batches", _one_bucket)
+    monkeypatch.setattr(near_dups, "BLOCK", block, raising=False)
+    got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
+    assert collections.Counter((r.doc_id, r.class_id, r.class_size) for r in got) == brute_near(rows)[0]
