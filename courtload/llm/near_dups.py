@@ -234,7 +234,7 @@ def _rest_links(left: DataFrame, pivots: DataFrame, labels: DataFrame, singles:
             "bucket", "row", F.coalesce("component", "row").alias("component"))
     mains = of(pivots).select("bucket", F.col("row").alias("pivot"), F.col("component").alias("main"))
     rest = of(left).join(mains, "bucket").where("row <> pivot").withColumn("open", F.col("component") != F.col("main"))
-    rest = materialize(rest.where("open").select("bucket", "row", "component", "open"), "rest")
+    rest = materialize(rest.select("bucket", "row", "component", "open"), "rest")
     # buckets with an open member and another one beside the pivot
     counts = rest.groupBy("bucket").agg(F.count_if("open").alias("opens"), F.count("*").alias("n")).where("opens > 0 AND n > 1")
     rest = rest.join(counts.select("bucket"), "bucket").join(sets.select("row", "size"), "row")

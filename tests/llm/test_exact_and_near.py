@@ -152,3 +152,14 @@ def test_pairs_that_meet_no_linked_pivot_are_found(spark, tmp_path, monkeypatch,
     monkeypatch.setattr(near_dups, "BLOCK", block, raising=False)
     got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
     assert collections.Counter((r.doc_id, r.class_id, r.class_size) for r in got) == brute_near(rows)[0]
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_members_of_a_pivots_component_link_others(spark, tmp_path, monkeypatch, block):
+    """A chain of edits in one bucket, each document alike with its neighbours only."""
+    words = prose(400, 400).split()
+    rows = [(k, " ".join(words[10 * k:10 * k + 100]), "en") for k in range(24)]
+    monkeypatch.setattr(near_dups, "_sign_batches", _one_bucket)
+    monkeypatch.setattr(near_dups, "BLOCK", block, raising=False)
+    got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
+    assert brute_near(rows)[1] == 1 and {(r.class_id, r.class_size) for r in got} == {(0, 24)}
