@@ -1,11 +1,11 @@
 """Near-duplicate groups of documents by ProbMinHash, banding and verification.
 
 A document is its shingles of five words (lower-cased, split at white space; a shorter text is one
-shingle of all its words), each weighted 1 + ln(count).  Its signature is ProbMinHash: every shingle
-throws exponential arrivals at the rate of its weight into slots in an order of its own, without
-repeats; a slot keeps the shingle that arrives first, and a shingle stops once it is later than
-all slots' arrivals so far.  Two signatures agree in a slot with the probability Jaccard of the
-weighted shingles.  BANDS bands of ROWS slots make the buckets: a pair of similarity 0.8 shares none
+shingle of all its words), each of weight 1 however often it comes, as links are decided by the plain Jaccard
+similarity.  Its signature is ProbMinHash: every shingle throws exponential arrivals at the rate of its
+weight into slots in an order of its own, without repeats; a slot keeps the shingle that arrives first,
+and a shingle stops once it is later than all slots' arrivals so far.  Two signatures agree in a slot with
+the probability Jaccard of the shingles.  BANDS bands of ROWS slots make the buckets: a pair of similarity 0.8 shares none
 with probability (1 - 0.8**ROWS)**BANDS, 5e-5.
 
 Documents with the same shingles are one document from then on.  In each bucket all members are compared with
@@ -115,8 +115,8 @@ def _sign_batches(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.
     for batch in batches:
         for a in range(0, batch.num_rows, _TEXTS):
             part = batch.slice(a, _TEXTS)
-            owner, key, count = shingles(part.column(2).to_pylist(), words)
-            keys = band_keys(signatures(owner, key, 1 + np.log(count), part.num_rows))
+            owner, key, _ = shingles(part.column(2).to_pylist(), words)
+            keys = band_keys(signatures(owner, key, np.ones(len(key)), part.num_rows))
             ends = np.searchsorted(owner, np.arange(part.num_rows + 1))
             prints = [xxhash.xxh3_128_digest(key[x:y].tobytes()) if y > x else None for x, y in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays(

@@ -163,3 +163,11 @@ def test_members_of_a_pivots_component_link_others(spark, tmp_path, monkeypatch,
     monkeypatch.setattr(near_dups, "BLOCK", block, raising=False)
     got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
     assert brute_near(rows)[1] == 1 and {(r.class_id, r.class_size) for r in got} == {(0, 24)}
+
+
+def test_repeated_lines_that_differ(spark, tmp_path):
+    """Bodies alike, a line repeated fifty times with another name in each: plain similarity is above 0.8."""
+    rows = [(10 * k + j, f"{prose(500 + k, 42)} " + f"cast four of {j}name " * 50, "en") for k in range(20) for j in (1, 2)]
+    want, groups = brute_near(rows)
+    got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
+    assert groups == 20 and collections.Counter((r.doc_id, r.class_id, r.class_size) for r in got) == want
