@@ -5,8 +5,9 @@ Sentences and lines that hold a cue word make candidate blocks with up to GAP ne
 compressed with zstandard alone and with each template as a raw-content dictionary; templates are ranked
 by how much smaller the block becomes.  Going down the ranking, a template is confirmed by the exact
 wording: block and template are aligned word by word, and the differences must stay within TOLERANCE of the
-template's words, none of them a number or a word that tells licenses apart.  Confirmed spans don't overlap,
-so a block can hold several licenses.  Blocks much longer than the longest template are taken in overlapping
+template's words, none of them a number or a word that tells licenses apart; list markers at a line's start
+(1., 2), (a)) are no differences.  A number joined to the template's last one by a dot is a longer version.  A
+refused place doesn't end the search of its block.  Confirmed spans don't overlap, so a block can hold several licenses.  Blocks much longer than the longest template are taken in overlapping
 windows.
 
 Defined cases: null, empty and blank texts and texts without a cue have no findings; repeated rows are rows of
@@ -75,8 +76,19 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
         "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
         "any later version."),
-    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3.",),
-    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3.",),
+    "LGPL-3.0": (
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."),
+    "AGPL-3.0": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -115,6 +127,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 _ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s)|\n|$)\s*")
 _WORD = re.compile(r"\w+")
+#: A list marker, after comment signs or bullets at most.
+_MARKER = re.compile(r"^[^\w\n]*(\d{1,2}|[a-zA-Z]|[ivxIVX]{2,4})[.)\]](?=\s|$)", re.MULTILINE)
 
 
 def words_at(text: str) -> list[tuple[str, int, int]]:
@@ -176,13 +190,40 @@ class Templates:
         order = sorted(range(len(saved)), key=lambda k: (-saved[k], -len(self.known[k][2]), k))
         return [(share, k) for k in order if (share := saved[k] / self.size[k]) >= LEAST_GAIN]
 
-    def confirm(self, found: list[tuple[str, int, int]], template: int) -> tuple[int, int, list[str]] | None:
-        """(first word, end word, differences) of a template in a block's words, or None."""
+    def confirm(self, found: list[tuple[str, int, int]], template: int, text: str,
+                markers: frozenset[int] | set[int] = frozenset()) -> tuple[int, int, list[str] | None] | None:
+        """(first word, end word, differences) of a template in a block's words.
+
+        Differences are None if that place is refused, the result if no other place can hold the template.
+        """
         wanted = self.known[template][2]
         have = [w for w, _, _ in found]
-        matched = [m for m in difflib.SequenceMatcher(None, wanted, have, autojunk=False).get_matching_blocks() if m.size]
+        matched = self._matched(wanted, have)
         if not matched:
             return None
+        core = max(matched, key=lambda m: m.size)
+        allowed = int(TOLERANCE * len(wanted))
+        inside = sum(start in markers for _, start, _ in found)
+        if core.size * (allowed + 1 + inside) < len(wanted) - allowed:
+            return None   # any copy has a longer run of its words
+        if (hit := self._differences(wanted, have, matched, found, text, markers)) is not None:
+            return hit
+        # other copies nearby may have drawn the alignment away: once more, close to the longest run
+        low = max(core.b - core.a - allowed - inside, 0)
+        high = core.b + len(wanted) - core.a + allowed + inside
+        if (low or high < len(have)) and (near := self._matched(wanted, have[low:high])) and (
+                hit := self._differences(wanted, have[low:high], near, found[low:high], text, markers, found[high:high + 1])) is not None:
+            return low + hit[0], low + hit[1], hit[2]
+        return core.b, core.b + core.size, None
+
+    @staticmethod
+    def _matched(wanted: list[str], have: list[str]) -> list[difflib.Match]:
+        return [m for m in difflib.SequenceMatcher(None, wanted, have, autojunk=False).get_matching_blocks() if m.size]
+
+    @staticmethod
+    def _differences(wanted: list[str], have: list[str], matched: list[difflib.Match], found: list[tuple[str, int, int]], text: str,
+                     markers: frozenset[int] | set[int], after: Iterable[tuple[str, int, int]] = ()) -> tuple[int, int, list[str]] | None:
+        """(first word, end word, differences) of an alignment, None if they are too many or tell licenses apart."""
         # the densest run of matches: start from the longest and take what adds more words than it skips
         core = max(range(len(matched)), key=lambda i: matched[i].size)
         low = high = core
@@ -195,10 +236,11 @@ class Templates:
         extra = []
         for x, y in zip(matched[low:high], matched[low + 1:high + 1]):
             gone += wanted[x.a + x.size:y.a]
-            extra += have[x.b + x.size:y.b]
+            extra += [w for w, start, _ in found[x.b + x.size:y.b] if start not in markers]
         if len(gone) + len(extra) > TOLERANCE * len(wanted) or any(w in TELLING or w.isdigit() for w in gone + extra):
             return None
-        if not gone and not extra and end < len(have) and have[end].isdigit() and wanted[-1].isdigit():
+        if wanted[-1].isdigit() and have[end - 1] == wanted[-1] and (follows := [*found, *after][end:end + 1]) and (
+                follows[0][0].isdigit() and text[found[end - 1][2]:follows[0][1]] == "."):
             return None   # a longer version number
         return first, end, [f"-{w}" for w in gone] + [f"+{w}" for w in extra]
 
@@ -206,6 +248,7 @@ class Templates:
         out = {}
         for a, b, core, core_end in self.blocks(text):
             found, taken = words_at(text[a:b]), []
+            markers = {m.start(1) for m in _MARKER.finditer(text[a:b])}
             ranks = self.ranked(text[core:core_end])   # neighbours without a cue may hide what a short template saves
             if (core, core_end) != (a, b):
                 ranks += [(g, k) for g, k in self.ranked(text[a:b]) if k not in {j for _, j in ranks}]
@@ -214,12 +257,12 @@ class Templates:
                 free = [found]
                 while free:
                     part = free.pop()
-                    if not part or (hit := self.confirm(part, k)) is None:
+                    if not part or (hit := self.confirm(part, k, text[a:b], markers)) is None:
                         continue
                     first, end, differences = hit
                     start, stop = a + part[first][1], a + part[end - 1][2]
                     free += [part[:first], part[end:]]
-                    if any(start < y and x < stop for x, y in taken):
+                    if differences is None or any(start < y and x < stop for x, y in taken):
                         continue
                     taken.append((start, stop))
                     out.setdefault((start, stop), {"license": self.known[k][0], "start": start, "length": stop - start,

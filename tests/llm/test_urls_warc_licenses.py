@@ -134,3 +134,38 @@ def test_license_lines_of_the_documents_are_all_found(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = sorted((r.doc_id, n) for r in table.collect() for n, line in lines.items() for _ in range((r.text or "").count(line)))
     assert want and sorted((r.doc_id, r.license) for r in licenses.scan(table).collect()) == want
+
+
+def found(text):
+    return [(h["license"], h["wording"]) for h in licenses.default_templates().scan(text)]
+
+
+@pytest.mark.parametrize("name", ["BSD-2-Clause", "BSD-3-Clause"])
+@pytest.mark.parametrize("marks", [("1. ", "2. ", "3. "), ("  1) ", "  2) ", "  3) "), (" * (a) ", " * (b) ", " * (c) "), ("", "", "")])
+def test_numbered_clauses_are_found(name, marks):
+    text = licenses.TEMPLATES[name][1][:-1]
+    for mark, clause in zip(marks, ("Redistributions of source", "Redistributions in binary", "Neither the name")):
+        text = text.replace(clause, f"\n{mark}{clause}")
+    assert found(text) == [(name, text)]
+
+
+def test_a_number_after_the_wording_is_no_longer_version():
+    for name, line in (("Apache-2.0", "Licensed under the Apache License, Version 2.0."), ("CC-BY-4.0", "Licensed under CC BY 4.0.")):
+        for after in ("\n2021 Foo Inc.", " 2021 Foo Inc.", "\n\n1. Introduction", ""):
+            assert found(line + after) == [(name, line[:-1])]
+        assert found(line + "1 is another version") == found(line + "1") == []
+
+
+def test_the_search_goes_on_after_a_refused_place():
+    line = "Licensed under the Apache License, Version 2.0"
+    assert found(f"{line}.1 was replaced.\n{line}.\n{line}.2.\n{line}.") == [("Apache-2.0", line)] * 2
+    long = licenses.TEMPLATES["GPL-3.0"][2]
+    other = long.replace("version 3", "version 9")
+    assert found(f"{other}\n{long}\n{other}\n{long}") == [("GPL-3.0", long[:-1])] * 2
+
+
+def test_affero_and_lesser_notices():
+    notice = ("This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License "
+              "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version")
+    for name, *of in (("AGPL-3.0", "program", "Affero"), ("LGPL-3.0", "program", "Lesser"), ("LGPL-3.0", "library", "Lesser")):
+        assert found(notice.format(*of) + ".") == [(name, notice.format(*of))]
