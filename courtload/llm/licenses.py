@@ -1,7 +1,7 @@
 """License scans by conditional compression.
 
-Sentences and lines that hold a cue word make candidate blocks with up to GAP neighbours on both sides
-(blocks that near join).  Each block is
+Cue words make candidate blocks with the words on both sides, as many as the longest stretch without a cue in any
+template plus the differences allowed (cues that near join), whatever the line ends.  Each block is
 compressed with zstandard alone and with each template as a raw-content dictionary; templates are ranked
 by how much smaller the block becomes.  Going down the ranking, a template is confirmed by the exact
 wording: block and template are aligned word by word, and the differences must stay within TOLERANCE of the
@@ -22,6 +22,7 @@ import functools
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -35,8 +36,6 @@ LEVEL = 19
 LEAST_GAIN = 0.15
 #: Share of a template's words that may differ.
 TOLERANCE = 0.1
-#: Sentences without a cue before, after and between those of one block.
-GAP = 2
 
 # Cue words, words that tell licenses apart, and template wordings (public license notices).
 CUES = ("licens", "licenc", "copyright", "permission", "warrant", "redistribut", "public domain", "creative commons", "spdx")
@@ -125,7 +124,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 }
 
 _ASCII_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
-_SENTENCE = re.compile(r"[^\n]*?(?:[.!?](?=\s)|\n|$)\s*")
+_CUE = re.compile("|".join(re.escape(c).replace(r"\ ", r"\W{1,20}") for c in CUES))
+_BREAK = re.compile(r"[.!?](?=\s)|\n")
 _WORD = re.compile(r"\w+")
 #: A list marker, after comment signs or bullets at most.
 _MARKER = re.compile(r"^[^\w\n]*(\d{1,2}|[a-zA-Z]|[ivxIVX]{2,4})[.)\]](?=\s|$)", re.MULTILINE)
@@ -142,42 +142,43 @@ class Templates:
         self.given = [zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=False, dict_data=(
             zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for _, text, _ in self.known]
         self.size = [len(self.plain.compress(text.encode())) for _, text, _ in self.known]
-        self.longest = max(len(text) for _, text, _ in self.known)
+        self.longest = max(len(words) for _, _, words in self.known)
+        self.reach = max(self._stretch(text) + int(TOLERANCE * len(words)) for _, text, words in self.known)
+
+    @staticmethod
+    def _stretch(text: str) -> int:
+        """Most words of a template without a cue, before, after or between its cues."""
+        return max(len(words_at(part)) for part in _CUE.split(text.lower()))
 
     def blocks(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(start, end) of the candidate blocks, and of their part from the first to the last cue."""
         low = text.lower() if len(text.lower()) == len(text) else text.translate(_ASCII_LOWER)
-        if not any(c in low for c in CUES):
+        if not any(c.split()[0] in low for c in CUES):
+            return
+        cues = np.array([m.span() for m in _CUE.finditer(low)], np.int64).reshape(-1, 2)
+        if not len(cues):
             return
-        start, end, gap, before = None, 0, 0, []
-        core = [0, 0]
-        for m in _SENTENCE.finditer(text):
-            if m.start() == m.end():
-                continue
-            if any(low.find(c, m.start(), m.end()) >= 0 for c in CUES):
-                if start is None:
-                    start, core = min([m.start(), *before]), [m.start(), m.end()]
-                end = core[1] = m.end()
-                gap = 0
-            elif start is not None:
-                gap += 1
-                if gap > GAP:
-                    yield from self._windows(start, end, *core)
-                    start = None
-                else:
-                    end = m.end()
-            before = [*before, m.start()][-GAP:]
-        if start is not None:
-            yield from self._windows(start, end, *core)
+        span = np.fromiter((x for m in _WORD.finditer(text) for x in m.span()), np.int64).reshape(-1, 2)
+        span = span[~np.isin(span[:, 0], [m.start(1) for m in _MARKER.finditer(text)])]
+        first = np.searchsorted(span[:, 1], cues[:, 0], "right")
+        end = np.searchsorted(span[:, 0], cues[:, 1], "left")
+        cut = np.flatnonzero(first[1:] - end[:-1] > self.reach) + 1
+        for x, y in zip([0, *cut.tolist()], [*cut.tolist(), len(cues)]):
+            a, b = max(int(first[x]) - self.reach, 0), min(int(end[y - 1]) + self.reach, len(span))
+            # the core is whole sentences or lines
+            before = [m.end() for m in _BREAK.finditer(text, int(span[a, 0]), int(cues[x, 0]))]
+            after = _BREAK.search(text, int(cues[y - 1, 1]), int(span[b - 1, 1]))
+            yield from self._windows(span[a:b], before[-1] if before else int(span[a, 0]), after.end() if after else int(span[b - 1, 1]))
 
-    def _windows(self, start: int, end: int, core: int, core_end: int) -> Iterator[tuple[int, int, int, int]]:
-        """Long blocks in overlapping windows, each template whole in one."""
+    def _windows(self, span: np.ndarray, core: int, core_end: int) -> Iterator[tuple[int, int, int, int]]:
+        """Long blocks in overlapping windows of words, each template whole in one."""
         step = 2 * self.longest
-        if end - start <= 2 * step:
-            yield start, end, core, core_end
+        if len(span) <= 2 * step:
+            yield int(span[0, 0]), int(span[-1, 1]), core, core_end
             return
-        for a in range(start, end - step, step):
-            yield a, min(a + 2 * step, end), a, min(a + 2 * step, end)
+        for k in range(0, len(span) - step, step):
+            a, b = int(span[k, 0]), int(span[min(k + 2 * step, len(span)) - 1, 1])
+            yield a, b, a, b
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """(size reduction, template): the bytes a template saves as a share of its own compressed size.

@@ -1,5 +1,7 @@
 import gzip
 import hashlib
+import re
+import textwrap
 from pathlib import Path
 
 import pytest
@@ -169,3 +171,14 @@ def test_affero_and_lesser_notices():
               "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version")
     for name, *of in (("AGPL-3.0", "program", "Affero"), ("LGPL-3.0", "program", "Lesser"), ("LGPL-3.0", "library", "Lesser")):
         assert found(notice.format(*of) + ".") == [(name, notice.format(*of))]
+
+
+@pytest.mark.parametrize("columns", [40, 60, 70, 80])
+@pytest.mark.parametrize("prefix", ["", "# ", "        * "])
+def test_hard_wrapped_templates_are_found(columns, prefix):
+    for name, many in licenses.TEMPLATES.items():
+        for text in many:
+            lines = textwrap.wrap(text, columns, break_long_words=False, break_on_hyphens=False)
+            got = found(f"{prose(7, 300)}\n\n" + "\n".join(prefix + line for line in lines) + f"\n\n{prose(8, 300)}")
+            assert [n for n, _ in got] == [name], (text, got)
+            assert re.findall(r"\w+", got[0][1]) == re.findall(r"\w+", text)
