@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, licenses, multi_index, near_dups, packing, url_rules, warc
+from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, licenses, multi_index, near_dups, packing, periodic_runs, secret_scan, url_rules, warc
 from courtload.llm.common import field_type, scratch_path, table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -62,6 +63,41 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
 
 
+def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents repeat from some place on, with a period that their id gives."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (1 + (n - a) // p))[:n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), change=_repeated_tail)
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), periodic_runs.longest().alias("longest"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "longest.start", "longest.length", "longest.period",
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE]
+
+    def of(*names: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*names))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(listed(of(*kinds)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
@@ -73,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_lang_id": op9_lang_id,
     "op10_hilbert": op10_hilbert,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_secret_scan": op12_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
