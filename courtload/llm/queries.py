@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtload.llm import block_names, bpe_chunks, hilbert, lang_id, licenses, multi_index, near_dups, packing, periodic_runs, secret_scan, url_rules, warc
+from courtload.llm import (alignment, block_names, bpe_chunks, hilbert, lang_id, licenses, multi_index, near_dups, packing,
+                           periodic_runs, secret_scan, url_rules, warc)
 from courtload.llm.common import field_type, scratch_path, table
 
 ALLOW_RULES = ("example.net/en/", "org/fr/")
@@ -98,6 +99,11 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(of(*kinds)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_rules": op1_url_rules,
     "op2_packing": op2_packing,
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_hilbert": op10_hilbert,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_secret_scan": op12_secret_scan,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
