@@ -58,6 +58,13 @@ INCIDENT_DEFAULTS = {"games_missed": 0, "treatment": "unknown", "severity": "unk
 
 SESSION_TYPES = ("practice", "recovery", "gym", "film")
 
+# Columns of the risk snapshot and the features correlated with its label.
+SNAPSHOT = ("player_id", "date", "game_id", "rolling_5g_distance", "rolling_5g_avg_hr",
+            "rolling_5g_minutes", "total_distance_ft", "avg_heart_rate", "total_minutes")
+FEATURES = ("rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes",
+            "avg_training_intensity", "avg_sleep_hours", "avg_travel_miles")
+
+
 # The columns of the grouped readouts -- output name, aggregate, input column, digits.
 MEASURES = {
     "training_load": (
@@ -87,6 +94,20 @@ MEASURES = {
         ("avg_shooting_pct", "avg", "shooting_pct", 2),
         ("avg_minutes", "avg", "total_minutes", 1),
         ("total_records", "count", "player_id", None)),
+    "tier": (
+        ("avg_shooting_pct", "avg", "shooting_pct", 2),
+        ("avg_plus_minus", "avg", "avg_plus_minus", 3),
+        ("avg_rolling_distance", "avg", "rolling_5g_distance", 1),
+        ("avg_rolling_minutes", "avg", "rolling_5g_minutes", 1)),
+    "rolling_mean": (
+        ("avg_rolling_distance_ft", "avg", "rolling_5g_distance", 1),
+        ("avg_rolling_hr", "avg", "rolling_5g_avg_hr", 1),
+        ("avg_rolling_minutes", "avg", "rolling_5g_minutes", 1),
+        ("games_played", "count", "game_id", None)),
+    "training_mean": (
+        ("avg_training_intensity", "avg", "intensity_score", None),
+        ("avg_sleep_hours", "avg", "sleep_hours_prev_night", None),
+        ("avg_travel_miles", "avg", "travel_distance_miles", None)),
     "league": (
         ("league_avg_plus_minus", "avg", "avg_plus_minus", 3),
         ("league_avg_shooting_pct", "avg", "shooting_pct", 2),

@@ -177,14 +177,19 @@ def horizon_label(snapshots: DataFrame, events: DataFrame, key: str = "player_id
                   days: int = 7, label: str = "injury_within_7_days") -> DataFrame:
     """label = 1 when some event of the same key falls 0..days after the snapshot date.
 
-    Each event is expanded to the ``days + 1`` snapshot dates it labels and
-    de-duplicated; the snapshots then left-join on (key, date).  No pairing of
-    every snapshot with every event of its key.
+    Dates are cut into buckets of ``days + 1`` days, so such an event lies in the snapshot's bucket or the next.  In
+    its own bucket the last event tells (any from the snapshot on is near enough), in the next one the first.  So
+    each event is summed up in two buckets, whatever ``days`` is, and a snapshot joins one row of its
+    (key, bucket): no expansion by days and no pairs.
     """
-    cand = (events.filter(F.col(event_date).isNotNull())
-                  .select(F.col(key), F.explode(F.sequence(F.lit(0), F.lit(days))).alias("_d"), F.col(event_date))
-                  .select(F.col(key), F.date_sub(F.col(event_date), F.col("_d")).alias("_snap"))
-                  .distinct()
-                  .withColumn("_hit", F.lit(1)))
-    j = snapshots.join(cand, (snapshots[key] == cand[key]) & (snapshots[snap_date] == cand["_snap"]), "left")
-    return j.select(snapshots["*"], F.coalesce(F.col("_hit"), F.lit(0)).alias(label))
+    def bucket(date: str) -> Column:
+        return F.floor(F.unix_date(date) / F.lit(days + 1))
+
+    lands = F.inline(F.array(
+        F.struct(bucket(event_date).alias("_bucket"), F.col(event_date).alias("_own"), F.lit(None).cast("date").alias("_next")),
+        F.struct((bucket(event_date) - 1).alias("_bucket"), F.lit(None).cast("date").alias("_own"), F.col(event_date).alias("_next"))))
+    near = (events.where(F.col(event_date).isNotNull()).select(F.col(key).alias("_key"), lands)
+            .groupBy("_key", "_bucket").agg(F.max("_own").alias("_last"), F.min("_next").alias("_first")))
+    hit = (F.col("_last") >= F.col(snap_date)) | (F.col("_first") <= F.date_add(snap_date, days))
+    j = snapshots.withColumn("_at", bucket(snap_date)).join(near, (F.col(key) == F.col("_key")) & (F.col("_at") == F.col("_bucket")), "left")
+    return j.select(*snapshots.columns, F.when(hit, 1).otherwise(0).alias(label))

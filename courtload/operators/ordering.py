@@ -1,107 +1,211 @@
-"""Distributed positions in a total order, and what they buy: global ntile and
-fixed-length rolling row frames without a one-task window.
-
-``Window.orderBy(...)`` with no partition, or ``Window.partitionBy(player)``
-when one player holds a third of the rows, funnels that group through one
-task.  Here the order is range-partitioned instead (Spark samples the sort
-key, so a hot key's rows are split over many partitions), each partition is
-sorted, and a row's global position is its partition's offset plus its
-position inside the partition.  Offsets come from one count per partition:
-a table bounded by the partition count, which is what gets broadcast.
+"""Rolling row frames and whole-table ntile without a one-task window, a global sort or a written copy.
+
+``Window.partitionBy(player)`` puts a player with a third of the rows into one task, and
+``Window.orderBy(...)`` the whole table.
+
+* ``rolling_rows`` cuts each player's rows into chunks.  A splitter table has, for each player and each value of
+  a coarse, order-preserving key (``split_on``), how many rows come before it; counts are exact, so that
+  every evaluation cuts alike.  The rows before a chunk that its frames reach are sent to it too (the halo).
+* ``ntile_rows`` finds the first row of each tile by selection: rounds of sketched percentiles and exact counts
+  close in on it, and the rows then take one CASE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from courtload.session import materialize
-
-_LOCAL_BITS = (1 << 33) - 1   # monotonically_increasing_id keeps the in-partition index in the low 33 bits
+#: Rows of equal leading values that are fetched sorted instead of being closed in on.
+FETCHED = 10_000
+#: Sketch size of a round: a bracket keeps about this part of the rows before it.
+ACCURACY = 10_000
 
+_FRAME = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+def splitters(df: DataFrame, part: str, split_on: Sequence[Column], n: int, chunk_rows: int) -> DataFrame:
+    """(part, _s0.., _to): chunks that the rows of each (part, coarse key) go to, their own first.
 
-def global_position(df: DataFrame, order: Sequence[Column], partitions: int | None = None,
-                    pos: str = "_g", total: str = "_n") -> DataFrame:
-    """Add ``pos`` (0-based position in ``order``) and ``total`` (row count).
-
-    ``order`` must be a total order (unique keys).  The range bounds come
-    from a sample, so two evaluations of the sorted frame may cut partitions
-    differently; the frame with its (partition, index) pairs is therefore
-    written once to the shared checkpoint folder and both the per-partition
-    counts and the rows are read from that one copy.
-    """
-    srt = (df.repartitionByRange(_partitions(df, partitions), *order)
-             .sortWithinPartitions(*order)
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_lid", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS))))
-    srt = materialize(srt, "positions")
-    counts = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    every = Window.orderBy("_pid")              # one row per partition: bounded by the partition count
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(every.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias(total),
-    )
-    return (srt.join(F.broadcast(offsets), "_pid")
-               .withColumn(pos, F.col("_off") + F.col("_lid"))
-               .drop("_pid", "_lid", "_off"))
-
-
-def ntile_global(df: DataFrame, n: int, order: Sequence[Column], out: str = "tile",
-                 partitions: int | None = None) -> DataFrame:
-    """``ntile(n) OVER (ORDER BY order)`` for the whole table, computed in parallel.
-
-    Bucket sizes follow SQL NTILE: the first ``N mod n`` buckets get one extra row.
+    A chunk starts at the first coarse key at or after each multiple of ``chunk_rows``.  A key's rows are also
+    sent to each later chunk that starts less than ``n - 1`` rows after them.
     """
-    ranked = global_position(df, order, partitions)
-    g, tot = F.col("_g"), F.col("_n")
-    base = F.floor(tot / n)
-    rem = tot - base * n
-    big = rem * (base + 1)
-    tile = F.when(g < big, F.floor(g / (base + 1)) + 1).otherwise(F.floor((g - big) / base) + rem + 1)
-    return ranked.withColumn(out, tile.cast("int")).drop("_g", "_n")
-
-
-def rolling_rows(df: DataFrame, part: str, order: Sequence[Column], n: int,
-                 aggs: Mapping[str, tuple[str, str]], method: str = "split",
-                 partitions: int | None = None, chunk_rows: int = 1 << 20) -> DataFrame:
-    """Frame ``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW`` per ``part``.
-
-    ``aggs`` maps output name -> (function, column) with function in
-    {"sum", "avg", "min", "max", "count"}.  ``order`` must make rows unique
-    within ``part``.
+    names = [f"_s{k}" for k in range(len(split_on))]
+    counts = df.groupBy(F.col(part), *[c.alias(name) for c, name in zip(split_on, names)]).agg(F.count("*").alias("_n"))
+    by_key = Window.partitionBy(part).orderBy(*[F.col(name).asc_nulls_first() for name in names])
+    before = F.coalesce(F.sum("_n").over(by_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counts.withColumn("_before", before).withColumn("_chunk", F.floor(F.col("_before") / chunk_rows))
+    by_row = Window.partitionBy(part).orderBy("_before")
+    starts = F.coalesce(F.col("_chunk") != F.lag("_chunk").over(by_row), F.lit(True))
+    near = F.collect_list(F.when(F.col("_starts"), F.col("_chunk"))).over(by_row.rangeBetween(0, max(n - 2, 0)))
+    placed = placed.withColumn("_starts", starts).withColumn("_near", near)
+    later = F.coalesce(F.lead("_near").over(by_row), F.array().cast("array<bigint>")) if n > 1 else F.array().cast("array<bigint>")
+    return placed.select(part, *names, F.concat(F.array("_chunk"), F.filter(later, lambda c: c > F.col("_chunk"))).alias("_to"))
+
+
+def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: Mapping[str, tuple[str, str]],
+                 method: str = "split", split_on: Sequence[Column] | None = None, chunk_rows: int = 1 << 20) -> DataFrame:
+    """Frame ``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW`` per ``part``, by ``order`` ascending, nulls first.
+
+    ``aggs`` maps output name -> (function, column) with function in {"sum", "avg", "min", "max", "count"}.
+    ``order`` must make rows unique within ``part``.
 
     method="window": Spark's window operator (one task per ``part`` value).
-    method="split":  global positions over (part, order) cut the rows into
-    chunks of ``chunk_rows`` consecutive positions; the last n-1 rows of
-    every chunk are copied into the next one as a read-only halo, and the
-    window runs per (part, chunk).  A player with a third of all rows is
-    spread over many chunks; no window group exceeds chunk_rows + n - 1 rows.
+    method="split": the window runs per (part, chunk).  ``split_on`` is the coarse key, columns that never fall
+    along ``order`` (by default its first column); a chunk has at most ``chunk_rows`` rows, those of one more coarse key
+    and the halo.  Building the result starts no job and nothing is written; the input is read twice, once for the
+    columns of the coarse key alone, which must come out alike each time.
     """
-    fns = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
-    if method == "window":
-        w = Window.partitionBy(part).orderBy(*order).rowsBetween(-(n - 1), 0)
-        out = df
-        for name, (fn, c) in aggs.items():
-            out = out.withColumn(name, fns[fn](c).over(w))
-        return out
-    if method != "split":
+    if method not in ("window", "split"):
         raise ValueError(f"unknown method {method!r}")
-    cols = df.columns
-    ranked = global_position(df, [F.col(part).asc_nulls_first(), *order], partitions)
-    chunk = F.floor(F.col("_g") / F.lit(chunk_rows))
-    tail = F.col("_g") % F.lit(chunk_rows) >= F.lit(chunk_rows - (n - 1))
-    # one scan: every row once in its own chunk (shift 0), chunk tails once more as the next chunk's halo
-    shifts = F.when(tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    copies = ranked.select(*cols, "_g", chunk.alias("_c0"), F.explode(shifts).alias("_shift")).select(
-        *cols, "_g", (F.col("_c0") + F.col("_shift")).alias("_c"), (F.col("_shift") == 1).alias("_halo"))
-    w = Window.partitionBy(part, "_c").orderBy("_g").rowsBetween(-(n - 1), 0)
-    framed = copies.select(
-        *cols, "_halo", *[fns[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
-    return framed.filter(~F.col("_halo")).drop("_halo")
+    by = [F.col(c).asc_nulls_first() for c in order]
+    if method == "window":
+        w = Window.partitionBy(part).orderBy(*by).rowsBetween(-(n - 1), 0)
+        return df.select("*", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
+    coarse = list(split_on or [F.col(order[0])])
+    table = splitters(df, part, coarse, n, chunk_rows).withColumnRenamed(part, "_part")
+    keyed = df.select("*", *[c.alias(f"_k{k}") for k, c in enumerate(coarse)])
+    same = F.col(part).eqNullSafe(F.col("_part"))
+    for k in range(len(coarse)):
+        same &= F.col(f"_k{k}").eqNullSafe(F.col(f"_s{k}"))
+    # a row once for its own chunk (place 0), and once for each chunk whose halo it is in
+    copies = keyed.join(table, same).select(*df.columns, F.posexplode("_to").alias("_halo", "_chunk"))
+    w = Window.partitionBy(part, "_chunk").orderBy(*by).rowsBetween(-(n - 1), 0)
+    framed = copies.select(*df.columns, "_halo", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
+    return framed.where("_halo = 0").drop("_halo")
+
+
+def _number(df: DataFrame, col: str) -> Column:
+    """The column as a number in the same order."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, NumericType):
+        return F.col(col)
+    if kind.typeName() == "date":
+        return F.unix_date(col)
+    if kind.typeName() == "timestamp":
+        return F.unix_micros(col)
+    if kind.typeName() == "boolean":
+        return F.col(col).cast("int")
+    raise TypeError(f"{col}: selection needs a number, a date, a timestamp or a boolean, not {kind.simpleString()}")
+
+
+class _Search:
+    """Closing in on the row at one place of the order, column by column."""
+
+    def __init__(self, rank: int) -> None:
+        self.rank = rank                       # among the rows that share ``fixed``
+        self.fixed: list[Any] = []             # values of the leading columns
+        self.low = self.high = None            # open interval of the next column's number
+        self.points: list = []
+        self.rows = None                       # rows within the interval; None: not known yet
+        self.below = 0                         # rows that share ``fixed`` and are at or under ``low``
+        self.done: tuple | None = None
+
+
+def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[tuple]:
+    """The values of ``order`` (ascending, nulls first) of the rows at some 0-based places, by distributed selection.
+
+    A round is two aggregates over the rows for all places together: sketched percentiles within each place's bracket, then exact
+    counts at these points, which leave about 1 / ACCURACY of the rows.  Where a value is the place's, the next column
+    goes on among its ties; FETCHED or fewer of these are sorted and fetched.  Nothing else leaves the executors than a
+    few numbers a place.  ``df`` must come out alike each time it is read: read it from storage.
+    """
+    searches = [_Search(r) for r in ranks]
+
+    def inside(s: _Search) -> Column:
+        c = F.lit(True)
+        for name, v in zip(order, s.fixed):
+            c &= F.col(name).eqNullSafe(F.lit(v))
+        return c
+
+    while live := [s for s in searches if s.done is None]:
+        asked: list[Column] = []
+        for k, s in enumerate(live):
+            x, here = _number(df, order[len(s.fixed)]), inside(s)
+            if s.rows is None:
+                asked += [F.count_if(here).alias(f"n{k}"), F.count_if(here & x.isNull()).alias(f"null{k}"),
+                          F.lit(None).cast("array<double>").alias(f"p{k}")]
+                continue
+            if s.low is not None:
+                here &= x > F.lit(s.low)
+            if s.high is not None:
+                here &= x < F.lit(s.high)
+            at, slack = (s.rank - s.below + 0.5) / s.rows, 2 / ACCURACY
+            wanted = sorted({min(max(p, 0.0), 1.0) for p in (at - slack, at, at + slack)})
+            asked += [F.lit(None).alias(f"n{k}"), F.lit(None).alias(f"null{k}"),
+                      F.percentile_approx(F.when(here, x), F.array(*map(F.lit, wanted)), ACCURACY).alias(f"p{k}")]
+        seen = df.agg(*asked).first()
+        counting = []
+        for k, s in enumerate(live):
+            if s.rows is None:      # the column's nulls, then the rest
+                if s.rank < seen[f"null{k}"]:
+                    _settle(df, order, s, None, seen[f"null{k}"], inside)
+                else:
+                    s.below, s.rows = seen[f"null{k}"], seen[f"n{k}"] - seen[f"null{k}"]
+                continue
+            s.points = sorted(set(seen[f"p{k}"]))
+            counting.append(s)
+        if not counting:
+            continue
+        parts = []
+        for k, s in enumerate(counting):
+            x, here = _number(df, order[len(s.fixed)]), inside(s)
+            for j, p in enumerate(s.points):
+                parts += [F.count_if(here & (x < F.lit(p))).alias(f"l{k}_{j}"), F.count_if(here & (x == F.lit(p))).alias(f"e{k}_{j}")]
+            parts.append(F.count_if(here & x.isNull()).alias(f"null{k}"))
+        seen = df.agg(*parts).first()
+        for k, s in enumerate(counting):
+            end = s.below + s.rows
+            for j, p in enumerate(s.points):
+                less = seen[f"l{k}_{j}"] + seen[f"null{k}"]
+                equal = seen[f"e{k}_{j}"]
+                if less <= s.rank < less + equal:
+                    s.rank -= less
+                    _settle(df, order, s, p, equal, inside)
+                    break
+                if less + equal <= s.rank:
+                    s.low, s.below = p, less + equal
+                else:
+                    s.high, end = p, less
+                    break
+            if s.rows is not None:
+                s.rows = end - s.below
+    return [s.done for s in searches]   # type: ignore[misc]
+
+
+def _settle(df: DataFrame, order: Sequence[str], s: _Search, number: Any, ties: int, inside) -> None:
+    """The next column's value is known: its row is fetched if its ties are few, else the column after it is next."""
+    name = order[len(s.fixed)]
+    x = _number(df, name)
+    same = inside(s) & (x.isNull() if number is None else x == F.lit(number))
+    rest = list(order[len(s.fixed) + 1:])
+    if ties <= FETCHED or not rest:
+        rows = df.where(same).select(*order).orderBy(*[F.col(c).asc_nulls_first() for c in rest or [name]]).limit(s.rank + 1).collect()
+        s.done = tuple(rows[-1])
+        return
+    value = None if number is None else df.where(same).select(name).first()[0]
+    s.fixed = [*s.fixed, value]
+    s.low = s.high = s.rows = None
+    s.below = 0
+
+
+def ntile_rows(df: DataFrame, n: int, order: Sequence[str], out: str = "tile") -> DataFrame:
+    """``ntile(n) OVER (ORDER BY order)`` for the whole table; ``order`` ascending, nulls first.
+
+    Tile sizes follow SQL NTILE: the first ``N mod n`` tiles get one extra row.  The rows that tiles start with are
+    selected (``rows_at``) when this is called; ``df`` must be read from storage.  The rows take one CASE.
+    """
+    total = df.count()
+    base, extra = divmod(total, n)
+    starts = [k * base + min(k, extra) for k in range(1, n)]
+    starts = [s for k, s in enumerate(starts) if s < total and s > (starts[k - 1] if k else 0)]
+    cuts = rows_at(df, order, starts) if starts else []
+    key = F.struct(*[F.col(c).alias(f"k{k}") for k, c in enumerate(order)])
+    tile = F.lit(1)
+    for k, cut in enumerate(cuts, 2):
+        at = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(f"k{j}") for j, (v, c) in enumerate(zip(cut, order))])
+        tile = F.when(key >= at, F.lit(k)).otherwise(tile)   # the last tile first
+    return df.withColumn(out, tile.cast("int"))

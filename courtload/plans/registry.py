@@ -19,7 +19,7 @@ from courtload.operators import alerts as _alerts
 from courtload.operators import clean, impact, joins, quality, risk, training, workload
 from courtload.plans import batch as _batch
 from courtload.plans.graph import Graph
-from courtload.session import scratch_path
+from courtload.session import materialize, scratch_path
 from courtload.sources import files as _files
 from courtload.sources import telemetry as _tel
 from courtload.sources.adapters import INPUTS, telemetry_events
@@ -206,7 +206,7 @@ def _j11s(spark, sf):
 # ---- workload and impact (A2-A11, A18, A19) -----------------------------------------------
 @query("workload_tiers")
 def _a2(spark, sf):
-    return workload.workload_tiers(_g(spark, sf).rolling)
+    return workload.workload_tiers(materialize(workload.tier_columns(_g(spark, sf).rolling), "tier-columns"))
 
 
 @query("back_to_back_analysis")
@@ -593,20 +593,20 @@ def _s2(spark, sf):
 
 @query("publish_roundtrip")
 def _s5(spark, sf):
-    """Back-to-back analysis published (overwrite, twice) and read back."""
+    """Back-to-back analysis published twice, the second version read back through the pointer."""
     path = scratch_path(spark, "back_to_back_analysis.parquet")
     btb = _g(spark, sf).btb
-    _files.publish(btb, path)
-    _files.publish(btb, path)
-    return spark.read.parquet(path)
+    _files.publish_version(btb, path)
+    _files.publish_version(btb, path)
+    return _files.read_published(spark, path)
 
 
 @query("publish_partitioned")
 def _s6(spark, sf):
     """Rolling workload published partitioned by team; per-team census of the read-back."""
     path = scratch_path(spark, "rolling_workload.parquet")
-    _files.publish(_g(spark, sf).rolling, path, partition_by=["team_id"], cluster_by=["player_id", "date", "game_id"])
-    back = spark.read.parquet(path)
+    _files.publish_version(_g(spark, sf).rolling, path, partition_by=["team_id"], cluster_by=["player_id", "date", "game_id"])
+    back = _files.read_published(spark, path)
     return back.groupBy("team_id").agg(F.count(F.lit(1)).alias("rows"),
                                        F.sum("rolling_5g_distance").alias("rolling_distance"))
 

@@ -120,6 +120,52 @@ def finished_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getName() for f in found if store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS")))
 
 
+def _store(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the subfolders of ``path``; none if there is no such path."""
+    store, p = _store(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(p) if s.isDirectory()) if store.exists(p) else []
+
+
+def files_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly in ``path``; none if there is no such path."""
+    store, p = _store(spark, path)
+    return sorted(s.getPath().getName() for s in store.listStatus(p) if s.isFile()) if store.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file; None if there is none."""
+    store, p = _store(spark, path)
+    if not store.exists(p):
+        return None
+    stream = store.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file in one step: readers find the old content or the new one, whole."""
+    jvm = spark.sparkContext._jvm
+    store, p = _store(spark, path)
+    staged = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = store.create(staged, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    over = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    over[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(store.makeQualified(staged), store.makeQualified(p), over)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on the cluster's file system (any Hadoop-supported scheme)."""
     jvm = spark.sparkContext._jvm

@@ -7,7 +7,9 @@ FIXTURES.md; the DuckDB oracle repeats them as CTEs (plans/oracle.py).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,16 +131,30 @@ def telemetry_events(events: DataFrame) -> DataFrame:
     )
 
 
+Table = DataFrame | Callable[[], DataFrame]
+
+
 @dataclass
 class Domain:
-    """The raw domain tables of one data set (lazy DataFrames)."""
+    """The raw domain tables of one data set (lazy DataFrames).
+
+    A table may be given as a function that opens it: opening reads file footers, a job for each table, so
+    that is left until the table is first used.
+    """
+
+    tracking: Table
+    stats: Table
+    schedule: Table
+    training: Table
+    incidents: Table
+    events: Table | None = None
 
-    tracking: DataFrame
-    stats: DataFrame
-    schedule: DataFrame
-    training: DataFrame
-    incidents: DataFrame
-    events: DataFrame | None = None
+    def __getattribute__(self, name: str):
+        value = super().__getattribute__(name)
+        if name in Domain.__dataclass_fields__ and callable(value):
+            value = value()
+            setattr(self, name, value)
+        return value
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {
@@ -149,15 +165,14 @@ class Domain:
 
 
 def load_domain(spark: SparkSession, sf_dir: str) -> Domain:
-    t = lambda n: read_table(spark, sf_dir, n)
-    lineitem, events = t("lineitem"), t("events")
+    table = cache(lambda name: read_table(spark, sf_dir, name))
     return Domain(
-        tracking=player_tracking(lineitem, t("supplier")),
-        stats=game_stats(lineitem),
-        schedule=team_schedules(t("orders"), t("customer")),
-        training=training_sessions(events),
-        incidents=injury_reports(events),
-        events=events,
+        tracking=lambda: player_tracking(table("lineitem"), table("supplier")),
+        stats=lambda: game_stats(table("lineitem")),
+        schedule=lambda: team_schedules(table("orders"), table("customer")),
+        training=lambda: training_sessions(table("events")),
+        incidents=lambda: injury_reports(table("events")),
+        events=lambda: table("events"),
     )
 
 

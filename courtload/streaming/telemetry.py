@@ -13,19 +13,22 @@ batch code of ``operators.alerts`` (it works on both).  Outputs:
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from courtload import config
 from courtload.functions.exprs import literal_rows
 from courtload.operators import alerts as _alerts
 from courtload.operators.alerts import apply_alerts, windowed_exertion
-from courtload.session import finished_folders, is_folder, materialize, remove_path
+from courtload.session import files_in, finished_folders, is_folder, materialize, remove_path, replace_text
 from courtload.sources.adapters import telemetry_events
+from courtload.sources.files import read_optional
 from courtload.sources.telemetry import telemetry_decode, telemetry_encode, telemetry_source
 
 
@@ -166,24 +169,54 @@ def live_table(spark: SparkSession, name: str, path: str, keys: Sequence[str] =
     return df
 
 
+COMMITS = "commits"
+COMMIT = "batch long, rows long, bytes long, files long"
+
+
+def _bytes(size: str) -> int:
+    """A size setting in bytes: a number with b, k, m, g or t, or without."""
+    unit = size.strip().lower().rstrip("b") or "0"
+    power = "kmgt".find(unit[-1]) + 1
+    return max(1, int(unit[:-1] if power else unit) << 10 * power)
+
+
 def start_alert_log(alerts: DataFrame, path: str, checkpoint: str,
                     trigger: str | None = "available_now") -> StreamingQuery:
     """Fatigue alerts in Parquet once their window closes, a folder per micro-batch.
 
-    The windowed state keeps one partition per shuffle partition; the alert rows (few per window) are
-    rebalanced by size before the write, so a quiet batch gives one file and a catch-up of the whole
-    backlog as many files and tasks as its volume needs.  A batch that runs again replaces its folder.
+    The windowed state keeps one partition per shuffle partition, so the rows of a batch are counted and measured
+    (kept meanwhile) and written in one file for each ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of them: one
+    file in a quiet batch, as many tasks as its volume needs in a catch-up of the whole backlog.  Then the
+    batch is entered in the log's commits (batch, rows, bytes, files); ``alert_log`` reads entered batches
+    alone.  A batch that runs again replaces its folder and its entry.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            size = batch.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes")).first()
+            advised = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+            files = max(1, -(-size["bytes"] // _bytes(advised)))
+            few = files <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+            (batch.coalesce(files) if few else batch.repartition(files)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        entry = {"batch": batch_id, "rows": size["rows"], "bytes": size["bytes"], "files": files}
+        replace_text(spark, f"{path}/{COMMITS}/{batch_id}.json", json.dumps(entry))
 
     w = alerts.filter(F.col("fatigue_alert")).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return _trigger(w.foreachBatch(write), trigger).start()
 
 
+def alert_commits(spark: SparkSession, path: str) -> DataFrame:
+    """(batch, rows, bytes, files) of the batches of an alert log."""
+    entries = [f"{path}/{COMMITS}/{f}" for f in files_in(spark, f"{path}/{COMMITS}") if f.endswith(".json")]
+    return spark.read.schema(COMMIT).json(entries) if entries else literal_rows(spark, [], COMMIT)
+
+
 def alert_log(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The written alerts; no rows (of ``schema``) before the first batch is written."""
-    parts = [f"{path}/{f}" for f in finished_folders(spark, path) if f.startswith("batch=")]
+    parts = [f"{path}/batch={f.removesuffix('.json')}" for f in files_in(spark, f"{path}/{COMMITS}") if f.endswith(".json")]
     if not parts and schema is not None:
         return literal_rows(spark, [], schema)
     return spark.read.parquet(*parts)
@@ -201,6 +234,64 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return literal_rows(spark, rows, schema)
 
 
+PROGRESS = ("id string, run_id string, name string, batch_id long, at string, num_input_rows long, input_rows_per_second double, "
+            "processed_rows_per_second double, watermark string, batch_ms long")
+
+
+class ProgressTable(StreamingQueryListener):
+    """Appends every micro-batch's progress of the session's queries to a table, as it is reported.
+
+    Spark itself keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` in the driver's memory.  ``every`` events go to one file;
+    those that wait are written when a query ends and by ``flush``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 1) -> None:
+        super().__init__()
+        self.session, self.path, self.every = spark, path, every
+        self._held: list[tuple] = []
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self._lock:
+            self._held.append((str(p.id), str(p.runId), p.name, p.batchId, p.timestamp, p.numInputRows,
+                               float(p.inputRowsPerSecond), float(p.processedRowsPerSecond), (p.eventTime or {}).get("watermark"), p.batchDuration))
+            if len(self._held) >= self.every:
+                self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+
+    def flush(self) -> None:
+        with self._lock:
+            self._write()
+
+    def _write(self) -> None:
+        if self._held:
+            literal_rows(self.session, self._held, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+            self._held = []
+
+
+def start_progress(spark: SparkSession, path: str, every: int = 1) -> ProgressTable:
+    """Start writing the progress of all queries of the session to the table ``path``; ends with ``stop_progress``."""
+    listener = ProgressTable(spark, path, every)
+    spark.streams.addListener(listener)
+    return listener
+
+
+def stop_progress(listener: ProgressTable) -> None:
+    listener.session.streams.removeListener(listener)
+    listener.flush()
+
+
+def progress_history(spark: SparkSession, path: str) -> DataFrame:
+    """The progress written so far, one row a micro-batch; a batch reported twice counts once."""
+    return read_optional(spark, path, StructType.fromDDL(PROGRESS)).dropDuplicates(["run_id", "batch_id", "at"])
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop every active query of the session; checkpoints stay for a restart."""
     names = []

@@ -155,6 +155,20 @@ def test_horizon_label_days(spark):
     assert got == {1: 0, 2: 1, 3: 1, 4: 0, 5: 0}
 
 
+def test_horizon_label_is_the_pairwise_one_at_any_length(spark):
+    import random
+    rng = random.Random(4)
+    day = lambda: D(2000, 1, 1) + dt.timedelta(rng.randrange(900)) if rng.random() > 0.05 else None
+    snaps = [(rng.choice([None, 1, 1, 2, 3]), day(), k) for k in range(400)]
+    events = [(rng.choice([None, 1, 2, 4]), day()) for _ in range(40)]
+    snap, inc = spark.createDataFrame(snaps, "player_id long, date date, game_id long"), spark.createDataFrame(events, "player_id long, injury_date date")
+    for days in (0, 1, 7, 365):
+        got = joins.horizon_label(snap, inc, days=days, label="lbl")
+        want = {k: int(any(p == q is not None and d and e and 0 <= (e - d).days <= days for q, e in events)) for p, d, k in snaps}
+        assert {r["game_id"]: r["lbl"] for r in rows(got)} == want and got.count() == len(snaps)
+        assert "Generate inline" in got._jdf.queryExecution().executedPlan().toString()      # two rows an event, whatever days is
+
+
 def test_player_without_threshold_gets_defaults(spark):
     exe = spark.createDataFrame([("1", 205.0, 15000.0), ("2", 150.0, 100.0)],
                                 "player_id string, avg_heart_rate double, total_distance_ft double")

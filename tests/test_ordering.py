@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from courtload.operators.ordering import global_position, ntile_global, rolling_rows
+from courtload.operators import ordering
+from courtload.operators.ordering import ntile_rows, rolling_rows, splitters
 
 
 def _skewed(spark, n=3000, seed=7):
@@ -17,38 +19,48 @@ def _skewed(spark, n=3000, seed=7):
     return spark.createDataFrame(data, "player long, seq long, x double")
 
 
-def test_positions_are_a_permutation(spark):
-    df = _skewed(spark)
-    r = global_position(df, [F.col("player"), F.col("seq")], partitions=7)
-    agg = r.agg(F.count("*").alias("n"), F.countDistinct("_g").alias("d"), F.min("_g").alias("lo"),
-                F.max("_g").alias("hi"), F.max("_n").alias("tot")).collect()[0]
-    assert agg["n"] == agg["d"] == agg["tot"] == 3000 and agg["lo"] == 0 and agg["hi"] == 2999
-    w = Window.orderBy("player", "seq")
-    bad = r.withColumn("rn", F.row_number().over(w) - 1).filter(F.col("rn") != F.col("_g")).count()
-    assert bad == 0
-
-
-def test_ntile_matches_sql_ntile(spark):
-    df = _skewed(spark, n=1001)
-    order = [F.col("x").asc_nulls_first(), F.col("seq")]
-    got = ntile_global(df, 4, order, partitions=5)
-    want = df.withColumn("want", F.ntile(4).over(Window.orderBy(*order)))
-    j = got.join(want, ["player", "seq"])
-    assert j.filter(F.col("tile") != F.col("want")).count() == 0
-    sizes = sorted(r["count"] for r in got.groupBy("tile").count().collect())
-    assert sizes[-1] - sizes[0] <= 1
-
-
-def test_split_rolling_equals_window(spark):
-    df = _skewed(spark)
-    aggs = {"s": ("sum", "x"), "a": ("avg", "x"), "c": ("count", "x")}
-    order = [F.col("seq")]
-    split = rolling_rows(df, "player", order, 5, aggs, method="split", partitions=6, chunk_rows=97)
-    window = rolling_rows(df, "player", order, 5, aggs, method="window")
-    j = split.alias("a").join(window.alias("b"), ["player", "seq"])
-    assert j.count() == df.count() == split.count()
-    diff = j.filter((F.col("a.c") != F.col("b.c"))
-                    | (F.abs(F.coalesce(F.col("a.s"), F.lit(0.0)) - F.coalesce(F.col("b.s"), F.lit(0.0))) > 1e-9)
-                    | (F.col("a.s").isNull() != F.col("b.s").isNull())
-                    | (F.abs(F.coalesce(F.col("a.a"), F.lit(0.0)) - F.coalesce(F.col("b.a"), F.lit(0.0))) > 1e-9))
-    assert diff.count() == 0
+AGGS = {"s": ("sum", "x"), "a": ("avg", "x"), "c": ("count", "x")}
+
+
+def _rows(df, *cols):
+    return sorted(map(repr, df.select(*cols).collect()))
+
+
+@pytest.mark.parametrize("n,chunk_rows", [(1, 10), (2, 1), (5, 3), (5, 97), (5, 1 << 20), (9, 10)])
+def test_split_rolling_equals_window(spark, n, chunk_rows):
+    df = _skewed(spark).withColumn("day", F.when(F.col("seq") % 13 != 0, F.floor(F.col("seq") / 7)))
+    order, cols = ["day", "seq"], ("player", "seq", "s", "a", "c")
+    window = _rows(rolling_rows(df, "player", order, n, AGGS, method="window"), *cols)
+    assert _rows(rolling_rows(df, "player", order, n, AGGS, chunk_rows=chunk_rows), *cols) == window
+    finer = [F.col("day"), F.floor(F.col("seq") / 2)]
+    assert _rows(rolling_rows(df, "player", order, n, AGGS, split_on=finer, chunk_rows=chunk_rows), *cols) == window
+
+
+def test_chunks_of_a_hot_player_stay_bounded(spark):
+    df = _skewed(spark, n=6000)
+    table = splitters(df, "player", [F.col("seq")], 5, 100)
+    sent = df.drop("player").join(table, F.col("seq") == F.col("_s0")).select("player", F.posexplode("_to").alias("halo", "chunk"))
+    sizes = sent.groupBy("player", "chunk").agg(F.count("*").alias("n"), F.count_if(F.col("halo") == 0).alias("own")).collect()
+    assert max(r["own"] for r in sizes) <= 101 and max(r["n"] for r in sizes) <= 105 and len(sizes) > 55
+
+
+@pytest.mark.parametrize("fetched,accuracy", [(10_000, 10_000), (3, 10_000), (3, 20)])
+@pytest.mark.parametrize("order", [["x", "seq"], ["day", "seq"], ["player", "x", "seq"]])
+def test_ntile_matches_sql_ntile(spark, monkeypatch, fetched, accuracy, order):
+    monkeypatch.setattr(ordering, "FETCHED", fetched)
+    monkeypatch.setattr(ordering, "ACCURACY", accuracy)
+    df = _skewed(spark, n=1001).withColumn("day", F.when(F.col("seq") % 13 != 0, F.date_add(F.lit("2000-01-01").cast("date"), (F.col("seq") / 40).cast("int"))))
+    for n in (4, 7):
+        got = ntile_rows(df, n, order)
+        want = df.withColumn("want", F.ntile(n).over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order])))
+        assert got.join(want.select("seq", "want"), "seq").filter(F.col("tile") != F.col("want")).count() == 0
+        sizes = sorted(r["count"] for r in got.groupBy("tile").count().collect())
+        assert len(sizes) == n and sizes[-1] - sizes[0] <= 1
+
+
+def test_ntile_of_few_rows(spark):
+    df = _skewed(spark, n=3)
+    assert sorted(r["tile"] for r in ntile_rows(df, 4, ["seq"]).collect()) == [1, 2, 3]
+    assert ntile_rows(df.limit(0), 4, ["seq"]).count() == 0
+    with pytest.raises(TypeError):
+        ntile_rows(df.withColumn("t", F.lit("a")), 2, ["t", "seq"])

@@ -34,8 +34,29 @@ def test_lineitem_scan_is_pruned(spark):
 
 def test_rolling_window_is_chunked(spark):
     plan = _plan(QUERIES["rolling_workload"](spark, SF_SMALL))
-    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
-    assert windows and all("_c" in w for w in windows)
+    windows = re.findall(r"Window \[(.*?)\], \[([^\]]*)\], \[", plan)
+    # frames over rows run per chunk; the other windows run over the splitter table's counts
+    assert sum("_chunk" in by for _, by in windows) == 1
+    assert all("_chunk" in by or not any(c in made for c in ("distance", "avg_hr", "minutes")) for made, by in windows)
+
+
+def test_building_the_rolling_frame_starts_no_job(spark):
+    from courtload.plans.graph import Graph
+    pgw = Graph.of(spark, SF_SMALL).pgw
+    pgw.schema
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "")
+    try:
+        from courtload.operators import workload
+        workload.rolling_workload(pgw).schema
+        assert not sc.statusTracker().getJobIdsForGroup("building")
+    finally:
+        sc.setJobGroup("", "")
+
+
+def test_tiers_are_one_case_over_the_rows(spark):
+    plan = _plan(QUERIES["workload_tiers"](spark, SF_SMALL))
+    assert "Window" not in plan and "rangepartitioning" not in plan and plan.count("CASE WHEN") == 1
 
 
 def test_only_bounded_single_partition_exchanges(spark):

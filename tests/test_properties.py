@@ -23,9 +23,8 @@ def test_label_classes_sum_to_snapshots(spark):
 
 def test_workload_tier_sizes_differ_by_at_most_one(spark):
     g = Graph.of(spark, SF_SMALL)
-    from courtload.operators.ordering import ntile_global
-    tiered = ntile_global(g.rolling, 4, [F.col("rolling_5g_distance"), F.col("player_id"), F.col("game_id"),
-                                         F.col("team_id"), F.col("date")], out="t")
+    from courtload.operators.ordering import ntile_rows
+    tiered = ntile_rows(g.rolling, 4, ["rolling_5g_distance", "player_id", "game_id", "team_id", "date"], out="t")
     sizes = [r["count"] for r in tiered.groupBy("t").count().collect()]
     assert len(sizes) == 4 and max(sizes) - min(sizes) <= 1
     assert len(workload.workload_tiers(g.rolling).collect()) == 4

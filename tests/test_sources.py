@@ -1,5 +1,6 @@
 """Raw-file route: gzip CSV / JSON lines with declared schemas, landing, batch job on raw files."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from courtload.functions.exprs import round_doubles
@@ -7,6 +8,7 @@ from courtload.plans import batch
 from courtload.plans.graph import Graph
 from courtload.session import scratch_path
 from courtload.sources.adapters import RAW_FORMATS, load_domain, load_raw_domain
+from courtload.sources.files import publish_version, published_versions, read_published
 from tests.conftest import SF_SMALL
 
 
@@ -38,7 +40,7 @@ def test_raw_files_give_the_same_workload(spark):
 def test_batch_job_on_raw_files(spark):
     paths = _write_raw(spark, load_domain(spark, SF_SMALL))
     out = batch.run_batch(spark, domain=load_raw_domain(spark, paths))
-    gates = spark.read.parquet(out["injury_risk_features"].rsplit("/", 1)[0] + "/quality_gates.parquet")
+    gates = read_published(spark, out["injury_risk_features"].rsplit("/", 2)[0] + "/quality_gates.parquet")
     checks = {r["check"] for r in gates.collect()}
     assert {"inputs_present", "impossible_values", "tracking_completeness", "outputs_present"} <= checks
     assert spark.read.parquet(out["rolling_workload"]).count() == Graph.of(spark, SF_SMALL).pgw.count()
@@ -101,7 +103,7 @@ def test_batch_gates_from_summaries_equal_gates_on_raw_rows(spark):
     from courtload.operators import quality
     d = load_domain(spark, SF_SMALL)
     out = batch.run_batch(spark, SF_SMALL)
-    report = spark.read.parquet(out["injury_risk_features"].rsplit("/", 1)[0] + "/quality_gates.parquet")
+    report = read_published(spark, out["injury_risk_features"].rsplit("/", 2)[0] + "/quality_gates.parquet")
     got = sorted(tuple(r) for r in report.filter("check != 'outputs_present'").collect())
     raw = [quality.gate_inputs(d.as_dict()), quality.gate_impossible_values(d.tracking),
            quality.gate_completeness(d.stats, d.tracking)]
@@ -128,3 +130,31 @@ def test_batch_removes_its_intermediates_and_keeps_outputs(spark):
     assert len(new) == 1 and next(iter(new)).startswith("lake-")
     assert spark.read.parquet(out["workload_tiers"]).count() == 4
     assert spark.read.parquet(out["rolling_workload"]).count() == Graph.of(spark, SF_SMALL).pgw.count()
+
+
+def test_a_write_that_dies_leaves_the_old_version_current(spark, monkeypatch):
+    from courtload.sources import files
+    path = scratch_path(spark, "versions")
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, path)
+    publish_version(spark.range(10), path)
+    held = read_published(spark, path)
+
+    boom = F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id")
+    with pytest.raises(Exception, match="lost"):
+        publish_version(spark.range(20).select(boom.cast("long").alias("id")), path)      # dies within the write
+    assert read_published(spark, path).count() == 10
+
+    def killed(*args):
+        raise KeyboardInterrupt
+    with monkeypatch.context() as m:
+        m.setattr(files, "replace_text", killed)                                           # dies between write and swap
+        with pytest.raises(KeyboardInterrupt):
+            publish_version(spark.range(30), path)
+    assert read_published(spark, path).count() == held.count() == 10
+
+    publish_version(spark.range(40).withColumn("k", F.col("id") % 3), path, partition_by=["k"], cluster_by=["id"])
+    assert read_published(spark, path).count() == 40 and held.count() == 10                # a reader keeps what it holds
+    publish_version(spark.range(50), path)
+    assert read_published(spark, path).count() == 50 and len(published_versions(spark, path)) == 2
+    assert len([f for f in files.subfolders(spark, path) if f.startswith(files.VERSION)]) == 2   # dead and old versions are gone

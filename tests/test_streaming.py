@@ -2,6 +2,7 @@
 
 import os
 import time
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -251,6 +252,38 @@ def test_alert_log_uses_as_many_tasks_as_the_batch_needs(spark):
     assert counts["64m"][1] <= 2 and counts["2k"][1] > 4
 
 
+def test_alert_log_reads_entered_batches_alone(spark):
+    from courtload.plans.graph import Graph
+    from tests.conftest import SF_SMALL
+    alerts = st.alert_stream(st.telemetry_stream(spark, SF_SMALL), st.static_thresholds(Graph.of(spark, SF_SMALL).thresholds))
+    path = scratch_path(spark, "entered")
+    st.drain(st.start_alert_log(alerts, path, f"{path}-ckpt"))
+    n, commits = st.alert_log(spark, path).count(), st.alert_commits(spark, path).collect()
+    assert sum(c["rows"] for c in commits) == n > 0 and all(c["files"] >= 1 and (c["bytes"] > 0) == (c["rows"] > 0) for c in commits)
+    st.alert_log(spark, path).write.parquet(f"{path}/batch=99")     # written, but its entry was never made
+    assert st.alert_log(spark, path).count() == n
+
+
+def test_progress_table_loses_no_batch(spark):
+    src, path = scratch_path(spark, "many").replace("file:", ""), scratch_path(spark, "progress")
+    os.makedirs(src)
+    for k in range(150):
+        Path(src, f"{k:03}.txt").write_text(f"row {k}\n")
+    listener = st.start_progress(spark, path, every=20)
+    try:
+        q = spark.readStream.option("maxFilesPerTrigger", "1").text(src).writeStream.queryName("many").format("noop").option(
+            "checkpointLocation", scratch_path(spark, "many-ckpt")).trigger(availableNow=True).start()
+        st.drain(q)
+        deadline = time.time() + 60      # the listener bus runs behind the query
+        while st.progress_history(spark, path).count() < 150 and time.time() < deadline:
+            time.sleep(0.5)
+    finally:
+        st.stop_progress(listener)
+    got = st.progress_history(spark, path)
+    assert len(q.recentProgress) <= 100
+    assert got.agg(F.count_distinct("batch_id"), F.sum("num_input_rows")).first()[:] == (150, 150) and got.count() == 150
+
+
 def test_quiet_stream_leaves_an_empty_log(spark):
     schema = spark.createDataFrame([(1,)], "a int").schema
     assert st.alert_log(spark, scratch_path(spark, "no-log"), schema).count() == 0
