@@ -204,8 +204,8 @@ def ntile_rows(df: DataFrame, n: int, order: Sequence[str], out: str = "tile") -
     starts = [s for k, s in enumerate(starts) if s < total and s > (starts[k - 1] if k else 0)]
     cuts = rows_at(df, order, starts) if starts else []
     key = F.struct(*[F.col(c).alias(f"k{k}") for k, c in enumerate(order)])
-    tile = F.lit(1)
-    for k, cut in enumerate(cuts, 2):
-        at = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(f"k{j}") for j, (v, c) in enumerate(zip(cut, order))])
-        tile = F.when(key >= at, F.lit(k)).otherwise(tile)   # the last tile first
-    return df.withColumn(out, tile.cast("int"))
+    tile = None
+    for k in range(len(cuts), 0, -1):
+        at = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(f"k{j}") for j, (v, c) in enumerate(zip(cuts[k - 1], order))])
+        tile = F.when(key >= at, k + 1) if tile is None else tile.when(key >= at, k + 1)
+    return df.withColumn(out, F.lit(1) if tile is None else tile.otherwise(1))

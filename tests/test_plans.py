@@ -56,7 +56,8 @@ def test_building_the_rolling_frame_starts_no_job(spark):
 
 def test_tiers_are_one_case_over_the_rows(spark):
     plan = _plan(QUERIES["workload_tiers"](spark, SF_SMALL))
-    assert "Window" not in plan and "rangepartitioning" not in plan and plan.count("CASE WHEN") == 1
+    assert "Window [" not in plan and "rangepartitioning" not in plan and "Sort [" not in plan
+    assert plan.count("CASE WHEN") == 1, plan
 
 
 def test_only_bounded_single_partition_exchanges(spark):
