@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-#: Rows of equal leading values that are fetched sorted instead of being closed in on.
+#: Rows within a place's bracket that are fetched sorted instead of being closed in on.
 FETCHED = 10_000
-#: Sketch size of a round: a bracket keeps about this part of the rows before it.
-ACCURACY = 10_000
+#: Sketch size of a round: a bracket keeps about four parts of so many of the rows before it.
+ACCURACY = 1_000
 
 _FRAME = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
@@ -109,9 +109,9 @@ def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[t
     """The values of ``order`` (ascending, nulls first) of the rows at some 0-based places, by distributed selection.
 
     A round is two aggregates over the rows for all places together: sketched percentiles within each place's bracket, then exact
-    counts at these points, which leave about 1 / ACCURACY of the rows.  Where a value is the place's, the next column
-    goes on among its ties; FETCHED or fewer of these are sorted and fetched.  Nothing else leaves the executors than a
-    few numbers a place.  ``df`` must come out alike each time it is read: read it from storage.
+    counts at these points, which leave about 4 / ACCURACY of the rows; FETCHED or fewer are sorted and fetched up to the
+    place.  Where a value is the place's, the next column goes on among its ties.  Nothing else leaves the executors than a few
+    numbers a place.  ``df`` must come out alike each time it is read: read it from storage.
     """
     searches = [_Search(r) for r in ranks]
 
@@ -129,10 +129,7 @@ def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[t
                 asked += [F.count_if(here).alias(f"n{k}"), F.count_if(here & x.isNull()).alias(f"null{k}"),
                           F.lit(None).cast("array<double>").alias(f"p{k}")]
                 continue
-            if s.low is not None:
-                here &= x > F.lit(s.low)
-            if s.high is not None:
-                here &= x < F.lit(s.high)
+            here = _between(here, x, s)
             at, slack = (s.rank - s.below + 0.5) / s.rows, 2 / ACCURACY
             wanted = sorted({min(max(p, 0.0), 1.0) for p in (at - slack, at, at + slack)})
             asked += [F.lit(None).alias(f"n{k}"), F.lit(None).alias(f"null{k}"),
@@ -171,11 +168,28 @@ def rows_at(df: DataFrame, order: Sequence[str], ranks: Sequence[int]) -> list[t
                 else:
                     s.high, end = p, less
                     break
-            if s.rows is not None:
+            if s.rows is not None and s.done is None:
                 s.rows = end - s.below
+                if s.rows <= FETCHED:
+                    _fetch(df, order, s, _between(inside(s), _number(df, order[len(s.fixed)]), s), s.rank - s.below)
     return [s.done for s in searches]   # type: ignore[misc]
 
 
+def _between(here: Column, x: Column, s: _Search) -> Column:
+    """``here`` within the bracket of the next column."""
+    if s.low is not None:
+        here &= x > F.lit(s.low)
+    if s.high is not None:
+        here &= x < F.lit(s.high)
+    return here
+
+
+def _fetch(df: DataFrame, order: Sequence[str], s: _Search, where: Column, rank: int) -> None:
+    """The row at ``rank`` of the few rows where a condition holds."""
+    rest = order[len(s.fixed):]
+    s.done = tuple(df.where(where).select(*order).orderBy(*[F.col(c).asc_nulls_first() for c in rest]).limit(rank + 1).collect()[-1])
+
+
 def _settle(df: DataFrame, order: Sequence[str], s: _Search, number: Any, ties: int, inside) -> None:
     """The next column's value is known: its row is fetched if its ties are few, else the column after it is next."""
     name = order[len(s.fixed)]
@@ -183,9 +197,7 @@ def _settle(df: DataFrame, order: Sequence[str], s: _Search, number: Any, ties:
     same = inside(s) & (x.isNull() if number is None else x == F.lit(number))
     rest = list(order[len(s.fixed) + 1:])
     if ties <= FETCHED or not rest:
-        rows = df.where(same).select(*order).orderBy(*[F.col(c).asc_nulls_first() for c in rest or [name]]).limit(s.rank + 1).collect()
-        s.done = tuple(rows[-1])
-        return
+        return _fetch(df, order, s, same, s.rank)
     value = None if number is None else df.where(same).select(name).first()[0]
     s.fixed = [*s.fixed, value]
     s.low = s.high = s.rows = None
