@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import by_row, field_type, materialize, returned, ship
+from courtload.llm.common import by_row, field_type, materialize, numbered, returned, ship
 
 BLOCK_BYTES = 4096
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -37,9 +37,8 @@ _WHITE = b" \t\n\x0b\x0c\r"
 _TASK = 1 << 33
 
 
-def _cut_batches(batches: Iterable[pa.RecordBatch], size: int, id_type: pa.DataType,
-                 contents: bool) -> Iterator[pa.RecordBatch]:
-    """Rows of blocks: with their contents the first ones of a batch, else all, with the place of their first."""
+def _cut_batches(batches: Iterable[pa.RecordBatch], size: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks, with the place of the first equal one of the batch; the first ones have their contents."""
     info_type = pa.struct([pa.field("id", id_type), pa.field("sha", pa.string()), pa.field("chars", pa.int64())])
     for batch in batches:
         rows, at, blocks, ref_rows, ref_at, info, seen = [], [], [], [], [], [], {}
@@ -49,15 +48,13 @@ def _cut_batches(batches: Iterable[pa.RecordBatch], size: int, id_type: pa.DataT
             for k, a in enumerate(range(0, max(len(data), 1), size)):
                 block = data[a:a + size]
                 first = seen.setdefault(block, (row, k))
-                if contents and first != (row, k):
-                    continue
                 rows.append(row)
                 at.append(k)
-                blocks.append(block if contents else None)
+                blocks.append(block if first == (row, k) else None)
                 ref_rows.append(first[0])
                 ref_at.append(first[1])
                 info.append({"id": doc, "sha": hashlib.sha256(data).hexdigest(), "chars": len(text or "")}
-                            if not k and not contents else None)
+                            if not k else None)
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(blocks, pa.binary()),
              pa.array(ref_rows, pa.int64()), pa.array(ref_at, pa.int32()), pa.array(info, info_type)],
@@ -94,11 +91,11 @@ def _paired(texts: DataFrame) -> DataFrame:
 
 
 def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               block_bytes: int = BLOCK_BYTES) -> DataFrame:
+               block_bytes: int = BLOCK_BYTES, row_col: str | None = None) -> DataFrame:
     """(row, info, depth, name) of every row; info has its id, sha and chars.  (depth, name) is the text's identity.
 
-    ``row`` is the row's place in the scan of ``docs`` (monotonically_increasing_id); ``docs`` is read from
-    storage, so each pass finds the rows in the same places and batches.
+    ``row`` is the number in ``row_col`` if given, else one made here: texts are read and cut in one pass, whose rows are written, so
+    no second pass has to find the same rows in the same places.
     """
     ship(docs.sparkSession)
     id_type = field_type(docs, id_col)
@@ -109,14 +106,13 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                             T.StructField("chars", T.LongType())]))])
     from pyspark.sql.pandas.types import to_arrow_type
     arrow_id = to_arrow_type(id_type)
-    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(text_col).cast("string"))
-    # two passes over the same scan: contents go through the shuffle once and are never written
-    contents, places = (read.mapInArrow(lambda it, c=c: returned(_cut_batches(it, block_bytes, arrow_id, c)), cut_type)
-                        for c in (True, False))
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col)
+    every = materialize(docs.select(row.alias("row"), F.col(id_col), F.col(text_col).cast("string")).mapInArrow(
+        lambda it: returned(_cut_batches(it, block_bytes, arrow_id)), cut_type), "blocks")
     named = materialize(
-        contents.select("row", "at", "block").repartition("block").sortWithinPartitions("block")
+        every.where(F.col("block").isNotNull()).select("row", "at", "block").repartition("block").sortWithinPartitions("block")
         .mapInArrow(_name_batches, "row long, at int, name long"), "block-names")
-    every = materialize(places.select("row", "at", "ref_row", "ref_at", "info"), "block-places")
+    every = every.select("row", "at", "ref_row", "ref_at", "info")
     texts = materialize(_gathered(every.join(named.select(F.col("row").alias("ref_row"), F.col("at").alias("ref_at"), "name"),
                                              ["ref_row", "ref_at"]).select("row", "at", "name", "info")), "texts-0")
     depth, done = 0, []
@@ -137,9 +133,10 @@ def identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES,
+           row_col: str | None = None) -> DataFrame:
     """(row, id, keep_id, group_size, kept, text_sha256) of every row."""
-    every = materialize(identities(docs, id_col, text_col, block_bytes), "identities")
+    every = materialize(identities(docs, id_col, text_col, block_bytes, row_col), "identities")
     best = F.min(F.struct((-F.col("info.chars")).alias("c"), F.col("info.id").isNull().alias("n"),
                           F.col("info.id").alias("id"), F.col("row").alias("row")))
     shared = materialize(every.groupBy("depth", "name").agg(F.count("*").alias("group_size"), best.alias("best"))
@@ -153,5 +150,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns.  ``docs`` is read from storage, so its rows come in the same places."""
-    return by_row(docs, materialize(groups(docs, id_col, text_col).where(~F.col("kept")).select("row"), "copies"), "left_anti")
+    """The rows that stay, with all their columns."""
+    docs, row = numbered(docs, "texts-numbered")
+    found = groups(docs, id_col, text_col, row_col=row)
+    return by_row(docs, row, materialize(found.where(~F.col("kept")).select("row"), "copies"), "left_anti")

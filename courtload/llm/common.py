@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from courtload.session import materialize, scratch_path
 
-__all__ = ["by_row", "field_type", "materialize", "returned", "scratch_path", "ship", "table"]
+__all__ = ["by_row", "field_type", "materialize", "numbered", "returned", "scratch_path", "ship", "table"]
 
 _SHIPPED: set[str] = set()
 
@@ -60,14 +60,19 @@ def returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 BROADCAST_ROWS = 4_000_000
 
 
-def by_row(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of wide rows with ``rows``, a written table of single places in their scan (``row``).
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A written copy of the rows with a number each, and the name of that column.
 
-    ``docs`` is read from storage, so that places don't change.
+    Places in a scan (monotonically_increasing_id) depend on how it is split, which changes with the cores at hand; so rows
+    that several passes must agree on are numbered once, and all passes read the copy.
     """
-    name = "row"
-    while name.lower() in (c.lower() for c in docs.columns):
-        name += "_"
-    rows = rows.select(F.col("row").alias(name))
-    return docs.withColumn(name, F.monotonically_increasing_id()).join(
-        F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge"), name, how).drop(name)
+    row = "row"
+    while row.lower() in (c.lower() for c in df.columns):
+        row += "_"
+    return materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
+def by_row(docs: DataFrame, row_col: str, rows: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of ``numbered`` wide rows with ``rows``, a written table of single numbers (``row``); the number goes."""
+    rows = rows.select(F.col("row").alias(row_col))
+    return docs.join(F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows.hint("merge"), row_col, how).drop(row_col)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, returned, ship
+from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, numbered, returned, ship
 from courtload.llm.components import components, contracted
 
 WORDS = 5
@@ -266,7 +266,7 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
     n = some.count()
     if not n:
         return None
-    text = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text"))
+    text = docs.select("row", F.col(text_col).cast("string").alias("text"))
     sets = materialize(text.join(F.broadcast(some) if n <= BROADCAST_ROWS else some.hint("merge"), "row", "left_semi").mapInArrow(
         lambda it: returned(_set_batches(it, words)), "row long, keys binary").withColumn("size", (F.length("keys") / 8).cast("long")), "shingle-sets")
     pivots = materialize(left.groupBy("bucket").agg(F.min("row").alias("row")), "pivots")
@@ -277,16 +277,23 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-            similarity: float = SIMILARITY) -> DataFrame:
-    """(row, id, class_id, class_size, kept) of every row; class_id is the smallest id of its group."""
+            similarity: float = SIMILARITY, row_col: str | None = None) -> DataFrame:
+    """(row, id, class_id, class_size, kept) of every row; class_id is the smallest id of its group.
+
+    ``row`` is the number in ``row_col`` of a written table if given; else the rows are numbered in a copy of ids and texts.
+    """
     ship(docs.sparkSession)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
+                        *([] if row_col is None else [F.col(row_col).alias("row")]))
+    if row_col is None:
+        texts, _ = numbered(texts, "texts-numbered")
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", field_type(docs, id_col)),
                            T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    every = materialize(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col), F.col(text_col).cast("string"))
+    every = materialize(texts.select("row", "id", "text")
                         .mapInArrow(lambda it: returned(_sign_batches(it, words)), schema), "signatures")
     prints = materialize(every.where("print IS NOT NULL").groupBy("print").agg(
         F.count("*").alias("n"), F.min(F.struct("row", "bands")).alias("first")), "prints")
-    labels = links(docs, prints.select("first.row", "first.bands"), text_col, words, similarity)
+    labels = links(texts, prints.select("first.row", "first.bands"), "text", words, similarity)
     groups = prints.select("print", "n", F.col("first.row").alias("node"))
     groups = groups.withColumn("component", F.lit(None).cast("long")) if labels is None else groups.join(labels, "node", "left")
     groups = materialize(groups.where("n > 1 OR component IS NOT NULL").select(
@@ -303,6 +310,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group, with all its columns.  ``docs`` is read from storage."""
-    dropped = materialize(classes(docs, id_col, text_col).where(~F.col("kept")).select("row"), "near-copies")
-    return by_row(docs, dropped, "left_anti")
+    """One row of each group, with all its columns."""
+    docs, row = numbered(docs, "texts-numbered")
+    dropped = materialize(classes(docs, id_col, text_col, row_col=row).where(~F.col("kept")).select("row"), "near-copies")
+    return by_row(docs, row, dropped, "left_anti")

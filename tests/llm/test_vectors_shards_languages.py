@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from courtload.llm import hilbert, lang_id, multi_index
+from courtload.llm import common, hilbert, lang_id, multi_index
 from tests.llm.helpers import docs, prose
 
 
@@ -47,12 +47,13 @@ def brute_vectors(rows):
     return sorted((rows[k][0], n[k], rows[top(k)][0]) for k in range(len(rows)))
 
 
-@pytest.mark.parametrize("reach", [4.0, multi_index.REACH])
-def test_links_and_components_match_brute_force(spark, tmp_path, reach):
+@pytest.mark.parametrize("pairs", [500, 1 << 40])    # the reach measured, or the whole radius
+def test_links_and_components_match_brute_force(spark, tmp_path, monkeypatch, pairs):
+    monkeypatch.setattr(multi_index, "PAIRS", pairs)
     rows = vectors()
     spark.createDataFrame([(*r, "c") for r in rows], "vec_id long, embedding array<double>, label int, cell string").repartition(3).write.parquet(
         str(tmp_path / "v"))
-    got = multi_index.groups(spark.read.parquet(str(tmp_path / "v")), reach=reach).collect()
+    got = multi_index.groups(spark.read.parquet(str(tmp_path / "v"))).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute_vectors(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
@@ -65,6 +66,35 @@ def test_recall_on_the_embeddings(spark):
     assert found >= 0.9 * there and all(g[1] <= w[1] for g, w in zip(got, want))
 
 
+@pytest.mark.parametrize("size,rank", [(64, 4), (256, 4), (768, 4), (256, 6), (768, 6)])
+def test_recall_on_low_rank_vectors(spark, tmp_path, monkeypatch, size, rank):
+    monkeypatch.setattr(multi_index, "CENTROIDS", 64)
+    rng = np.random.default_rng(size + rank)
+    turn = np.linalg.qr(rng.normal(size=(size, rank)))[0].T if rank == 6 else np.eye(rank, size)
+    base = np.repeat(rng.normal(size=(300 if size > 500 else 500, rank)), 5, axis=0)
+    x = (base + 0.12 * rng.normal(size=base.shape)) @ turn
+    spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int").repartition(4).write.parquet(
+        str(tmp_path / "v"))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.98).sum(1) - 1
+    got = {r.vec_id: r.n_links for r in multi_index.groups(spark.read.parquet(str(tmp_path / "v"))).collect()}
+    assert want.sum() > 1000 and sum(got.values()) >= 0.95 * want.sum() and all(got[k] <= n for k, n in enumerate(want.tolist()))
+
+
+def test_sample_is_bounded_whatever_the_ids_are(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(multi_index, "SAMPLE", 200)
+    seen = []
+    monkeypatch.setattr(multi_index, "unit", lambda rows, plain=multi_index.unit: seen.append(len(rows)) or plain(rows))
+    rng = np.random.default_rng(2)
+    for ids in ([None] * 3000, [7] * 3000):
+        rows = [(i, rng.normal(size=4).tolist(), 1) for i in ids]
+        path = str(tmp_path / f"v{ids[0]}")
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(path)
+        numbered, row = common.numbered(spark.read.parquet(path), "v")
+        multi_index.fit(numbered, "embedding", "label", ["vec_id", row], sample=200)
+    assert seen and max(seen) < 300
+
+
 def test_vectors_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "v"))
     assert multi_index.groups(spark.read.parquet(str(tmp_path / "v"))).count() == 0
