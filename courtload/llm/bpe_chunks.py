@@ -43,8 +43,8 @@ from courtload.llm.tokens import byte_char
 CUT_BITS = 7
 #: Bytes without a place to cut after which a cut is made at the next character.
 LONGEST = 1 << 16
-#: Chunks kept per worker (about 1 KB of text and 1 KB of ids each).
-KEPT = 50_000
+#: Bytes of chunks and their ids kept per worker, besides those of the last text.
+KEPT_BYTES = 48 << 20
 
 # Fixed value: the split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -121,7 +121,7 @@ class ChunkEncoder:
                                            mergeable_ranks={t: i for i, t in self.bytes_of.items()})
             self.bytes_of |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
         self.kept: dict[bytes, bytes] = {}
-        self.encoded = self.asked = self.repaired = 0
+        self.kept_bytes = self.encoded = self.asked = self.repaired = 0
 
     def _alone(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
@@ -189,11 +189,13 @@ class ChunkEncoder:
         at = [0, *places[taken].tolist(), len(data)]
         chunks = [data[a:b] for a, b in zip(at, at[1:])] if data else []
         self.asked += len(chunks)
-        if len(self.kept) > KEPT:
+        if self.kept_bytes > KEPT_BYTES:
             self.kept.clear()
+            self.kept_bytes = 0
         for c in chunks:
             if c not in self.kept:
-                self.kept[c] = self.chunk(c)
+                self.kept[c] = ids = self.chunk(c)
+                self.kept_bytes += 170 + len(c) + len(ids)
         repair = [False, *(~known[taken]).tolist()]
         if not any(repair):
             return b"".join(map(self.kept.__getitem__, chunks))

@@ -17,8 +17,9 @@ import regex
 import tiktoken
 from tokenizers import Tokenizer
 
-#: Words kept per worker process; at the bound the table starts anew, which changes no result.
-WORDS = 250_000
+#: Bytes of words and their ids kept per worker process, about, besides those of one call; at the bound the table starts anew,
+#: which changes no result.  Longer words than so many characters (texts without spaces) are not kept.
+KEPT_BYTES, KEPT_CHARS = 56 << 20, 64
 
 #: Stands for the word end in ranked merging; words with control characters don't go there.
 WORD_END = "\x01"
@@ -47,6 +48,7 @@ class WordTokens:
         self.pieces = regex.compile(SPACE_FREE_SPLIT).findall
         self.by_word = self.by_word and self._ranked(spec)
         self.kept: dict[str, bytes] = {}
+        self.kept_bytes = 0
 
     def _ranked(self, spec: dict) -> bool:
         """Merging by rank for single pieces, if ids rise in the order of the merges.
@@ -112,11 +114,20 @@ class WordTokens:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if not self.by_word:
             return self._alone(texts)
-        if len(self.kept) > WORDS:
+        if self.kept_bytes > KEPT_BYTES:
             self.kept.clear()
+            self.kept_bytes = 0
         split = [self._plain(t).split(" ") for t in texts]
-        self._learn([*set().union(*split).difference(self.kept)])
-        return [b"".join(map(self.kept.__getitem__, words)) for words in split]
+        before, new = len(self.kept), [*set().union(*split).difference(self.kept)]
+        self._learn(new)
+        out = [b"".join(map(self.kept.__getitem__, words)) for words in split]
+        for w in new:
+            if len(w) > KEPT_CHARS:
+                del self.kept[w]
+                self.kept.pop(w[:-1], None)   # a stem learnt along with it
+        # a word's entry, text and ids: about 170 bytes, and 1 to 4 more a character
+        self.kept_bytes += 180 * (len(self.kept) - before) + sum(4 * len(w) for w in new if len(w) <= KEPT_CHARS)
+        return out
 
 
 @functools.lru_cache(1)

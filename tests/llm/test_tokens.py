@@ -58,6 +58,29 @@ def test_word_ids_are_the_tokenizers():
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t[:50]
 
 
+def test_tables_of_words_and_chunks_stay_bounded_without_spaces():
+    words, chunks = tokens.WordTokens(WORDS), bpe_chunks.ChunkEncoder(BYTES)
+    rng = random.Random(1)
+    for k in range(60):
+        batch = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(2000)) for _ in range(10)]
+        words.encode(batch)
+        chunks.encode(batch)
+        assert not words.kept and sum(map(len, words.kept)) == 0        # no such word is kept
+        assert sum(len(c) + len(i) for c, i in chunks.kept.items()) <= chunks.kept_bytes <= bpe_chunks.KEPT_BYTES + 20_000
+
+
+def test_tables_start_anew_without_changing_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 2000)
+    monkeypatch.setattr(bpe_chunks, "KEPT_BYTES", 2000)
+    texts = odd_texts()
+    for made, path in ((tokens.WordTokens(WORDS), WORDS), (bpe_chunks.ChunkEncoder(BYTES), BYTES)):
+        plain, most = Tokenizer.from_file(path), 0
+        for t in texts:
+            assert np.frombuffer(made.encode([t])[0], "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids
+            most = max(most, len(made.kept))
+        assert most < 5000
+
+
 ROWS = [(3, prose(1, 5000), "en"), (None, "null id", None), (4, None, None), (5, "", "en"), (4, "again", "en"), (4, "again", "en")] + \
        [(100 + k, prose(k, 30 + 17 * k), "en") for k in range(60)]
 
