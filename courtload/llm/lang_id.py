@@ -12,7 +12,7 @@ has no letter, or if its entropy lies above what held-back rows of its language
 ``REJECT_SD`` standard errors for its length plus ``REJECT_SLACK`` nats.
 
 The classifier is fitted on a bounded sample of labelled rows: about ``DOCS_PER_LANG`` rows of each
-language, chosen by a hash of their id among those of at most ``SAMPLE_CHARS`` characters.  That bounds
+language, chosen by a hash of their id, and of longer texts a piece of ``SAMPLE_CHARS`` characters.  That bounds
 the grams that reach the driver and the broadcast model.  Predictions read every row and whole texts,
 and nothing but the text.
 
@@ -226,10 +226,14 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", key
     # twice the rows: odd keys train, even keys calibrate
     share = F.create_map(*(F.lit(x) for name in sorted(have) for x in (name, min(1.0, 2 * docs_per_lang / have[name]))))
     place = F.pmod(F.shiftrightunsigned("key", 20), F.lit(1_000_000)) / 1_000_000
+    # rows without a key go by their text; rows that share a key count once, so that the sample stays bounded
+    key = F.when(F.col(key_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(key_col))
+    start = F.pmod("key", F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1) + 1
     sample = materialize(
-        labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-                        F.xxhash64(F.col(key_col)).alias("key"))
-        .where((place < share[F.col("lang")]) & (F.length("text") <= SAMPLE_CHARS) & F.col("text").rlike(r"\p{L}")),
+        labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), key.alias("key"))
+        .where(place < share[F.col("lang")])
+        .withColumn("text", F.substring("text", start.cast("int"), F.lit(SAMPLE_CHARS)))   # a piece of a longer text
+        .where(F.col("text").rlike(r"\p{L}")).groupBy("lang", "key").agg(F.min("text").alias("text")),
         "language-sample")
     parts = [(r["lang"], r["odd"]) for r in sample.groupBy("lang", (F.col("key") % 2 != 0).alias("odd")).count().collect()]
     langs = sorted({x for x, _ in parts})

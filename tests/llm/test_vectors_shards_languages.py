@@ -152,13 +152,23 @@ def test_the_plan_has_no_python(spark, tmp_path):
     assert "Python" not in plan and "MapIn" not in plan
 
 
-def test_held_out_accuracy(spark):
+def test_long_texts_and_rows_without_ids_train_too(spark, tmp_path):
+    long = [(k, "Öüß äö " * 4000 + prose(k, 3), "bb") for k in range(30)]
+    short = [(None, prose(k, 60), "aa") for k in range(900)] + [(77, prose(5, 60), "aa")] * 500
+    table = docs(spark, tmp_path / "d", long + short)
+    model = lang_id.fit(table, docs_per_lang=20)
+    assert sorted(model.langs) == ["aa", "bb"]
+    got = lang_id.predict(table, model, ["doc_id", "lang"]).collect()
+    assert all(r.lang == r.lang_pred for r in got)
+
+
+def test_held_out_accuracy(spark, tmp_path):
     table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     model = lang_id.fit(table.where(~lang_id.held_out()))
     got = lang_id.predict(table, model, ["doc_id", "lang", lang_id.held_out().alias("held_out")]).where("held_out AND lang IS NOT NULL").collect()
     assert len(got) > 1000 and sum(r.lang == r.lang_pred for r in got) > 0.99 * len(got)
     assert sum(r.rejected for r in got) < 0.005 * len(got)
-    strange = lang_id.predict(docs(spark, "/tmp/courtload-strange", [(1, "Съешь ещё этих мягких французских булок " * 20, None)]), model, ["doc_id"]).first()
+    strange = lang_id.predict(docs(spark, tmp_path / "strange", [(1, "Съешь ещё этих мягких французских булок " * 20, None)]), model, ["doc_id"]).first()
     assert strange.rejected and strange.lang_pred in model.langs
 
 
