@@ -45,9 +45,9 @@ from courtload.llm.common import field_type, materialize, returned, scratch_path
 from courtload.llm.tokens import byte_char
 
 #: Characters of the texts of a block; a longer text is a block of its own.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 #: Bytes of units and their ids kept per worker, about, besides those of the last block.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 48 << 20
 #: Units learnt as one text.
 _LEARNT = 1 << 14
 
