@@ -13,6 +13,8 @@ holding a third of all rows costs one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,15 +116,74 @@ def fan_avg_of_game(col: str) -> Column:
     return F.try_divide(F.sum(F.col("w_rows") * x), F.sum(F.when(x.isNotNull(), F.col("w_rows"))))
 
 
-def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id") -> DataFrame:
+class HotKeys(NamedTuple):
+    """Hashes of the keys that hold many of a table's rows, and how many parts each is split into."""
+
+    hashes: tuple[int, ...]
+    parts: int
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.02, partitions: int | None = None) -> HotKeys:
+    """Keys with about ``share`` of the rows or more, by a heavy-hitter sketch of the key columns; one pass, started here.
+
+    The sketch tracks four times as many items as can hold such a share, so none is missed; a key that is
+    reported a little below it, or whose hash equals a hot one, is split without need, which changes no row.
+    """
+    known = df.where(_known(keys))
+    tracked = max(100, ceil(4 / share))
+    found = known.select(F.xxhash64(*keys).alias("h")).agg(
+        F.expr(f"approx_top_k(h, {min(tracked, ceil(1 / share))}, {tracked})").alias("top"), F.count("*").alias("n")).first()
+    hot = [r for r in found["top"] or [] if r["count"] >= share * found["n"]]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # four parts for each task's share of the rows: parts fall to tasks by a hash, so some get more of them than others
+    parts = max([2, *(ceil(4 * n * r["count"] / found["n"]) for r in hot)])
+    return HotKeys(tuple(sorted(r["item"] for r in hot)), parts)
+
+
+def _known(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out &= F.col(k).isNotNull()
+    return out
+
+
+def split_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], hot: HotKeys | None, how: str = "left") -> DataFrame:
+    """Equi-join (inner or left) of ``left`` with ``right`` on pairs of columns, hot keys of ``left`` split.
+
+    Rows of a hot key are dealt over its parts by a hash of the whole row, and the right side's rows of that key are
+    copied to each part; rows with a NULL key, which match nothing, are dealt alike.  All other rows move as in a
+    plain join.  Without hot keys it is one.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("only left and inner joins keep their rows under a split left side")
+    cond = F.lit(True)
+    for a, b in on:
+        cond &= left[a] == right[b]
+    if hot is None or not hot.hashes:
+        return left.join(right, cond, how)
+    kinds = {a: left.schema[a].dataType for a, _ in on}
+    dealt = F.pmod(F.xxhash64(*left.columns, F.lit(1)), F.lit(hot.parts)).cast("int")
+    is_hot = F.xxhash64(*[F.col(a) for a, _ in on]).isin(*hot.hashes) | ~_known([a for a, _ in on])
+    salted = left.withColumn("_part", F.when(is_hot, dealt).otherwise(0))
+    copied = F.xxhash64(*[F.col(b).cast(kinds[a]) for a, b in on]).isin(*hot.hashes)
+    spread = right.withColumn("_copy", F.explode(F.when(copied, F.sequence(F.lit(0), F.lit(hot.parts - 1))).otherwise(F.array(F.lit(0)))))
+    cond = salted["_part"] == spread["_copy"]
+    for a, b in on:
+        cond &= salted[a] == spread[b]
+    return salted.join(spread, cond, how).drop("_part", "_copy")
+
+
+def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id", split: HotKeys | None = None) -> DataFrame:
     """Left join of schedule context; a game without schedule keeps NULLs.
 
     No hint: the schedule side is broadcast only when its size estimate is
     under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run
-    time); otherwise it is a shuffle join.
+    time); otherwise it is a shuffle join, which splits the hot games given in ``split``.
     """
     sched = schedule.select(key, "date", "back_to_back", "travel_distance_miles", "rest_days_since_last_game")
-    return keyed.join(sched, key, "left")
+    if split is None:
+        return keyed.join(sched, key, "left")
+    return split_join(keyed, sched.withColumnRenamed(key, "_key"), [(key, "_key")], split).drop("_key")
 
 
 def join_training_by_date(sessions: DataFrame, schedule: DataFrame, date: str = "date") -> DataFrame:
@@ -150,19 +211,18 @@ def attach_team(sessions: DataFrame, tracking: DataFrame, player: str = "player_
 
 
 def join_schedule(sessions: DataFrame, schedule: DataFrame, date: str = "date", team: str = "team_id",
-                  sides: Sequence[str] = ("home_team", "away_team")) -> DataFrame:
+                  sides: Sequence[str] = ("home_team", "away_team"), split: HotKeys | None = None) -> DataFrame:
     """Left join on ``date = date AND (team = home OR team = away)``.
 
     The OR becomes an equi-join: each game is listed once per distinct team
     it involves (``array_distinct`` keeps a home = away game single), and the
     sessions join on (date, team).  Same rows as the OR join, but hashed on
-    both keys instead of date alone.
+    both keys instead of date alone.  ``split``: the sessions' hot (date, team) keys (``hot_keys``).
     """
     games = schedule.withColumn(
         "_team", F.explode(F.array_distinct(F.array(*[F.col(s) for s in sides]))))
     games = games.withColumnRenamed(date, "_date")
-    cond = (sessions[date] == games["_date"]) & (sessions[team] == games["_team"])
-    return sessions.join(games, cond, "left").drop("_date", "_team")
+    return split_join(sessions, games, [(date, "_date"), (team, "_team")], split).drop("_date", "_team")
 
 
 def coverage_gaps(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:

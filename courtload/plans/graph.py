@@ -17,10 +17,14 @@ from courtload.sources.adapters import Domain, load_domain
 
 
 class Graph:
-    def __init__(self, domain: Domain, rolling_method: str = "split", grain: str = "literal"):
+    def __init__(self, domain: Domain, rolling_method: str = "split", grain: str = "literal",
+                 split_share: float | None = None):
+        """``split_share``: J4 looks its hot (date, team) keys up when it is built, and splits those with such a share of the
+        sessions; None leaves skew to adaptive execution, and nothing runs while the graph is built."""
         self.d = domain
         self.rolling_method = rolling_method
         self.grain = grain
+        self.split_share = split_share
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -67,7 +71,8 @@ class Graph:
     @cached_property
     def training_sched(self) -> DataFrame:
         """J3 + J4 (training_with_schedule)."""
-        return joins.join_schedule(self.training_team, self.d.schedule)
+        split = joins.hot_keys(self.training_team, ["date", "team_id"], self.split_share) if self.split_share else None
+        return joins.join_schedule(self.training_team, self.d.schedule, split=split)
 
     # --- workload ------------------------------------------------------------------
     @cached_property

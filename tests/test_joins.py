@@ -89,3 +89,46 @@ def test_hot_date_team_key_in_j4_is_split_by_aqe(spark):
     cond = (sessions["date"] == games["date"]) & \
         ((sessions["team_id"] == games["home_team"]) | (sessions["team_id"] == games["away_team"]))
     assert rows == sessions.join(games, cond, "left").count()
+
+
+def test_hot_keys_are_found_and_split_without_adaptive_skew_joins(spark):
+    from courtload.operators.joins import hot_keys, join_schedule
+    day = F.expr("date_add(DATE'2000-01-01', cast(id % 200 as int))")
+    hot = F.col("id") % 3 == 0
+    sessions = spark.range(30_000).select(F.col("id").alias("session"), F.when(F.col("id") % 50 != 7, F.when(hot, F.lit("2000-03-01").cast("date")).otherwise(day)).alias("date"),
+                                          F.when(hot, 5).otherwise(F.col("id") % 30).cast("int").alias("team_id"))
+    schedule = spark.range(6000).select(F.col("id").alias("game_id"), F.expr("date_add(DATE'2000-01-01', cast(id div 30 as int))").alias("date"),
+                                        (F.col("id") % 30).cast("int").alias("home_team"), ((F.col("id") + 11) % 30).cast("int").alias("away_team"))
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        keys = hot_keys(sessions, ["date", "team_id"])
+        assert len(keys.hashes) == 1 and keys.parts >= 5
+        plain, split = join_schedule(sessions, schedule), join_schedule(sessions, schedule, split=keys)
+        cols = sorted(plain.columns)
+        assert sorted(split.columns) == cols
+        assert sorted(map(tuple, split.select(cols).collect()), key=repr) == sorted(map(tuple, plain.select(cols).collect()), key=repr)
+
+        def most(df):
+            sizes = sorted(r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect())
+            return sizes[-1], sizes[len(sizes) // 2]
+        top, median = most(split)
+        assert top <= 3 * median < most(plain)[0]
+        assert not hot_keys(sessions.where("team_id <> 5"), ["date", "team_id"]).hashes
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_hot_games_split_in_the_schedule_context(spark):
+    from courtload.operators.joins import HotKeys, hot_keys, schedule_context
+    keyed = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("game_id"), F.col("id").alias("player_id"))
+    sched = spark.range(0, 2000, 2).select(F.col("id").alias("game_id"), F.lit(None).cast("date").alias("date"), (F.col("id") % 2).alias("back_to_back"),
+                                           F.col("id").cast("double").alias("travel_distance_miles"), F.lit(1).alias("rest_days_since_last_game"))
+    keys = hot_keys(keyed, ["game_id"])
+    assert isinstance(keys, HotKeys) and len(keys.hashes) == 1
+    plain, split = schedule_context(keyed, sched), schedule_context(keyed, sched, split=keys)
+    assert split.columns == plain.columns
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
