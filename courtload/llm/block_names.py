@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import by_row, field_type, materialize, numbered, returned, ship
+from courtload.llm.common import by_row, field_type, materialize, numbered, outlasting, returned, ship
 
 BLOCK_BYTES = 4096
 _WHITE = b" \t\n\x0b\x0c\r"
@@ -152,5 +152,5 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bloc
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
     docs, row = numbered(docs, "texts-numbered")
-    found = groups(docs, id_col, text_col, row_col=row)
-    return by_row(docs, row, materialize(found.where(~F.col("kept")).select("row"), "copies"), "left_anti")
+    copies = outlasting(docs.sparkSession, "copies", lambda: groups(docs, id_col, text_col, row_col=row).where(~F.col("kept")).select("row"))
+    return by_row(docs, row, copies, "left_anti")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextvars
 import ctypes
 import io
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.session import materialize, scratch_path
+from courtload.session import materialize, run_intermediates, scratch_path
 
-__all__ = ["by_row", "field_type", "materialize", "numbered", "returned", "scratch_path", "ship", "table"]
+__all__ = ["by_row", "field_type", "materialize", "numbered", "outlasting", "returned", "scratch_path", "ship", "table"]
 
 _SHIPPED: set[str] = set()
 
@@ -72,6 +73,13 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return materialize(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def outlasting(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` gives, written; the tables written on the way to it are removed."""
+    outside = contextvars.copy_context()
+    with run_intermediates(spark, f"{name}-steps"):
+        return outside.run(materialize, build(), name)
+
+
 def by_row(docs: DataFrame, row_col: str, rows: DataFrame, how: str) -> DataFrame:
     """Semi or anti join of ``numbered`` wide rows with ``rows``, a written table of single numbers (``row``); the number goes."""
     rows = rows.select(F.col("row").alias(row_col))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, numbered, returned, ship
+from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, numbered, outlasting, returned, ship
 from courtload.llm.components import components, contracted
 
 WORDS = 5
@@ -312,5 +312,5 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, with all its columns."""
     docs, row = numbered(docs, "texts-numbered")
-    dropped = materialize(classes(docs, id_col, text_col, row_col=row).where(~F.col("kept")).select("row"), "near-copies")
+    dropped = outlasting(docs.sparkSession, "near-copies", lambda: classes(docs, id_col, text_col, row_col=row).where(~F.col("kept")).select("row"))
     return by_row(docs, row, dropped, "left_anti")

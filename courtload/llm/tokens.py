@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 
 #: Bytes of words and their ids kept per worker process, about, besides those of one call; at the bound the table starts anew,
 #: which changes no result.  Longer words than so many characters (texts without spaces) are not kept.
-KEPT_BYTES, KEPT_CHARS = 56 << 20, 64
+KEPT_BYTES, KEPT_CHARS = 36 << 20, 64
 
 #: Stands for the word end in ranked merging; words with control characters don't go there.
 WORD_END = "\x01"
