@@ -135,13 +135,7 @@ MEASURES = {
 WEEK_PERFORMANCE = ("avg_plus_minus", "shooting_pct", "total_minutes")
 
 # Logical dataset names of the batch job (processed and analytics zones).
-RAW_INPUTS = ("player_tracking", "game_stats", "injury_reports", "training_sessions", "team_schedules")
 PROCESSED_OUTPUTS = ("tracking_with_stats", "training_with_schedule", "tracking_stats_schedule")
-ANALYTICS_OUTPUTS = (
-    "rolling_workload", "workload_tiers", "back_to_back_analysis", "btb_by_profile",
-    "travel_rest_analysis", "travel_bucket_analysis", "training_load_analysis",
-    "weekly_training", "intensity_performance", "ratio_performance", "injury_risk_features",
-)
 GATED_OUTPUTS = PROCESSED_OUTPUTS + (
     "rolling_workload", "back_to_back_analysis", "travel_rest_analysis", "training_load_analysis",
 )

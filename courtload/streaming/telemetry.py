@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from pyspark.sql.types import StructType
 from courtload import config
 from courtload.functions.exprs import literal_rows
 from courtload.operators import alerts as _alerts
+from courtload.operators import quality
 from courtload.operators.alerts import apply_alerts, windowed_exertion
 from courtload.session import files_in, finished_folders, is_folder, materialize, remove_path, replace_text
 from courtload.sources.adapters import telemetry_events
@@ -235,7 +236,7 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
 
 
 PROGRESS = ("id string, run_id string, name string, batch_id long, at string, num_input_rows long, input_rows_per_second double, "
-            "processed_rows_per_second double, watermark string, batch_ms long")
+            "processed_rows_per_second double, watermark string, batch_ms long, observed string")
 
 
 class ProgressTable(StreamingQueryListener):
@@ -258,7 +259,8 @@ class ProgressTable(StreamingQueryListener):
         p = event.progress
         with self._lock:
             self._held.append((str(p.id), str(p.runId), p.name, p.batchId, p.timestamp, p.numInputRows,
-                               float(p.inputRowsPerSecond), float(p.processedRowsPerSecond), (p.eventTime or {}).get("watermark"), p.batchDuration))
+                               float(p.inputRowsPerSecond), float(p.processedRowsPerSecond), (p.eventTime or {}).get("watermark"), p.batchDuration,
+                               json.dumps({n: r.asDict() for n, r in p.observedMetrics.items()}) if p.observedMetrics else None))
             if len(self._held) >= self.every:
                 self._write()
 
@@ -292,6 +294,14 @@ def progress_history(spark: SparkSession, path: str) -> DataFrame:
     return read_optional(spark, path, StructType.fromDDL(PROGRESS)).dropDuplicates(["run_id", "batch_id", "at"])
 
 
+def gate_stream_values(spark: SparkSession, path: str, run_id: str, name: str = "impossible_values",
+                       rules: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
+    """G2 of a stream whose rows are observed (``quality.observe_values``), from the progress table: no pass over the rows."""
+    counts = [json.loads(r["observed"]).get(name, {}) for r in
+              progress_history(spark, path).where((F.col("run_id") == run_id) & F.col("observed").isNotNull()).select("observed").toLocalIterator()]
+    return quality.gate_observed_values(spark, counts, rules)
+
+
 def stop_all(spark: SparkSession) -> list[str]:
     """Stop every active query of the session; checkpoints stay for a restart."""
     names = []

@@ -284,6 +284,32 @@ def test_progress_table_loses_no_batch(spark):
     assert got.agg(F.count_distinct("batch_id"), F.sum("num_input_rows")).first()[:] == (150, 150) and got.count() == 150
 
 
+def test_value_gate_is_observed_while_rows_are_written_or_streamed(spark):
+    from pyspark.sql import Observation
+
+    from courtload.operators import quality
+    from tests.conftest import SF_SMALL
+    rows = st.telemetry_decode(st.telemetry_encode(st.telemetry_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))))
+    rules = {"heart_rate_bpm": (80.0, 180.0), "speed_mph": (4.0, 30.0)}      # decoded rows are within the stream's own ranges
+    want = sorted(map(tuple, quality.gate_impossible_values(rows, rules).collect()))
+    assert all(r[3] > 0 for r in want)
+    seen = Observation("g2")
+    quality.observe_values(rows, seen, rules).write.format("noop").mode("overwrite").save()
+    assert sorted(map(tuple, quality.gate_observed_values(spark, [seen.get], rules).collect())) == want
+
+    path = scratch_path(spark, "observed")
+    listener = st.start_progress(spark, path)
+    try:
+        stream = quality.observe_values(st.telemetry_stream(spark, SF_SMALL), rules=rules)
+        q = st.drain(stream.writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "observed-ckpt")).trigger(availableNow=True).start())
+        deadline = time.time() + 60
+        while not st.progress_history(spark, path).where(F.col("run_id") == str(q.runId)).count() and time.time() < deadline:
+            time.sleep(0.3)
+    finally:
+        st.stop_progress(listener)
+    assert sorted(map(tuple, st.gate_stream_values(spark, path, str(q.runId), rules=rules).collect())) == want
+
+
 def test_quiet_stream_leaves_an_empty_log(spark):
     schema = spark.createDataFrame([(1,)], "a int").schema
     assert st.alert_log(spark, scratch_path(spark, "no-log"), schema).count() == 0
