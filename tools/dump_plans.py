@@ -41,8 +41,8 @@ def main() -> None:
     out = ["# Physical plans of headline queries",
            "",
            f"Generated by `tools/dump_plans.py` on `{sf}` (local[8], 16 shuffle partitions, AQE on; "
-           "plans before AQE re-optimisation). Materialised intermediates (positions for the rolling "
-           "frame and ntile) show up as Parquet scans of the checkpoint folder.",
+           "plans before AQE re-optimisation). Materialised intermediates (the columns "
+           "that tiers are selected on) show up as Parquet scans of the checkpoint folder.",
            ""]
     for name in HEADLINE:
         out += [f"## {name}", "", "```", tree(QUERIES[name](spark, sf)), "```", ""]
