@@ -293,6 +293,12 @@ q("join_week_performance", "SELECT * FROM wperf",
   ["avg_weekly_intensity", "avg_weekly_sleep", "practice_recovery_ratio", "avg_plus_minus", "shooting_pct",
    "total_minutes"], extra=TRAINING)
 q("horizon_label", "SELECT * FROM labeled", SNAP_D, extra=TRAINING + "," + RISK)
+q("coverage_gaps_clean", """
+SELECT s.game_id, s.player_id, count(*) AS expected_rows FROM stats s
+WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id AND t.player_id = s.player_id
+                  AND t.heart_rate_bpm BETWEEN 60 AND 220)
+GROUP BY s.game_id, s.player_id
+""")
 q("coverage_gaps", """
 SELECT s.game_id, s.player_id, count(*) AS expected_rows FROM stats s
 WHERE NOT EXISTS (SELECT 1 FROM tracking t WHERE t.game_id = s.game_id AND t.player_id = s.player_id)
@@ -565,7 +571,8 @@ SELECT player_id, team_id, game_id, avg_heart_rate, hr_alert_threshold,
        heart_rate_alert, distance_alert
 FROM talerts WHERE fatigue_alert
 """, ["avg_heart_rate", "hr_alert_threshold", "distance_miles", "threshold_miles"], extra=TELE)
-q("team_alert_summary", f"""
+for _name in ("team_alert_summary", "team_summary_rollup", "stream_team_summary"):
+    q(_name, f"""
 SELECT team_id, count(DISTINCT player_id) AS players_monitored,
        CAST(sum(CASE WHEN fatigue_alert = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS total_alerts,
        CAST(sum(CASE WHEN heart_rate_alert = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS hr_alerts,

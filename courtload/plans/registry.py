@@ -16,7 +16,7 @@ from courtload import config
 from courtload import schemas as _schemas
 from courtload.functions.exprs import round_doubles, sround, utc_wallclock
 from courtload.operators import alerts as _alerts
-from courtload.operators import clean, impact, joins, quality, risk, training, workload
+from courtload.operators import clean, impact, joins, quality, risk, team_windows, training, workload
 from courtload.plans import batch as _batch
 from courtload.plans.graph import Graph
 from courtload.session import materialize, scratch_path
@@ -196,6 +196,14 @@ def _j11(spark, sf):
     return joins.coverage_gaps(d.stats, d.tracking, ["game_id", "player_id"])
 
 
+@query("coverage_gaps_clean")
+def _j11c(spark, sf):
+    """J11 after cleaning (C3): box-score keys none of whose tracking samples has a heart rate in [60, 220]."""
+    d = _g(spark, sf).d
+    usable = clean.keep_in_range(d.tracking, "heart_rate_bpm", *config.HR_KEEP)
+    return joins.coverage_gaps(d.stats, usable, ["game_id", "player_id"])
+
+
 @query("schedule_gaps")
 def _j11s(spark, sf):
     """Scheduled games without tracking."""
@@ -489,6 +497,14 @@ def _a20(spark, sf):
     return _alerts.team_alert_summary(_batch_alerts(_g(spark, sf)))
 
 
+@query("team_summary_rollup")
+def _a20r(spark, sf):
+    """A20 rolled up from the mergeable summaries of windows, by day and then by team."""
+    counts = team_windows.window_counts(_batch_alerts(_g(spark, sf)))
+    days = team_windows.merge_counts(counts.withColumn("day", F.to_date("window_start")), ["team_id", "day"])
+    return team_windows.team_summary(days)
+
+
 @query("top_alerts")
 def _r5(spark, sf):
     return _alerts.top_alerts(_batch_alerts(_g(spark, sf)))
@@ -539,6 +555,16 @@ def _t5u(spark, sf):
     return _run_live(spark, sf, with_alerts=True, mode="update")[0]
 
 
+@query("stream_team_summary")
+def _a20u(spark, sf):
+    """A20 of a live feed in update mode: from the summaries that each micro-batch makes anew of the windows it changed."""
+    g = _g(spark, sf)
+    alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))
+    path = scratch_path(spark, "team-summary")
+    _st.drain(_st.start_live(alerts, "team_summary_live", f"{path}-checkpoint", path, mode="update", summaries=f"{path}-windows"))
+    return team_windows.team_summary(_st.team_windows(spark, f"{path}-windows"))
+
+
 def _run_alert_log(spark, sf):
     g = _g(spark, sf)
     alerts = _st.alert_stream(_st.telemetry_stream(spark, sf), _st.static_thresholds(g.thresholds))

@@ -14,10 +14,22 @@ from courtload.functions.exprs import epoch_seconds, in_range, utc_wallclock
 FIELDS = tuple(f.name for f in schemas.TELEMETRY.fields)
 
 
+def kafka_options(servers: str | Sequence[str], topic: str, starting: str = "earliest", max_per_trigger: int | None = None,
+                  fail_on_data_loss: bool = True, **more: str) -> dict[str, str]:
+    """Options of the Kafka source: brokers, topic, where a first run starts (``earliest``, ``latest`` or JSON of offsets),
+    and how many messages a micro-batch takes at most.  ``more`` adds options of the connector, ``_`` standing for a dot
+    (``kafka_security_protocol``)."""
+    options = {"kafka.bootstrap.servers": servers if isinstance(servers, str) else ",".join(servers), "subscribe": topic,
+               "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
+    if max_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    return options | {k.replace("_", "."): v for k, v in more.items()}
+
+
 def telemetry_source(spark: SparkSession, fmt: str = "kafka", options: Mapping[str, str] | None = None,
                      schema: StructType | None = None, path: str | None = None) -> DataFrame:
     """The live feed.  ``fmt="kafka"`` needs the Kafka connector on the classpath
-    (options kafka.bootstrap.servers, subscribe, startingOffsets); file formats
+    (options: ``kafka_options``); file formats
     need ``schema`` and ``path``."""
     r = spark.readStream.format(fmt).options(**dict(options or {}))
     if schema is not None:

@@ -27,6 +27,7 @@ from courtload.functions.exprs import literal_rows
 from courtload.operators import alerts as _alerts
 from courtload.operators import quality
 from courtload.operators.alerts import apply_alerts, windowed_exertion
+from courtload.operators.team_windows import window_counts
 from courtload.session import files_in, finished_folders, is_folder, materialize, remove_path, replace_text
 from courtload.sources.adapters import telemetry_events
 from courtload.sources.files import read_optional
@@ -89,7 +90,8 @@ COMPACT_EVERY = 20   # micro-batches between two bases of an update-mode table
 
 def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = None, sink: str = "table",
                trigger: str | None = "available_now", mode: str = "complete",
-               keys: Sequence[str] = WINDOW_KEYS, compact_every: int = COMPACT_EVERY) -> StreamingQuery:
+               keys: Sequence[str] = WINDOW_KEYS, compact_every: int = COMPACT_EVERY,
+               summaries: str | None = None) -> StreamingQuery:
     """The live table named ``name``.
 
     Every micro-batch writes folders of its own (``base=<id>`` or ``changes=<id>``), replaced if the
@@ -101,7 +103,12 @@ def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = Non
     mode="update": the watermark evicts closed windows from state, so state stays bounded however long the
     feed runs; a batch writes only the windows it changed, and every ``compact_every`` batches the latest
     version of each window becomes a new base.  Rows behind the watermark are dropped, as in the alert log.
+
+    ``summaries`` (update mode, alert columns): a folder in which each batch also sums up, per team, the windows it changed
+    (``team_windows``), so that team summaries over any windows read no players' rows.
     """
+    if summaries and mode != "update":
+        raise ValueError("summaries go with mode='update'")
     if mode not in LIVE_MODES:
         raise ValueError(f"mode must be one of {LIVE_MODES}")
     w = df.writeStream.outputMode(mode).queryName(name).option("checkpointLocation", checkpoint)
@@ -120,6 +127,8 @@ def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = Non
             put(stamped, "base", batch_id)
         else:
             put(stamped, "changes", batch_id)
+            if summaries:
+                _sum_up(spark, path, summaries, batch, batch_id, keys, compact_every)
             if batch_id % compact_every == compact_every - 1:
                 put(_latest(live_versions(spark, path), keys, VERSION_COL), "base", batch_id)
         live_table(spark, name, path, keys)
@@ -131,6 +140,29 @@ def start_live(df: DataFrame, name: str, checkpoint: str, path: str | None = Non
     return _trigger(w.foreachBatch(write), trigger).start()
 
 
+SUMMARY_KEYS = ("team_id", "window_start")
+
+
+def _sum_up(spark: SparkSession, live: str, path: str, batch: DataFrame, batch_id: int, keys: Sequence[str], compact_every: int) -> None:
+    """The summaries of the windows that a batch changed, from the live table's rows of these windows alone."""
+    changed = batch.select(*SUMMARY_KEYS).distinct()
+    now = _latest(live_versions(spark, live).join(changed, list(SUMMARY_KEYS), "left_semi"), keys)
+    stamp = F.lit(batch_id).cast("long").alias(VERSION_COL)
+    window_counts(now).select("*", stamp).write.mode("overwrite").parquet(f"{path}/changes={batch_id}")
+    if batch_id % compact_every == compact_every - 1:
+        team_windows(spark, path).select("*", stamp).write.mode("overwrite").parquet(f"{path}/base={batch_id}")
+
+
+def team_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The newest summary of each (team, window) that ``start_live`` kept: rows of ``operators.team_windows``.
+
+    A window's summary is whole in each batch that changed it, so the rows of its newest batch count.
+    """
+    rows = live_versions(spark, path)
+    newest = rows.groupBy(*SUMMARY_KEYS).agg(F.max(VERSION_COL).alias(VERSION_COL))
+    return rows.join(newest, [*SUMMARY_KEYS, VERSION_COL], "left_semi").drop(VERSION_COL)
+
+
 def _folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """The finished batch folders of a live table."""
     return [(kind, int(i)) for name in finished_folders(spark, path) for kind, eq, i in [name.partition("=")] if eq]

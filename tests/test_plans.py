@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 SIDE_EFFECT = {"scan_csv", "scan_json", "publish_roundtrip", "publish_partitioned", "published_census",
                "dataset_manifest", "gate_outputs", "stream_windowed_exertion", "stream_live_exertion",
                "stream_live_exertion_update", "stream_windowed_exertion_wide", "stream_output_freshness", "telemetry_source",
-               "telemetry_written",
+               "telemetry_written", "stream_team_summary", "incremental_rolling_workload",
                "stream_alert_sink", "stream_progress", "gate_alert_output", "read_optional"}
 BATCH = sorted(set(QUERIES) - SIDE_EFFECT)
 
