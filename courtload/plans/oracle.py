@@ -127,8 +127,8 @@ JOIN (SELECT game_id, player_id, team_id, count(*) AS pair_rows, sum(distance_co
 
 q("player_game_workload", "SELECT * FROM pgw", PGW_DOUBLES)
 
-q("rolling_workload", "SELECT * FROM rolling",
-  PGW_DOUBLES + ["rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"])
+for _name in ("rolling_workload", "incremental_rolling_workload"):
+    q(_name, "SELECT * FROM rolling", PGW_DOUBLES + ["rolling_5g_distance", "rolling_5g_avg_hr", "rolling_5g_minutes"])
 
 # ---- literal reference CTEs used by several queries ---------------------------------------
 def _pct(made: str, att: str, d: int = 2) -> str:

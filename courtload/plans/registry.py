@@ -19,10 +19,11 @@ from courtload.operators import alerts as _alerts
 from courtload.operators import clean, impact, joins, quality, risk, team_windows, training, workload
 from courtload.plans import batch as _batch
 from courtload.plans.graph import Graph
+from courtload.plans.increment import Increments
 from courtload.session import materialize, scratch_path
 from courtload.sources import files as _files
 from courtload.sources import telemetry as _tel
-from courtload.sources.adapters import INPUTS, telemetry_events
+from courtload.sources.adapters import INPUTS, Domain, telemetry_events
 from courtload.streaming import telemetry as _st
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,18 @@ def _rolling(spark, sf):
 
 
 
+@query("incremental_rolling_workload")
+def _rolling_added(spark, sf):
+    """W1 by increments (S6): the season up to its last 30 days, then the rest, which rebuilds only the partitions it reaches."""
+    d = _g(spark, sf).d
+    cut = d.schedule.agg(F.date_sub(F.max("date"), 30)).scalar()
+    early = d.schedule.where(F.col("date") <= cut).select("game_id").distinct()
+    kept = Increments(spark, scratch_path(spark, "increments"))
+    for name, how in (("season", "left_semi"), ("last-days", "left_anti")):
+        kept.add(name, Domain(*(t.join(early, "game_id", how) for t in (d.tracking, d.stats, d.schedule)), d.training, d.incidents))
+    return kept.rolling()
+
+
 # ---- cleaning and profiles (C3-C11) -----------------------------------------------------
 @query("clean_heart_rate")
 def _clean_hr(spark, sf):
