@@ -1,14 +1,19 @@
 """Deterministic sharded WARC archives of pages, and reading them back.
 
-Records are range-sorted by page id and digest and written by each task in that order: one gzip member
-per record, headers and digests made anew from the payload, a new file whenever the compressed size passes
-``ROLL_BYTES``.  Ids, dates and compression depend on the record alone.  A task writes under a name of its own
-attempt and renames each finished file; the manifest of all files is written by the same job and takes its
-final name last, so readers see whole archives or none, and a task that runs again replaces its files.
+Records are cut into shards, ranges of page id and digest, and written in that order: one gzip member per record,
+headers and digests made anew from the payload, a new file whenever a shard's compressed size passes ``ROLL_BYTES``.
+The shards' borders follow from the data alone: page keys chosen by a hash, about ``PER_SHARD`` for each shard, are
+sorted and cut where their bytes are even.  Ids, dates and compression depend on the record.  So the same pages give
+the same files, whatever the cluster, its splits and its partitions.  There is a shard for each ``SHARD_BYTES`` of
+payload, ``MOST_SHARDS`` at most, larger ones beyond; so the keys that the driver sorts are bounded.
+
+A task writes whole shards, under a name of its own attempt, and renames each finished file; the manifest of all files is
+written by the same job and takes its final name last, so readers see whole archives or none, and a task that runs again
+replaces its files.
 
 Of records with equal payloads (same SHA-256 and length) of at least ``SMALLEST`` bytes, the one with the
 smallest id is the response and the others revisit it.  Texts go through one shuffle: what is to be
-revisited joins their range sort as short rows of its own, which come just before their page.
+revisited joins their sort as short rows of its own, which come just before their page.
 
 Files go through pyarrow.fs to the given folder, which all executors share (any scheme it knows).
 
@@ -24,7 +29,9 @@ import hashlib
 import json
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from math import ceil
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -38,6 +45,9 @@ from courtload.llm.common import field_type, materialize, ship
 
 ROLL_BYTES = 64 << 20
 SMALLEST = 100
+SHARD_BYTES = 4 << 20
+MOST_SHARDS = 10_000
+PER_SHARD = 20
 LEVEL = 6
 DATE = "2020-01-01T00:00:00Z"
 _LINE = b"\r\n"
@@ -80,10 +90,10 @@ def page_record(page: object, url: str | None, payload: bytes, digest: str, numb
 
 
 class Roller:
-    """Files of one task: written under a temporary name, renamed when full."""
+    """Files of one shard: written under a temporary name, renamed when full."""
 
-    def __init__(self, folder: str, part: int, attempt: int, roll: int) -> None:
-        self.fs, self.root = open_folder(folder)
+    def __init__(self, fs: pafs.FileSystem, root: str, part: int, attempt: int, roll: int) -> None:
+        self.fs, self.root = fs, root
         self.part, self.attempt, self.roll, self.number = part, attempt, roll, 0
         self.out = None
 
@@ -121,11 +131,16 @@ class Roller:
 def _write_batches(batches: Iterable[pa.RecordBatch], folder: str, roll: int, date: str, level: int,
                    schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
-    files = Roller(folder, task.partitionId(), task.taskAttemptId(), roll)
+    fs, root = open_folder(folder)
+    files = None
     group, marked, first, number = None, False, None, 0
     for batch in batches:
         done = []
-        for page, digest, kind, refers, url, html in zip(*(c.to_pylist() for c in batch.columns)):
+        for shard, page, digest, kind, refers, url, html in zip(*(c.to_pylist() for c in batch.columns)):
+            if files is None or files.part != shard:
+                if files is not None:
+                    done.append(files.close())
+                files = Roller(fs, root, shard, task.taskAttemptId(), roll)
             if group != (page, digest):
                 group, marked, first, number = (page, digest), False, None, 0
             if kind == 0:   # this page and payload belong to a group of copies
@@ -137,10 +152,43 @@ def _write_batches(batches: Iterable[pa.RecordBatch], folder: str, roll: int, da
         done = [d for d in done if d]
         if done:
             yield pa.RecordBatch.from_pylist(done, schema)
-    if (d := files.close()) is not None:
+    if files is not None and (d := files.close()) is not None:
         yield pa.RecordBatch.from_pylist([d], schema)
 
 
+Key = tuple[bool, object, str]
+
+
+def _key(page: object, digest: str) -> Key:
+    """Keys in Spark's order: null ids first."""
+    return (False, 0, digest) if page is None else (True, page, digest)
+
+
+def borders(keys: DataFrame) -> list[Key]:
+    """The first keys of all shards but the first, from the table of keys (page, digest, n, size) alone."""
+    total = keys.agg(F.count("*").alias("keys"), F.sum(F.col("n") * F.col("size")).alias("bytes")).first()
+    shards = min(MOST_SHARDS, ceil((total["bytes"] or 0) / SHARD_BYTES))
+    if shards < 2:
+        return []
+    share = F.lit(min(1.0, shards * PER_SHARD / total["keys"]) * (1 << 32))
+    some = keys.where(F.pmod(F.xxhash64("page", "digest"), F.lit(1 << 32)) < share)   # about MOST_SHARDS * PER_SHARD rows at most
+    chosen = sorted((_key(r["page"], r["digest"]), r["n"] * (r["size"] + 500)) for r in some.select("page", "digest", "n", "size").collect())
+    step, passed, out = sum(b for _, b in chosen) / shards, 0, []
+    for key, size in chosen:
+        if passed >= step * (len(out) + 1):
+            out.append(key)
+        passed += size
+    return out
+
+
+def _shard_of(found: list[Key]):
+    """The shard of a key, as a column function."""
+    @F.arrow_udf("int")
+    def shard(page: pa.Array, digest: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(found, k) for k in map(_key, page.to_pylist(), digest.to_pylist())], pa.int32())
+    return shard
+
+
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
           roll: int = ROLL_BYTES, date: str = DATE, level: int = LEVEL) -> None:
     """Write an archive of all pages into a new folder; its manifest is there once it is whole."""
@@ -148,11 +196,12 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     ship(spark)
     data = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     page = F.col(id_col).alias("page")
-    keyed = pages.select(page, F.sha2(data, 256).alias("digest"), F.octet_length(data).alias("size"))
-    keyed = keyed.where(F.col("size") >= SMALLEST)
-    copies = materialize(keyed.groupBy("digest").agg(F.count("*").alias("n"), F.min("page").alias("refers"))
+    keys = materialize(pages.select(page, F.sha2(data, 256).alias("digest"), F.octet_length(data).alias("size"))
+                       .groupBy("page", "digest", "size").agg(F.count("*").alias("n")), "page-keys")
+    large = keys.where(F.col("size") >= SMALLEST)
+    copies = materialize(large.groupBy("digest").agg(F.sum("n").alias("n"), F.min("page").alias("refers"))
                          .where("n > 1").select("digest", "refers"), "page-copies")
-    marks = keyed.select("page", "digest").join(copies, "digest").distinct().select(
+    marks = large.select("page", "digest").join(copies, "digest").select(
         "page", "digest", F.lit(0).alias("kind"), "refers", F.lit(None).cast("string").alias("url"),
         F.lit(None).cast("string").alias("html"))
     rows = pages.select(page, F.sha2(data, 256).alias("digest"), F.lit(1).alias("kind"),
@@ -160,13 +209,17 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                         F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     schema = pa.schema([(n, pa.string() if n in ("file", "sha256", "first", "last") else pa.int64())
                         for n in ("file", "records", "bytes", "sha256", "first", "last")])
-    manifest = (rows.unionByName(marks).repartitionByRange("page", "digest").sortWithinPartitions("page", "digest", "kind", "url")
+    found = borders(keys)
+    shard = _shard_of(found)("page", "digest") if found else F.lit(0)
+    order = ["shard", "page", "digest", "kind", "url"]
+    manifest = (rows.unionByName(marks).select(shard.alias("shard"), "*").repartitionById(len(found) + 1, F.col("shard")).sortWithinPartitions(*order)
                 .mapInArrow(lambda it: _write_batches(it, folder, roll, date, level, schema), MANIFEST))
     manifest.write.json(f"{folder}/_manifest.tmp")
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
     store = path(folder).getFileSystem(conf)
-    store.rename(path(f"{folder}/_manifest.tmp"), path(f"{folder}/_manifest"))
+    if not store.rename(path(f"{folder}/_manifest.tmp"), path(f"{folder}/_manifest")):
+        raise OSError(f"{folder}: the manifest can't take its name")
     store.delete(path(f"{folder}/_temporary"), True)
 
 

@@ -5,6 +5,7 @@ import textwrap
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from courtload.llm import licenses, url_rules, warc
 from tests.llm.helpers import docs, prose
@@ -55,8 +56,9 @@ PAGES = [(3, "http://a/", "x" * 200), (2, "http://b/\r\nInjected: 1", "x" * 200)
          (13, "u", "y" * 99), (14, "u", "y" * 99)] + [(100 + k, f"http://z/{k}", prose(k, 60)) for k in range(40)]
 
 
-def archive(spark, folder, roll):
-    table = spark.createDataFrame([(*p, "resp") for p in PAGES], "page_id long, url string, html string, record_type string")
+def archive(spark, folder, roll, pages=PAGES, partitions=None):
+    table = spark.createDataFrame([(*p, "resp") for p in pages], "page_id long, url string, html string, record_type string")
+    table = table.repartition(partitions) if partitions else table
     warc.write(table, f"file://{folder}", roll=roll)
     return sorted(Path(folder).glob("*.warc.gz"))
 
@@ -95,6 +97,32 @@ def test_archives_are_the_same_again(spark, tmp_path):
     assert [(f.name, f.read_bytes()) for f in a] == [(f.name, f.read_bytes()) for f in b]
 
 
+def test_archives_do_not_depend_on_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 4000)
+    pages = PAGES + [(2 ** 60 + k, f"http://big/{k}", prose(k, 80)) for k in range(60)] + [(77, "http://same/", "s" * 300)] * 40
+    made, old = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for k, (split, shuffle) in enumerate(((1, 4), (4, 3), (16, 16))):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+            rows = pages if k != 1 else pages[::-1]
+            made.append([(f.name, f.read_bytes()) for f in archive(spark, tmp_path / f"p{k}", 3000, rows, split)])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert made[0] == made[1] == made[2]
+    assert len({name.split("-")[1] for name, _ in made[0]}) > 5      # shards
+
+
+def test_shards_are_even_and_in_order(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 100_000)
+    keys = spark.range(20_000).select(F.col("id").alias("page"), F.sha2(F.col("id").cast("string"), 256).alias("digest"),
+                                      F.lit(1).alias("n"), F.lit(100).alias("size"))
+    found = warc.borders(keys)
+    assert found == sorted(found) and len(found) == 19
+    starts = [0, *(k[1] for k in found), 20_000]
+    assert max(b - a for a, b in zip(starts, starts[1:])) < 3 * 1000
+    assert warc.borders(keys.limit(0)) == []
+
+
 def test_archive_of_nothing(spark, tmp_path):
     from pyspark.sql.types import LongType
     table = spark.createDataFrame([], "page_id long, url string, html string")
