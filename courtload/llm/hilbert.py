@@ -65,8 +65,9 @@ def steps(df: DataFrame, dims: list[str], bits: int = BITS) -> list[Column]:
     for i, n in enumerate(numbers.values()):
         bounds = sorted(set(limits[f"c{i}"] or []))
         at = F.lit(0)
-        if bounds:   # as many steps as limits below the value
+        if bounds:   # as many steps as limits below the value, spread over the whole range where a dimension has few values
             at = F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < n)), F.lit(0))
+            at = F.floor(at * F.lit((1 << bits) - 1) / F.lit(len(bounds)))
             at = F.when(n.isNull(), 0).otherwise(at)
         out.append(at.cast("int"))
     return out
