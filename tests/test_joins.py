@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from courtload.operators import joins
 from courtload.operators.joins import attach_team
 
 
@@ -132,3 +133,26 @@ def test_hot_games_split_in_the_schedule_context(spark):
     plain, split = schedule_context(keyed, sched), schedule_context(keyed, sched, split=keys)
     assert split.columns == plain.columns
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def _sessions_and_games(spark, sessions=240, games=30):
+    left = [(i, "d1" if i % 3 else ("d2" if i % 2 else None), 1 if i % 5 else None) for i in range(sessions)] + [(7, "d1", 1)] * 3
+    right = [(g, "d1" if g % 4 else "d2", 1, 1 if g % 2 else 2) for g in range(games)] + [(99, "d9", 1, 2), (98, None, 1, None)]
+    return (spark.createDataFrame(left, "player_id long, date string, team_id int"),
+            spark.createDataFrame(right, "game_id long, date string, home_team int, away_team int"))
+
+
+def test_schedule_join_split_by_joined_rows(spark):
+    sessions, games = _sessions_and_games(spark)
+    plain = sorted(map(repr, joins.join_schedule(sessions, games).collect()))
+    on = [("date", "_d"), ("team_id", "_t")]
+    exploded = games.select("game_id", F.col("date").alias("_d"), F.col("home_team").alias("_t"))
+    parts = joins.pair_parts(sessions, exploded, on, 100)
+    biggest = max(r["_parts"] for r in parts.table.collect())
+    assert biggest > 10 and parts.partitions >= biggest
+    split = joins.join_schedule(sessions, games, pairs=100)
+    assert split.columns == joins.join_schedule(sessions, games).columns
+    assert sorted(map(repr, split.collect())) == plain
+    made = [r["count"] for r in split.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(made) < len(plain) / 6          # one (date, team) holds nearly all joined rows
+    assert joins.pair_parts(sessions, exploded, on, 10**9) is None
