@@ -57,7 +57,7 @@ def join_summaries(t: DataFrame, s: DataFrame, keys: Sequence[str] = ("game_id",
     """J1 from the side summaries (see ``join_tracking_stats``)."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
-    j = t.join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
+    j = dealt(t, *keys).join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
     if grain == "literal":
         return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
                  .withColumn("w_rows", F.col("pair_rows")))
@@ -91,6 +91,15 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows dealt by ``keys`` over all shuffle partitions, for joins and groupings by these keys.
+
+    Adaptive execution merges partitions by their compressed bytes; summaries of ids and counts compress so well that a
+    task then sorts and groups millions of rows at once.  A given number of partitions is left as it is.
+    """
+    return df.repartition(shuffle_partitions(df), *keys)
+
+
 def weight(measure: str) -> Column:
     """How many aggregated rows each summed value of ``measure`` stands for."""
     return F.col("w_track") if measure in TRACK_MEASURES else F.col("w_stats")
@@ -179,16 +188,17 @@ def split_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return salted.join(spread, cond, how).drop("_part", "_copy")
 
 
-def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id", split: HotKeys | None = None) -> DataFrame:
+def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id", split: HotKeys | None = None, deal: bool = False) -> DataFrame:
     """Left join of schedule context; a game without schedule keeps NULLs.
 
     No hint: the schedule side is broadcast only when its size estimate is
     under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run
     time); otherwise it is a shuffle join, which splits the hot games given in ``split``.
+    ``deal``: for a grouping by game, which keeps adaptive execution from splitting the join anyway (see ``dealt``).
     """
     sched = schedule.select(key, "date", "back_to_back", "travel_distance_miles", "rest_days_since_last_game")
     if split is None:
-        return keyed.join(sched, key, "left")
+        return (dealt(keyed, key) if deal else keyed).join(sched, key, "left")
     return split_join(keyed, sched.withColumnRenamed(key, "_key"), [(key, "_key")], split).drop("_key")
 
 

@@ -79,7 +79,9 @@ class Graph:
     # --- workload ------------------------------------------------------------------
     @cached_property
     def pgw(self) -> DataFrame:
-        return workload.player_game_workload(self.keyed_sched)
+        if "keyed_sched" in self.__dict__:      # pinned, or built for another node
+            return workload.player_game_workload(self.keyed_sched)
+        return workload.player_game_workload(joins.schedule_context(self.keyed, self.d.schedule, deal=True))
 
     @cached_property
     def rolling(self) -> DataFrame:

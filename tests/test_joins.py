@@ -156,3 +156,13 @@ def test_schedule_join_split_by_joined_rows(spark):
     made = [r["count"] for r in split.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert max(made) < len(plain) / 6          # one (date, team) holds nearly all joined rows
     assert joins.pair_parts(sessions, exploded, on, 10**9) is None
+
+
+def test_joins_before_a_grouping_use_all_partitions(spark):
+    sched = spark.createDataFrame([(g, "2024-01-01", True, 1.0, 1) for g in range(50)],
+                                  "game_id long, date string, back_to_back boolean, travel_distance_miles double, rest_days_since_last_game int")
+    keyed = spark.createDataFrame([(g % 60, g) for g in range(300)], "game_id long, player_id long")
+    plain, out = joins.schedule_context(keyed, sched), joins.schedule_context(keyed, sched, deal=True)
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, plain.collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan       # adaptive execution keeps the given number of partitions
