@@ -45,6 +45,13 @@ def _g(spark: SparkSession, sf_dir: str) -> Graph:
     return Graph.of(spark, sf_dir, pairs=joins.PART_PAIRS)
 
 
+def _rolled(spark: SparkSession, sf_dir: str) -> Graph:
+    """The graph for what reads W1, its per-game table written once: W1 reads it twice, and J1 and J5 then run once."""
+    g = _g(spark, sf_dir)
+    g.pin("pgw", materialize(g.pgw, "player-games"))
+    return g
+
+
 # ---- J1 / A1 / W1: the minimum slice ------------------------------------------------
 @query("join_tracking_stats")
 def _join_tracking_stats(spark, sf):
@@ -66,7 +73,7 @@ def _pgw(spark, sf):
 @query("rolling_workload")
 def _rolling(spark, sf):
     """W1 (flagship)."""
-    return _g(spark, sf).rolling
+    return _rolled(spark, sf).rolling
 
 
 
@@ -158,7 +165,7 @@ def _ptm(spark, sf):
 @query("dedupe_snapshot")
 def _snap(spark, sf):
     """One workload row per (player, game)."""
-    return risk.workload_snapshot(_g(spark, sf).rolling)
+    return risk.workload_snapshot(_rolled(spark, sf).rolling)
 
 
 # ---- joins (J2-J11) -----------------------------------------------------------------------
@@ -198,7 +205,7 @@ def _j7(spark, sf):
 @query("horizon_label")
 def _j8(spark, sf):
     """Snapshot rows with the 7-day injury label."""
-    g = _g(spark, sf)
+    g = _rolled(spark, sf)
     return joins.horizon_label(risk.workload_snapshot(g.rolling), g.incidents, label=risk.LABEL)
 
 
@@ -227,7 +234,7 @@ def _j11s(spark, sf):
 # ---- workload and impact (A2-A11, A18, A19) -----------------------------------------------
 @query("workload_tiers")
 def _a2(spark, sf):
-    return workload.workload_tiers(materialize(workload.tier_columns(_g(spark, sf).rolling), "tier-columns"))
+    return workload.workload_tiers(materialize(workload.tier_columns(_rolled(spark, sf).rolling), "tier-columns"))
 
 
 @query("back_to_back_analysis")
@@ -298,7 +305,7 @@ def _a18(spark, sf):
 
 @query("top_workload")
 def _a19(spark, sf):
-    return workload.top_workload(_g(spark, sf).rolling)
+    return workload.top_workload(_rolled(spark, sf).rolling)
 
 
 @query("readout_back_to_back")
@@ -353,7 +360,7 @@ def _a14b(spark, sf):
 # ---- risk (A15-A17, A22) -----------------------------------------------------------------
 @query("injury_risk_features")
 def _a15(spark, sf):
-    return _g(spark, sf).features
+    return _rolled(spark, sf).features
 
 
 @query("training_summary")
@@ -368,12 +375,12 @@ def _a15b(spark, sf):
 
 @query("risk_feature_correlations")
 def _a16(spark, sf):
-    return risk.label_correlations(_g(spark, sf).features)
+    return risk.label_correlations(_rolled(spark, sf).features)
 
 
 @query("risk_label_balance")
 def _a17(spark, sf):
-    return risk.label_balance(_g(spark, sf).features)
+    return risk.label_balance(_rolled(spark, sf).features)
 
 
 @query("incident_frequency_by_tier")
@@ -644,7 +651,7 @@ def _s5(spark, sf):
 def _s6(spark, sf):
     """Rolling workload published partitioned by team; per-team census of the read-back."""
     path = scratch_path(spark, "rolling_workload.parquet")
-    _files.publish_version(_g(spark, sf).rolling, path, partition_by=["team_id"], cluster_by=["player_id", "date", "game_id"])
+    _files.publish_version(_rolled(spark, sf).rolling, path, partition_by=["team_id"], cluster_by=["player_id", "date", "game_id"])
     back = _files.read_published(spark, path)
     return back.groupBy("team_id").agg(F.count(F.lit(1)).alias("rows"),
                                        F.sum("rolling_5g_distance").alias("rolling_distance"))

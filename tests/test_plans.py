@@ -83,3 +83,10 @@ def test_without_broadcasts_joins_are_sort_merge_and_results_agree(spark):
         assert sorted(tuple(r) for r in round_doubles(df, 6).collect()) == before
     finally:
         spark.conf.set(key, old)
+
+
+@pytest.mark.parametrize("name", ["rolling_workload", "dedupe_snapshot", "horizon_label", "top_workload"])
+def test_rolling_reads_a_written_per_game_table(spark, name):
+    # W1 reads its input twice; from raw rows J1 and J5 would run twice
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    assert "total_distance_ft" in plan and "l_orderkey" not in plan
