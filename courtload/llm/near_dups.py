@@ -23,6 +23,7 @@ an empty table gives an empty result; other columns are not read by ``classes``
 
 from __future__ import annotations
 
+import contextvars
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -32,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, numbered, outlasting, returned, ship
+from courtload.llm.common import BROADCAST_ROWS, by_row, field_type, materialize, numbered, outlasting, returned, run_intermediates, ship
 from courtload.llm.components import components, contracted
 
 WORDS = 5
@@ -257,8 +258,9 @@ def _rest_links(left: DataFrame, pivots: DataFrame, labels: DataFrame, singles:
         lambda table: _block_links(table, similarity), "a long, b long").distinct(), "rest-links")
 
 
-def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame | None:
-    """(node, component) of the linked documents among ``singles`` (row, bands); None if no two share a bucket."""
+def candidates(docs: DataFrame, singles: DataFrame, text_col: str, words: int) -> tuple[DataFrame, DataFrame] | None:
+    """Rows (row, bucket) of the buckets with several of ``singles`` (row, bands), and the shingles of these rows; None if
+    no two share a bucket.  Texts are not read after that."""
     member = singles.select("row", F.explode("bands").alias("bucket"))
     crowded = materialize(member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "buckets")
     left = materialize(member.join(crowded, "bucket"), "bucket-rows")
@@ -269,6 +271,11 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
     text = docs.select("row", F.col(text_col).cast("string").alias("text"))
     sets = materialize(text.join(F.broadcast(some) if n <= BROADCAST_ROWS else some.hint("merge"), "row", "left_semi").mapInArrow(
         lambda it: returned(_set_batches(it, words)), "row long, keys binary").withColumn("size", (F.length("keys") / 8).cast("long")), "shingle-sets")
+    return left, sets
+
+
+def links(left: DataFrame, sets: DataFrame, singles: DataFrame, similarity: float) -> DataFrame:
+    """(node, component) of the linked documents among ``candidates``."""
     pivots = materialize(left.groupBy("bucket").agg(F.min("row").alias("row")), "pivots")
     met = left.join(pivots.withColumnRenamed("row", "pivot"), "bucket").where("row <> pivot")
     pairs = met.select(F.least("row", "pivot").alias("a"), F.greatest("row", "pivot").alias("b")).distinct()
@@ -276,6 +283,17 @@ def links(docs: DataFrame, singles: DataFrame, text_col: str, words: int, simila
     return components(contracted(_rest_links(left, pivots, labels, singles, sets, similarity), labels), labels)
 
 
+def _read_texts(texts: DataFrame, id_type: T.DataType, words: int) -> tuple[DataFrame, DataFrame, tuple[DataFrame, DataFrame] | None]:
+    """Signatures of every row (row, id, text), one row of each different set of shingles, and the ``candidates`` among these."""
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", id_type),
+                           T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    every = materialize(texts.select("row", "id", "text")
+                        .mapInArrow(lambda it: returned(_sign_batches(it, words)), schema), "signatures")
+    prints = materialize(every.where("print IS NOT NULL").groupBy("print").agg(
+        F.count("*").alias("n"), F.min(F.struct("row", "bands")).alias("first")), "prints")
+    return every, prints, candidates(texts, prints.select("first.row", "first.bands"), "text", words)
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
             similarity: float = SIMILARITY, row_col: str | None = None) -> DataFrame:
     """(row, id, class_id, class_size, kept) of every row; class_id is the smallest id of its group.
@@ -285,15 +303,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wor
     ship(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         *([] if row_col is None else [F.col(row_col).alias("row")]))
-    if row_col is None:
-        texts, _ = numbered(texts, "texts-numbered")
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("id", field_type(docs, id_col)),
-                           T.StructField("print", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
-    every = materialize(texts.select("row", "id", "text")
-                        .mapInArrow(lambda it: returned(_sign_batches(it, words)), schema), "signatures")
-    prints = materialize(every.where("print IS NOT NULL").groupBy("print").agg(
-        F.count("*").alias("n"), F.min(F.struct("row", "bands")).alias("first")), "prints")
-    labels = links(texts, prints.select("first.row", "first.bands"), "text", words, similarity)
+    outside = contextvars.copy_context()
+    with run_intermediates(docs.sparkSession, "near-texts"):   # the copy of the texts goes once their shingles are written
+        if row_col is None:
+            texts, _ = numbered(texts, "texts-numbered")
+        every, prints, found = outside.run(_read_texts, texts, field_type(docs, id_col), words)
+    labels = None if found is None else links(*found, prints.select("first.row", "first.bands"), similarity)
     groups = prints.select("print", "n", F.col("first.row").alias("node"))
     groups = groups.withColumn("component", F.lit(None).cast("long")) if labels is None else groups.join(labels, "node", "left")
     groups = materialize(groups.where("n > 1 OR component IS NOT NULL").select(

@@ -171,3 +171,15 @@ def test_repeated_lines_that_differ(spark, tmp_path):
     want, groups = brute_near(rows)
     got = near_dups.classes(docs(spark, tmp_path / "d", rows)).collect()
     assert groups == 20 and collections.Counter((r.doc_id, r.class_id, r.class_size) for r in got) == want
+
+
+def test_the_copy_of_the_texts_is_gone_after_their_shingles(spark, tmp_path):
+    from pathlib import Path
+
+    from courtload.session import checkpoint_root
+    root = Path(checkpoint_root(spark).removeprefix("file:"))
+    rows = [(k, " ".join(f"w{(k // 2) * 100 + i}" for i in range(40)) + (" x" if k % 2 else ""), "en") for k in range(20)]
+    before = set(root.rglob("texts-numbered-*"))
+    got = near_dups.classes(docs(spark, tmp_path / "d", rows))
+    assert not set(root.rglob("texts-numbered-*")) - before
+    assert {r.doc_id: r.class_id for r in got.collect()} == {k: k // 2 * 2 for k in range(20)}
