@@ -41,23 +41,28 @@ GRAINS = ("literal", "pre_aggregated")
 
 
 def side_summaries(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
-                   team: str = "team_id", track_extra: Sequence[Column] = ()) -> tuple[DataFrame, DataFrame]:
+                   team: str = "team_id", track_extra: Sequence[Column] = (),
+                   deal: bool = False) -> tuple[DataFrame, DataFrame]:
     """J1's two sides reduced to one row per key: (game, player, team) and (game, player).
 
     ``track_extra`` adds aggregates to the tracking summary, so other per-row
     checks (the impossible-value gate) ride along the same scan of the raw rows.
+    ``deal``: where most keys hold few rows (``spread_out``) partial sums before the shuffle save nothing, and a scan task
+    would hold those of all its keys.  The raw rows are then dealt by key first and summed up where they arrive.
     """
+    if deal:
+        tracking, stats = dealt(tracking, *keys), dealt(stats, *keys)
     t = _side_summary(tracking, [*keys, team], TRACK_MEASURES, "n_track", track_extra)
     s = _side_summary(stats, list(keys), STATS_MEASURES, "n_stats")
     return t, s
 
 
 def join_summaries(t: DataFrame, s: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
-                   grain: str = "literal") -> DataFrame:
-    """J1 from the side summaries (see ``join_tracking_stats``)."""
+                   grain: str = "literal", deal: bool = True) -> DataFrame:
+    """J1 from the side summaries (see ``join_tracking_stats``).  ``deal``: False if they are dealt by ``keys`` already."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
-    j = dealt(t, *keys).join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
+    j = (dealt(t, *keys) if deal else t).join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
     if grain == "literal":
         return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
                  .withColumn("w_rows", F.col("pair_rows")))
@@ -155,6 +160,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.02, partitions
     return HotKeys(tuple(sorted(r["item"] for r in hot)), parts)
 
 
+def spread_out(df: DataFrame, keys: Sequence[str], share: float = 0.02) -> bool:
+    """Whether no key (NULLs are one) holds about ``share`` of the rows, by a heavy-hitter sketch; one pass, started here."""
+    tracked = max(100, ceil(4 / share))
+    found = df.select(F.xxhash64(*keys).alias("h")).agg(
+        F.expr(f"approx_top_k(h, 1, {tracked})").alias("top"), F.count("*").alias("n")).first()
+    return all(r["count"] < share * found["n"] for r in found["top"] or [])
+
+
+def sides_spread_out(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id")) -> bool:
+    """Whether J1's raw rows may be dealt by key (``side_summaries``)."""
+    return spread_out(tracking, keys) and spread_out(stats, keys)
+
+
 def _known(keys: Sequence[str]) -> Column:
     out = F.lit(True)
     for k in keys:

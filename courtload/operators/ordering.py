@@ -3,9 +3,9 @@
 ``Window.partitionBy(player)`` puts a player with a third of the rows into one task, and
 ``Window.orderBy(...)`` the whole table.
 
-* ``rolling_rows`` cuts each player's rows into chunks.  A splitter table has, for each player and each value of
-  a coarse, order-preserving key (``split_on``), how many rows come before it; counts are exact, so that
-  every evaluation cuts alike.  The rows before a chunk that its frames reach are sent to it too (the halo).
+* ``rolling_rows`` cuts the rows of each player with more than a chunk's into chunks.  A splitter table has, for each
+  such player and each value of a coarse, order-preserving key (``split_on``), how many rows come before it; counts are
+  exact, so that every evaluation cuts alike.  The rows before a chunk that its frames reach are sent to it too (the halo).
 * ``ntile_rows`` finds the first row of each tile by selection: rounds of sketched percentiles and exact counts
   close in on it, and the rows then take one CASE.
 """
@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from courtload.operators.joins import dealt
+
 #: Rows within a place's bracket that are fetched sorted instead of being closed in on.
 FETCHED = 10_000
 #: Sketch size of a round: a bracket keeps about four parts of so many of the rows before it.
@@ -54,28 +56,35 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: M
     ``order`` must make rows unique within ``part``.
 
     method="window": Spark's window operator (one task per ``part`` value).
-    method="split": the window runs per (part, chunk).  ``split_on`` is the coarse key, columns that never fall
+    method="split": the window runs per ``part`` where it has at most ``chunk_rows`` rows, and per (part, chunk) where it has
+    more; those are at most the rows / ``chunk_rows`` parts and are broadcast.  ``split_on`` is the coarse key, columns that never fall
     along ``order`` (by default its first column); a chunk has at most ``chunk_rows`` rows, those of one more coarse key
-    and the halo.  Building the result starts no job and nothing is written; the input is read twice, once for the
-    columns of the coarse key alone, which must come out alike each time.
+    and the halo.  Building the result starts no job and nothing is written; the input, which must come out alike each
+    time, is read for the sizes of the parts, for the small parts and, if there are any, twice for the large ones.
     """
     if method not in ("window", "split"):
         raise ValueError(f"unknown method {method!r}")
     by = [F.col(c).asc_nulls_first() for c in order]
+
+    def framed(rows: DataFrame, *parts: str) -> DataFrame:   # dealt: merged partitions would sort millions of rows in a task
+        w = Window.partitionBy(*parts).orderBy(*by).rowsBetween(-(n - 1), 0)
+        return dealt(rows, *parts).select("*", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
     if method == "window":
-        w = Window.partitionBy(part).orderBy(*by).rowsBetween(-(n - 1), 0)
-        return df.select("*", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
+        return framed(df, part)
+    sizes = df.groupBy(F.col(part).alias("_large")).agg(F.count("*").alias("_n"))
+    large = F.broadcast(sizes.where(F.col("_n") > chunk_rows).select("_large"))
+    is_large = F.col(part).eqNullSafe(F.col("_large"))
+    small = framed(df.join(large, is_large, "left_anti"), part)
+    cut = df.join(large, is_large, "left_semi")
     coarse = list(split_on or [F.col(order[0])])
-    table = splitters(df, part, coarse, n, chunk_rows).withColumnRenamed(part, "_part")
-    keyed = df.select("*", *[c.alias(f"_k{k}") for k, c in enumerate(coarse)])
+    table = splitters(cut, part, coarse, n, chunk_rows).withColumnRenamed(part, "_part")
+    keyed = cut.select("*", *[c.alias(f"_k{k}") for k, c in enumerate(coarse)])
     same = F.col(part).eqNullSafe(F.col("_part"))
     for k in range(len(coarse)):
         same &= F.col(f"_k{k}").eqNullSafe(F.col(f"_s{k}"))
     # a row once for its own chunk (place 0), and once for each chunk whose halo it is in
     copies = keyed.join(table, same).select(*df.columns, F.posexplode("_to").alias("_halo", "_chunk"))
-    w = Window.partitionBy(part, "_chunk").orderBy(*by).rowsBetween(-(n - 1), 0)
-    framed = copies.select(*df.columns, "_halo", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
-    return framed.where("_halo = 0").drop("_halo")
+    return small.unionByName(framed(copies, part, "_chunk").where("_halo = 0").drop("_halo", "_chunk"))
 
 
 def _number(df: DataFrame, col: str) -> Column:

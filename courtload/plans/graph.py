@@ -18,15 +18,17 @@ from courtload.sources.adapters import Domain, load_domain
 
 class Graph:
     def __init__(self, domain: Domain, rolling_method: str = "split", grain: str = "literal",
-                 split_share: float | None = None, pairs: int | None = None):
+                 split_share: float | None = None, pairs: int | None = None, deal: bool = False):
         """``split_share``: J4 looks its hot (date, team) keys up when it is built, and splits those with such a share of the
         sessions; None leaves skew to adaptive execution, and nothing runs while the graph is built.
-        ``pairs``: J4 counts its joined rows when it is built, and makes about so many in a task (``joins.pair_parts``)."""
+        ``pairs``: J4 counts its joined rows when it is built, and makes about so many in a task (``joins.pair_parts``).
+        ``deal``: J1 looks its keys up when it is built, and deals the raw rows by key unless one holds many of them."""
         self.d = domain
         self.rolling_method = rolling_method
         self.grain = grain
         self.split_share = split_share
         self.pairs = pairs
+        self.deal = deal
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -40,16 +42,21 @@ class Graph:
         return df
 
     # --- joins -------------------------------------------------------------------
+    @cached_property
+    def raw_dealt(self) -> bool:
+        """Whether J1's sides come dealt by key from the raw rows."""
+        return self.deal and "summaries" not in self.__dict__ and joins.sides_spread_out(self.d.tracking, self.d.stats)
+
     @cached_property
     def summaries(self) -> tuple[DataFrame, DataFrame]:
         """J1's sides at key grain: (tracking summary, box-score summary)."""
-        return joins.side_summaries(self.d.tracking, self.d.stats)
+        return joins.side_summaries(self.d.tracking, self.d.stats, deal=self.raw_dealt)
 
     @cached_property
     def keyed(self) -> DataFrame:
         """J1 at (game, player, team) grain."""
         t, s = self.summaries
-        return joins.join_summaries(t, s, grain=self.grain)
+        return joins.join_summaries(t, s, grain=self.grain, deal=not self.raw_dealt)
 
     @cached_property
     def keyed_sched(self) -> DataFrame:

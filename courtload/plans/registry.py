@@ -42,7 +42,7 @@ def query(name: str):
 
 
 def _g(spark: SparkSession, sf_dir: str) -> Graph:
-    return Graph.of(spark, sf_dir, pairs=joins.PART_PAIRS)
+    return Graph.of(spark, sf_dir, pairs=joins.PART_PAIRS, deal=True)
 
 
 def _rolled(spark: SparkSession, sf_dir: str) -> Graph:

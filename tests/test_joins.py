@@ -166,3 +166,30 @@ def test_joins_before_a_grouping_use_all_partitions(spark):
     assert sorted(map(repr, out.collect())) == sorted(map(repr, plain.collect()))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan       # adaptive execution keeps the given number of partitions
+
+
+def _raw_sides(spark, hot=0):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") < hot, 1).when(F.col("id") % 7 != 0, F.floor(F.col("id") / 3)).alias("game_id"),
+        F.when(F.col("id") < hot, 1).otherwise(F.col("id") % 5).alias("player_id"), (F.col("id") % 2).alias("team_id"), "id")
+    v = F.col("id").cast("double")
+    return (rows.select("game_id", "player_id", "team_id", *[v.alias(m) for m in joins.TRACK_MEASURES]),
+            rows.select("game_id", "player_id", *[v.alias(m) for m in joins.STATS_MEASURES]))
+
+
+def test_raw_rows_are_summed_up_where_they_were_dealt(spark):
+    tracking, stats = _raw_sides(spark)
+    for got, plain in zip(joins.side_summaries(tracking, stats, deal=True), joins.side_summaries(tracking, stats)):
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+        text = got._jdf.queryExecution().sparkPlan().toString()
+        assert "REPARTITION_BY_NUM" in text
+        exchange = _final_plan(got).split("Initial Plan")[0]
+        assert exchange.count("Exchange hashpartitioning") == 1 and "partial_" not in exchange.split("Exchange hashpartitioning")[1]
+
+
+def test_rows_of_a_crowded_key_are_not_dealt(spark):
+    plain, crowded = _raw_sides(spark), _raw_sides(spark, hot=1300)
+    known = [df.where("game_id IS NOT NULL") for df in plain]
+    assert joins.sides_spread_out(*known) and not joins.sides_spread_out(*crowded)
+    assert not joins.spread_out(plain[0], ["game_id"])       # a seventh of the rows has no game
+    assert joins.sides_spread_out(*[df.limit(0) for df in plain])

@@ -64,3 +64,19 @@ def test_ntile_of_few_rows(spark):
     assert ntile_rows(df.limit(0), 4, ["seq"]).count() == 0
     with pytest.raises(TypeError):
         ntile_rows(df.withColumn("t", F.lit("a")), 2, ["t", "seq"])
+
+
+def test_only_parts_larger_than_a_chunk_are_cut(spark):
+    df = _skewed(spark)
+    def plan(chunk_rows):
+        out = rolling_rows(df, "player", ["seq"], 5, AGGS, chunk_rows=chunk_rows)
+        out.collect()
+        return out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "posexplode" in plan(500) and "posexplode" not in plan(1 << 20)
+
+
+def test_rows_without_a_part_are_framed_too(spark):
+    df = _skewed(spark, n=400).withColumn("player", F.when(F.col("player") > 20, F.col("player")))
+    want = _rows(rolling_rows(df, "player", ["seq"], 5, AGGS, method="window"), "player", "seq", "s", "a", "c")
+    for chunk_rows in (20, 1 << 20):
+        assert _rows(rolling_rows(df, "player", ["seq"], 5, AGGS, chunk_rows=chunk_rows), "player", "seq", "s", "a", "c") == want

@@ -90,3 +90,14 @@ def test_rolling_reads_a_written_per_game_table(spark, name):
     # W1 reads its input twice; from raw rows J1 and J5 would run twice
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "total_distance_ft" in plan and "l_orderkey" not in plan
+
+
+@pytest.mark.parametrize("name", ["horizon_label", "workload_tiers", "top_workload", "risk_feature_correlations",
+                                  "substitution_candidates", "gate_alert_output"])
+def test_raw_rows_are_dealt_for_j1(spark, monkeypatch, name):
+    # partial sums of raw rows would hold all keys of a scan task
+    from courtload.operators import joins
+    asked, plain = [], joins.side_summaries
+    monkeypatch.setattr(joins, "side_summaries", lambda *a, **kw: asked.append(kw.get("deal")) or plain(*a, **kw))
+    QUERIES[name](spark, SF_SMALL)
+    assert asked == [True]
