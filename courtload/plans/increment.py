@@ -116,8 +116,10 @@ class Increments:
         """J1 and J5 of the games in ``parts``."""
         def of(kind: str) -> DataFrame:
             return self._read(folders, kind).where(F.col(PART).isin(*parts)).drop(PART)
-        t, s = merge_summaries(of("tracking"), TRACK_KEYS), merge_summaries(of("stats"), STATS_KEYS)
-        return joins.schedule_context(joins.join_summaries(t, s), of("schedule"))
+        # dealt by J1's key once, for the merge and the join
+        t = merge_summaries(joins.dealt(of("tracking"), *STATS_KEYS), TRACK_KEYS)
+        s = merge_summaries(joins.dealt(of("stats"), *STATS_KEYS), STATS_KEYS)
+        return joins.schedule_context(joins.join_summaries(t, s, deal=False), of("schedule"), deal=True)
 
     def _put(self, name: str, rows: DataFrame, partition: str, cluster_by: Sequence[str]) -> DataFrame:
         """Replace the partitions that ``rows`` holds; the whole table."""
@@ -168,7 +170,9 @@ class Increments:
         table = self._put("player_game_workload", games, PART, ["player_id", "game_id"])
         pgw, here = table.drop(PART), table.where(F.col(PART).isin(*parts)).drop(PART)
         teams = materialize(_among(pgw, _among(here, reached, "game_id"), "player_id").select("team_id").distinct(), "reached-teams")
-        involved = _among(pgw, _among(pgw, teams, "team_id"), "player_id")
+        # ids alone, written: small enough to be broadcast, they move no rows of the table
+        players = materialize(_among(pgw, teams, "team_id").select("player_id").distinct(), "involved-players")
+        involved = _among(pgw, players, "player_id")
         rolled = _among(workload.rolling_workload(involved), teams, "team_id")
         self._put("rolling_workload", rolled, "team_id", ["player_id", "date", "game_id"])
 
