@@ -74,7 +74,7 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: M
     sizes = df.groupBy(F.col(part).alias("_large")).agg(F.count("*").alias("_n"))
     large = F.broadcast(sizes.where(F.col("_n") > chunk_rows).select("_large"))
     is_large = F.col(part).eqNullSafe(F.col("_large"))
-    small = framed(df.join(large, is_large, "left_anti"), part)
+    small = df.join(large, is_large, "left_anti").select("*", F.lit(0).alias("_halo"), F.lit(0).cast("long").alias("_chunk"))
     cut = df.join(large, is_large, "left_semi")
     coarse = list(split_on or [F.col(order[0])])
     table = splitters(cut, part, coarse, n, chunk_rows).withColumnRenamed(part, "_part")
@@ -84,7 +84,7 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: M
         same &= F.col(f"_k{k}").eqNullSafe(F.col(f"_s{k}"))
     # a row once for its own chunk (place 0), and once for each chunk whose halo it is in
     copies = keyed.join(table, same).select(*df.columns, F.posexplode("_to").alias("_halo", "_chunk"))
-    return small.unionByName(framed(copies, part, "_chunk").where("_halo = 0").drop("_halo", "_chunk"))
+    return framed(small.unionByName(copies), part, "_chunk").where("_halo = 0").drop("_halo", "_chunk")
 
 
 def _number(df: DataFrame, col: str) -> Column:
