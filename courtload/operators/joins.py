@@ -42,27 +42,29 @@ GRAINS = ("literal", "pre_aggregated")
 
 def side_summaries(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
                    team: str = "team_id", track_extra: Sequence[Column] = (),
-                   deal: bool = False) -> tuple[DataFrame, DataFrame]:
+                   deal: bool = False, rows: int = 0) -> tuple[DataFrame, DataFrame]:
     """J1's two sides reduced to one row per key: (game, player, team) and (game, player).
 
     ``track_extra`` adds aggregates to the tracking summary, so other per-row
     checks (the impossible-value gate) ride along the same scan of the raw rows.
     ``deal``: where most keys hold few rows (``spread_out``) partial sums before the shuffle save nothing, and a scan task
     would hold those of all its keys.  The raw rows are then dealt by key first and summed up where they arrive.
+    ``rows``: those of the larger side, if known (see ``dealt``).
     """
     if deal:
-        tracking, stats = dealt(tracking, *keys), dealt(stats, *keys)
+        tracking, stats = dealt(tracking, *keys, rows=rows), dealt(stats, *keys, rows=rows)
     t = _side_summary(tracking, [*keys, team], TRACK_MEASURES, "n_track", track_extra)
     s = _side_summary(stats, list(keys), STATS_MEASURES, "n_stats")
     return t, s
 
 
 def join_summaries(t: DataFrame, s: DataFrame, keys: Sequence[str] = ("game_id", "player_id"),
-                   grain: str = "literal", deal: bool = True) -> DataFrame:
-    """J1 from the side summaries (see ``join_tracking_stats``).  ``deal``: False if they are dealt by ``keys`` already."""
+                   grain: str = "literal", deal: bool = True, rows: int = 0) -> DataFrame:
+    """J1 from the side summaries (see ``join_tracking_stats``).  ``deal``: False if they are dealt by ``keys`` already;
+    ``rows``: see ``dealt``."""
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {GRAINS}")
-    j = (dealt(t, *keys) if deal else t).join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
+    j = (dealt(t, *keys, rows=rows) if deal else t).join(s, list(keys), "inner").withColumn("pair_rows", F.col("n_track") * F.col("n_stats"))
     if grain == "literal":
         return (j.withColumn("w_track", F.col("n_stats")).withColumn("w_stats", F.col("n_track"))
                  .withColumn("w_rows", F.col("pair_rows")))
@@ -96,13 +98,19 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
+#: Rows in a partition of ``dealt`` where their number is known.
+DEALT_ROWS = 1 << 18
+
+
+def dealt(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
     """The rows dealt by ``keys`` over all shuffle partitions, for joins and groupings by these keys.
 
     Adaptive execution merges partitions by their compressed bytes; summaries of ids and counts compress so well that a
     task then sorts and groups millions of rows at once.  A given number of partitions is left as it is.
+    ``rows``: about how many there are, if known; so many partitions are taken that each gets ``DEALT_ROWS`` at most, and
+    a task's memory doesn't grow with the table.
     """
-    return df.repartition(shuffle_partitions(df), *keys)
+    return df.repartition(max(shuffle_partitions(df), ceil(rows / DEALT_ROWS)), *keys)
 
 
 def weight(measure: str) -> Column:
@@ -160,17 +168,35 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.02, partitions
     return HotKeys(tuple(sorted(r["item"] for r in hot)), parts)
 
 
-def spread_out(df: DataFrame, keys: Sequence[str], share: float = 0.02) -> bool:
+class Spread(NamedTuple):
+    """Whether no key holds many of a table's rows, and how many rows there are."""
+
+    even: bool
+    rows: int
+
+
+def spread(df: DataFrame, keys: Sequence[str], share: float = 0.02) -> Spread:
     """Whether no key (NULLs are one) holds about ``share`` of the rows, by a heavy-hitter sketch; one pass, started here."""
     tracked = max(100, ceil(4 / share))
     found = df.select(F.xxhash64(*keys).alias("h")).agg(
         F.expr(f"approx_top_k(h, 1, {tracked})").alias("top"), F.count("*").alias("n")).first()
-    return all(r["count"] < share * found["n"] for r in found["top"] or [])
+    return Spread(all(r["count"] < share * found["n"] for r in found["top"] or []), found["n"])
+
+
+def spread_out(df: DataFrame, keys: Sequence[str], share: float = 0.02) -> bool:
+    """Whether no key holds about ``share`` of the rows (``spread``)."""
+    return spread(df, keys, share).even
+
+
+def sides_spread(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id")) -> Spread:
+    """Whether J1's raw rows may be dealt by key (``side_summaries``), and the rows of the larger side."""
+    t, s = spread(tracking, keys), spread(stats, keys)
+    return Spread(t.even and s.even, max(t.rows, s.rows))
 
 
 def sides_spread_out(tracking: DataFrame, stats: DataFrame, keys: Sequence[str] = ("game_id", "player_id")) -> bool:
     """Whether J1's raw rows may be dealt by key (``side_summaries``)."""
-    return spread_out(tracking, keys) and spread_out(stats, keys)
+    return sides_spread(tracking, stats, keys).even
 
 
 def _known(keys: Sequence[str]) -> Column:
@@ -206,17 +232,18 @@ def split_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
     return salted.join(spread, cond, how).drop("_part", "_copy")
 
 
-def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id", split: HotKeys | None = None, deal: bool = False) -> DataFrame:
+def schedule_context(keyed: DataFrame, schedule: DataFrame, key: str = "game_id", split: HotKeys | None = None, deal: bool = False,
+                     rows: int = 0) -> DataFrame:
     """Left join of schedule context; a game without schedule keeps NULLs.
 
     No hint: the schedule side is broadcast only when its size estimate is
     under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run
     time); otherwise it is a shuffle join, which splits the hot games given in ``split``.
-    ``deal``: for a grouping by game, which keeps adaptive execution from splitting the join anyway (see ``dealt``).
+    ``deal``: for a grouping by game, which keeps adaptive execution from splitting the join anyway; ``rows``: see ``dealt``.
     """
     sched = schedule.select(key, "date", "back_to_back", "travel_distance_miles", "rest_days_since_last_game")
     if split is None:
-        return (dealt(keyed, key) if deal else keyed).join(sched, key, "left")
+        return (dealt(keyed, key, rows=rows) if deal else keyed).join(sched, key, "left")
     return split_join(keyed, sched.withColumnRenamed(key, "_key"), [(key, "_key")], split).drop("_key")
 
 

@@ -49,7 +49,8 @@ def splitters(df: DataFrame, part: str, split_on: Sequence[Column], n: int, chun
 
 
 def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: Mapping[str, tuple[str, str]],
-                 method: str = "split", split_on: Sequence[Column] | None = None, chunk_rows: int = 1 << 20) -> DataFrame:
+                 method: str = "split", split_on: Sequence[Column] | None = None, chunk_rows: int = 1 << 20,
+                 rows: int = 0) -> DataFrame:
     """Frame ``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW`` per ``part``, by ``order`` ascending, nulls first.
 
     ``aggs`` maps output name -> (function, column) with function in {"sum", "avg", "min", "max", "count"}.
@@ -61,14 +62,15 @@ def rolling_rows(df: DataFrame, part: str, order: Sequence[str], n: int, aggs: M
     along ``order`` (by default its first column); a chunk has at most ``chunk_rows`` rows, those of one more coarse key
     and the halo.  Building the result starts no job and nothing is written; the input, which must come out alike each
     time, is read for the sizes of the parts, for the small parts and, if there are any, twice for the large ones.
+    ``rows``: how many there are, if known (see ``joins.dealt``).
     """
     if method not in ("window", "split"):
         raise ValueError(f"unknown method {method!r}")
     by = [F.col(c).asc_nulls_first() for c in order]
 
-    def framed(rows: DataFrame, *parts: str) -> DataFrame:   # dealt: merged partitions would sort millions of rows in a task
+    def framed(made: DataFrame, *parts: str) -> DataFrame:   # dealt: merged partitions would sort millions of rows in a task
         w = Window.partitionBy(*parts).orderBy(*by).rowsBetween(-(n - 1), 0)
-        return dealt(rows, *parts).select("*", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
+        return dealt(made, *parts, rows=rows).select("*", *[_FRAME[fn](c).over(w).alias(name) for name, (fn, c) in aggs.items()])
     if method == "window":
         return framed(df, part)
     sizes = df.groupBy(F.col(part).alias("_large")).agg(F.count("*").alias("_n"))

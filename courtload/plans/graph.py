@@ -29,6 +29,8 @@ class Graph:
         self.split_share = split_share
         self.pairs = pairs
         self.deal = deal
+        #: Rows of the per-game table, where it is pinned (``pin_games``): W1's partitions follow them.
+        self.game_rows = 0
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, **kw) -> "Graph":
@@ -41,22 +43,34 @@ class Graph:
         self.__dict__[name] = df
         return df
 
+    def pin_games(self, df: DataFrame) -> DataFrame:
+        """``pin`` the written per-game table and count its rows."""
+        self.game_rows = df.count()
+        return self.pin("pgw", df)
+
     # --- joins -------------------------------------------------------------------
     @cached_property
+    def raw_spread(self) -> joins.Spread:
+        """How J1's raw rows lie over its keys, and how many they are; looked up under ``deal`` (else not even, 0)."""
+        if not self.deal or "summaries" in self.__dict__:
+            return joins.Spread(False, 0)
+        return joins.sides_spread(self.d.tracking, self.d.stats)
+
+    @property
     def raw_dealt(self) -> bool:
         """Whether J1's sides come dealt by key from the raw rows."""
-        return self.deal and "summaries" not in self.__dict__ and joins.sides_spread_out(self.d.tracking, self.d.stats)
+        return self.raw_spread.even
 
     @cached_property
     def summaries(self) -> tuple[DataFrame, DataFrame]:
         """J1's sides at key grain: (tracking summary, box-score summary)."""
-        return joins.side_summaries(self.d.tracking, self.d.stats, deal=self.raw_dealt)
+        return joins.side_summaries(self.d.tracking, self.d.stats, deal=self.raw_dealt, rows=self.raw_spread.rows)
 
     @cached_property
     def keyed(self) -> DataFrame:
         """J1 at (game, player, team) grain."""
         t, s = self.summaries
-        return joins.join_summaries(t, s, grain=self.grain, deal=not self.raw_dealt)
+        return joins.join_summaries(t, s, grain=self.grain, deal=not self.raw_dealt, rows=self.raw_spread.rows)
 
     @cached_property
     def keyed_sched(self) -> DataFrame:
@@ -88,11 +102,11 @@ class Graph:
     def pgw(self) -> DataFrame:
         if "keyed_sched" in self.__dict__:      # pinned, or built for another node
             return workload.player_game_workload(self.keyed_sched)
-        return workload.player_game_workload(joins.schedule_context(self.keyed, self.d.schedule, deal=True))
+        return workload.player_game_workload(joins.schedule_context(self.keyed, self.d.schedule, deal=True, rows=self.raw_spread.rows))
 
     @cached_property
     def rolling(self) -> DataFrame:
-        return workload.rolling_workload(self.pgw, method=self.rolling_method)
+        return workload.rolling_workload(self.pgw, method=self.rolling_method, rows=self.game_rows)
 
     @cached_property
     def profile(self) -> DataFrame:

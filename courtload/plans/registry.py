@@ -48,7 +48,7 @@ def _g(spark: SparkSession, sf_dir: str) -> Graph:
 def _rolled(spark: SparkSession, sf_dir: str) -> Graph:
     """The graph for what reads W1, its per-game table written once: W1 reads it twice, and J1 and J5 then run once."""
     g = _g(spark, sf_dir)
-    g.pin("pgw", materialize(g.pgw, "player-games"))
+    g.pin_games(materialize(g.pgw, "player-games"))
     return g
 
 

@@ -1,5 +1,7 @@
 """Join rewrites keep the rows of the plain formulation."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from courtload.operators import joins
@@ -193,3 +195,21 @@ def test_rows_of_a_crowded_key_are_not_dealt(spark):
     assert joins.sides_spread_out(*known) and not joins.sides_spread_out(*crowded)
     assert not joins.spread_out(plain[0], ["game_id"])       # a seventh of the rows has no game
     assert joins.sides_spread_out(*[df.limit(0) for df in plain])
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    # with the shuffle partitions alone a task's rows, and its memory, grow with the table
+    from courtload.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+    monkeypatch.setattr(joins, "DEALT_ROWS", 500)
+    tracking, stats = _raw_sides(spark)
+    assert joins.sides_spread(tracking.where("game_id IS NOT NULL"), stats.where("game_id IS NOT NULL").limit(100)).rows == 3428
+    for side in joins.side_summaries(tracking, stats, deal=True, rows=4000):
+        assert "hashpartitioning(game_id, player_id, 8)" in _unnumbered(side)
+    for name in ("top_workload", "horizon_label"):
+        # 4951 per-game rows
+        assert "hashpartitioning(player_id, _chunk, 10)" in _unnumbered(QUERIES[name](spark, SF_SMALL))
+
+
+def _unnumbered(df):
+    return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
