@@ -1,6 +1,7 @@
 """Join rewrites keep the rows of the plain formulation."""
 
 import re
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -213,3 +214,33 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
 
 def _unnumbered(df):
     return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_sides_written_once_give_j1_and_its_gate(spark):
+    from courtload.operators import quality
+    tracking, stats = _raw_sides(spark)
+    tracking = tracking.where("player_id <> 3").unionByName(tracking.where("player_id = 2").withColumn("team_id", F.lit(9)))
+    stats = stats.where("player_id <> 4")
+    t, s = joins.side_summaries(tracking, stats)
+    for deal in (False, True):
+        sides = joins.outer_summaries(t, s, deal=deal).localCheckpoint()
+        for grain in joins.GRAINS:
+            want, got = joins.join_summaries(t, s, grain=grain), joins.matched_summaries(sides, grain)
+            assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert quality.gate_completeness_from(sides).collect() == quality.gate_completeness(s, t).collect()
+        assert quality.gate_completeness_from(sides).first()["failures"] > 0
+
+
+def test_batch_deals_the_sides_of_j1_once(spark, monkeypatch, tmp_path):
+    from courtload.plans import batch
+    from tests.conftest import SF_SMALL
+    plans, publish = {}, batch.publish_version
+
+    def seen(df, path, *a, **kw):
+        plans[path.split("/")[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        return publish(df, path, *a, **kw)
+    monkeypatch.setattr(batch, "publish_version", seen)
+    paths = batch.run_batch(spark, SF_SMALL, root=str(tmp_path))
+    assert "Exchange" not in plans["tracking_with_stats.parquet"] and "Join" not in plans["tracking_with_stats.parquet"]
+    # J4's repeated games: a codec with a long match window
+    assert all(".zstd." in f.name for n in ("training_with_schedule", "rolling_workload") for f in Path(paths[n]).rglob("part-*"))
