@@ -244,3 +244,15 @@ def test_batch_deals_the_sides_of_j1_once(spark, monkeypatch, tmp_path):
     assert "Exchange" not in plans["tracking_with_stats.parquet"] and "Join" not in plans["tracking_with_stats.parquet"]
     # J4's repeated games: a codec with a long match window
     assert all(".zstd." in f.name for n in ("training_with_schedule", "rolling_workload") for f in Path(paths[n]).rglob("part-*"))
+
+
+def test_j4_rounds_its_inputs_and_not_its_rows(spark):
+    # its rows are sessions times games
+    from courtload.functions.exprs import round_doubles
+    from courtload.plans.graph import Graph
+    from courtload.plans.registry import QUERIES
+    from tests.conftest import SF_MID
+    got, want = QUERIES["join_training_schedule"](spark, SF_MID), round_doubles(Graph.of(spark, SF_MID).training_sched)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    above, below = _unnumbered(got).split("Join", 1)
+    assert "round(" not in above and "round(" in below
