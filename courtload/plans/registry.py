@@ -8,6 +8,7 @@ presentation (HALF_UP, the same in the SQL oracle).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,9 +85,13 @@ def _rolling_added(spark, sf):
     d = _g(spark, sf).d
     cut = d.schedule.agg(F.date_sub(F.max("date"), 30)).scalar()
     early = d.schedule.where(F.col("date") <= cut).select("game_id").distinct()
+    tables = (d.tracking, d.stats, d.schedule)
+    # the games that are not early are few: written, they are broadcast by their size, and the raw rows are parted where they lie
+    games = reduce(DataFrame.unionByName, [t.select("game_id").distinct() for t in tables]).distinct()
+    late = materialize(games.join(early, "game_id", "left_anti").withColumnRenamed("game_id", "_late"), "late-games")
     kept = Increments(spark, scratch_path(spark, "increments"))
-    for name, how in (("season", "left_semi"), ("last-days", "left_anti")):
-        kept.add(name, Domain(*(t.join(early, "game_id", how) for t in (d.tracking, d.stats, d.schedule)), d.training, d.incidents))
+    for name, how in (("season", "left_anti"), ("last-days", "left_semi")):
+        kept.add(name, Domain(*(t.join(late, F.col("game_id").eqNullSafe(F.col("_late")), how) for t in tables), d.training, d.incidents))
     return kept.rolling()
 
 

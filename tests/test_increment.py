@@ -96,3 +96,55 @@ def test_merged_summaries_equal_those_of_all_rows(spark):
 def test_nothing_added_yet(spark):
     with pytest.raises(FileNotFoundError):
         Increments(spark, _root(spark, "inc-none")).rolling()
+
+
+def test_rows_of_increments_move_once(spark, monkeypatch):
+    from courtload.plans import increment
+    d, plans, publish = Graph.of(spark, SF_SMALL).d, [], increment.publish
+
+    def seen(df, path, *a, **kw):
+        plans.append((path.split("/")[-2] if "increment=" in path else path.split("/")[-1], df._jdf.queryExecution().executedPlan().toString()))
+        return publish(df, path, *a, **kw)
+    monkeypatch.setattr(increment, "publish", seen)
+    monkeypatch.setattr(joins, "DEALT_ROWS", 500)
+    kept = Increments(spark, _root(spark, "inc-moves"), parts=4)
+    first, last = _split(d, F.col("game_id") % 40 != 0)
+    kept.add("first", first)
+    kept.add("last", last)
+    assert [name for name, _ in plans] == [*increment.KINDS, "player_game_workload", "rolling_workload"] * 2
+    for name, plan in plans:
+        assert plan.count("Exchange rangepartitioning") == (name == "rolling_workload")     # W1's own
+    (_, whole), (_, kept_beside) = [p for p in plans if p[0] == "player_game_workload"]
+    assert whole.count("Exchange hashpartitioning") == 3 and "LeftAnti" not in whole       # tracking, box scores, schedule
+    assert "LeftAnti" in kept_beside
+    _same(kept.rolling(), Graph.of(spark, SF_SMALL).rolling, ["player_id", "game_id", "team_id"])
+    # a task holds games of one part: at most as many files as partitions
+    assert len(_files(kept.root, "summaries/tracking")) <= 16 + 4
+
+
+def test_an_increment_that_died_is_made_up_for(spark, monkeypatch):
+    g = Graph.of(spark, SF_SMALL)
+    a, rest = _split(g.d, F.col("game_id") % 3 == 0)
+    b, c = _split(rest, F.col("game_id") % 3 == 1)
+    kept = Increments(spark, _root(spark, "inc-died"), parts=1)
+    kept.add("a", a)
+    monkeypatch.setattr(kept, "_rebuild", lambda *a, **kw: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        kept.add("b", b)
+    monkeypatch.undo()
+    kept.add("c", c)                 # the part's other games are not taken from the table as it is
+    _same(kept.player_games().drop("game_part"), g.pgw, ["player_id", "game_id", "team_id"])
+    assert [f["done"] for f in kept.listed()] == [True, False, True]
+    kept.add("b", b)
+    assert all(f["done"] for f in kept.listed())
+    _same(kept.rolling(), g.rolling, ["player_id", "game_id", "team_id"])
+
+
+def test_parts_by_another_hash_are_refused(spark):
+    import json
+
+    from courtload.session import replace_text
+    kept = Increments(spark, _root(spark, "inc-old"))
+    replace_text(spark, f"{kept.root}/_increments", json.dumps({"folder": "increment=0", "ids": ["a"], "schemas": {}}))
+    with pytest.raises(ValueError, match="another hash"):
+        kept.listed()
