@@ -42,7 +42,11 @@ def _odd_domain(spark):
 @pytest.mark.parametrize("by_game", [True, False])
 def test_shared_tables_give_the_plain_rows(spark, monkeypatch, tmp_path, by_game):
     d = _odd_domain(spark)
-    if not by_game:
+    if by_game:
+        monkeypatch.setattr(batch, "FEATURE_ROWS", 10)
+        monkeypatch.setattr(batch, "FEW_INCIDENTS", 10)
+        monkeypatch.setattr(joins, "spread", lambda *a, **kw: joins.Spread(True, 4951))
+    else:
         monkeypatch.setattr(joins, "games_spread", lambda t, s: joins.Spread(False, 0))
     paths = batch.run_batch(spark, domain=d, root=str(tmp_path), fail_on_gate=False)
     g = Graph(d)
@@ -67,7 +71,20 @@ def test_game_tables_move_once(spark, monkeypatch, tmp_path):
         return publish(df, path, *a, **kw)
     monkeypatch.setattr(batch, "publish_version", seen)
     monkeypatch.setattr(joins, "DEALT_ROWS", 500)
-    batch.run_batch(spark, SF_SMALL, root=str(tmp_path))
+    for name in ("FEATURE_ROWS", "FEW_INCIDENTS"):
+        monkeypatch.setattr(batch, name, 10)
+    even = joins.Spread(True, 4951)         # ten players, each crowded
+    monkeypatch.setattr(joins, "spread", lambda *a, **kw: even)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch.run_batch(spark, SF_SMALL, root=str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # J8 and the training means join the snapshot where it was dealt once
+    made = plans["injury_risk_features"].split("Exchange hashpartitioning(")[1:]
+    assert sum(m.startswith("player_id") and "REPARTITION_BY_NUM" in m.split("\n")[0] for m in made) == 3
+    assert not any(m.startswith("_at") or m.startswith("_key") for m in made)
+    assert "Join" not in plans["intensity_performance"] + plans["ratio_performance"]
     assert "Exchange" not in plans["tracking_stats_schedule"]
     # only rows of games listed several times are grouped
     alone, several = plans["player_game_workload"].split("Union")[1].split("HashAggregate", 1)
